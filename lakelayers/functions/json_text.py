@@ -12,8 +12,12 @@ from lakelayers.functions.columns import ColumnOrName, as_column
 OBJECT_SCHEMA = "array<struct<data:array<string>>>"
 
 
-def _first_character(text: Column) -> Column:
-    return F.substring(F.regexp_replace(text, r"^\s+", ""), 1, 1)
+# White space between JSON tokens.
+BLANKS = " \t\r\n"
+
+
+def _trimmed(text: Column) -> Column:
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def _inside_array(text: Column) -> Column:
@@ -29,16 +33,16 @@ def response_records(body: ColumnOrName) -> Column:
     that is no array. Elements that are no objects are left out.
     """
     text = as_column(body)
-    first = _first_character(text)
+    trimmed = _trimmed(text)
     wrapped = _inside_array(text)
     of_array = F.from_json(wrapped, "array<array<string>>")[0]
     of_data = F.from_json(wrapped, OBJECT_SCHEMA)[0]["data"]
     of_object = F.from_json(wrapped, "array<string>")
     has_data = F.array_contains(F.json_object_keys(text), "data")
     records = (
-        F.when(first == "[", of_array)
-        .when((first == "{") & has_data, of_data)
-        .when(first == "{", of_object)
+        F.when(trimmed.startswith("["), of_array)
+        .when(trimmed.startswith("{") & has_data, of_data)
+        .when(trimmed.startswith("{"), of_object)
     )
     return F.filter(records, lambda record: record.startswith("{"))
 
@@ -49,18 +53,16 @@ def fill_absent_keys(record: ColumnOrName, defaults: Mapping[str, object]) -> Co
     Values are literals or columns. Text that is no JSON object comes back unchanged.
     """
     text = as_column(record)
+    # Used below only where it is always evaluated, so that Spark parses each text once.
     keys = F.json_object_keys(text)
-    # The object without its closing brace, blanks before and after the brace removed.
-    body = F.regexp_replace(text, r"\s*\}\s*$", "")
-    is_empty = F.size(keys) == 0
-    result = body
-    written = ~is_empty
+    trimmed = _trimmed(text)
+    inner = _trimmed(F.substr(trimmed, F.lit(2), F.length(trimmed) - 2))
+    members = [F.nullif(inner, F.lit(""))]
     for name, value in defaults.items():
         column = value if isinstance(value, Column) else F.lit(value)
         member = F.to_json(F.struct(column.alias(name)), {"ignoreNullFields": "false"})
         member = F.substr(member, F.lit(2), F.length(member) - 2)
-        absent = ~F.array_contains(keys, name)
-        comma = F.when(written, F.lit(",")).otherwise(F.lit(""))
-        result = F.concat(result, F.when(absent, F.concat(comma, member)).otherwise(F.lit("")))
-        written = written | absent
-    return F.when(keys.isNotNull(), F.concat(result, F.lit("}"))).otherwise(text)
+        members.append(F.when(~F.array_contains(keys, name), member))
+    null_unless_object = F.when(keys.isNotNull(), F.lit(""))
+    filled = F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"), null_unless_object)
+    return F.coalesce(filled, text)

@@ -117,9 +117,16 @@ def metrics_frame(
     run_ts: datetime | str | None = None,
 ) -> DataFrame:
     """The figures of one run step as rows ``run_id, step, metric, value, run_ts``."""
-    rows = [(run_id, step, name, int(value)) for name, value in metrics.items()]
-    frame = spark.createDataFrame(rows, "run_id string, step string, metric string, value bigint")
-    return frame.withColumn("run_ts", run_time(run_ts))
+    figures = [
+        F.struct(F.lit(name).alias("metric"), F.lit(int(value)).cast("bigint").alias("value"))
+        for name, value in metrics.items()
+    ]
+    return spark.range(1).select(
+        F.lit(run_id).alias("run_id"),
+        F.lit(step).alias("step"),
+        F.inline(F.array(*figures)),
+        run_time(run_ts).alias("run_ts"),
+    )
 
 
 def record_metrics(

@@ -185,11 +185,11 @@ def land_responses(
     body: str = "body",
     partition_by: Sequence[str] = (),
     order_by: Sequence[str] | None = None,
-    unique: bool = False,
     request: Mapping[str, object] | None = None,
 ) -> bool:
-    """The raw layer run: unnest bodies, fill in defaults, wrap and land the records."""
+    """The raw layer run: unnest bodies, fill in defaults, wrap and land the records.
+
+    With ``order_by`` the records of bodies that sort equally stay in their order of arrival.
+    """
     records = enrich_records(unnest_responses(df, body), run)
-    return land_records(
-        records, path, run, "record", partition_by, order_by, unique, request
-    )
+    return land_records(records, path, run, "record", partition_by, order_by, request=request)

@@ -32,13 +32,16 @@ def with_ordinal(
     column: str = "ordinal",
     order_by: Sequence[str] | None = None,
     unique: bool = False,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Number the rows 0, 1, 2, … over the whole frame.
 
     Without ``order_by`` rows are numbered as they arrive and nothing is shuffled. With it they
     are range-partitioned and sorted by these columns; rows with equal values keep their arrival
     order, which also spreads a hot value over partitions. ``unique=True`` says that the columns
-    identify a row and saves the write that fixes the arrival order.
+    identify a row and saves the write that fixes the arrival order; the frame is then computed
+    twice, for the range boundaries and for the rows, so leave it out for costly frames.
+    ``partitions`` sets the number of ranges, else ``spark.sql.shuffle.partitions`` does.
 
     The numbered rows are staged in a scratch table with partition number and position, so that
     the counting pass and the numbering pass see the same partitions, executors lost or not.
@@ -49,7 +52,8 @@ def with_ordinal(
         if not unique:
             df = _stage_with_positions(df, "arrival")
             keys += [F.col(PART), F.col(POSITION)]
-        df = df.repartitionByRange(*keys).sortWithinPartitions(*keys).drop(PART, POSITION)
+        ranges = [partitions] if partitions else []
+        df = df.repartitionByRange(*ranges, *keys).sortWithinPartitions(*keys).drop(PART, POSITION)
     staged = _stage_with_positions(df, "ordinal")
     counts = staged.groupBy(PART).agg(F.count(F.lit(1)).alias("rows"))
     earlier = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)

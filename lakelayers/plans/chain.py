@@ -9,12 +9,20 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from lakelayers.functions.columns import run_time
 from lakelayers.names import SESSION_CATALOG, TableRef, layer_database, layer_table, raw_folder
 from lakelayers.operators.layers import count_records, normalize, standardize
-from lakelayers.sinks.tables import create_databases_for, create_layer_table, write_table
-from lakelayers.sources.jsonl import scan_jsonl
+from lakelayers.sinks.tables import (
+    create_databases_for,
+    create_layer_table,
+    create_managed_table,
+    write_table,
+)
+from lakelayers.sources.jsonl import CORRUPT_COLUMN, is_corrupt, scan_jsonl
 from lakelayers.sources.tables import scan_table
 
+MALFORMED_COLUMNS = "line STRING, partly_read BOOLEAN, processed_at TIMESTAMP"
+
 
 @dataclass(frozen=True)
 class Entity:
@@ -32,6 +40,7 @@ class Entity:
     database_root: str | None = None
     create_tables: bool = True
     mode: str = "append"
+    quarantine: bool = False
     run_ts: datetime | str | None = None
 
     def table(self, layer: str) -> TableRef:
@@ -41,6 +50,11 @@ class Entity:
             SESSION_CATALOG if layer == "raw" else self.catalog,
         )
 
+    @property
+    def malformed_table(self) -> TableRef:
+        bronze = self.table("bronze")
+        return TableRef(bronze.database, f"{bronze.table}_malformed", bronze.catalog)
+
     @property
     def raw_path(self) -> str:
         return raw_folder(self.raw_root, self.source, self.entity)
@@ -54,16 +68,21 @@ class LayerRun:
     target: TableRef
     rows_in: int
     rows_out: int
+    rows_malformed: int = 0
 
     @property
     def metrics(self) -> dict[str, int]:
-        return {"rows_in": self.rows_in, "rows_out": self.rows_out}
+        return {
+            "rows_in": self.rows_in,
+            "rows_out": self.rows_out,
+            "rows_malformed": self.rows_malformed,
+        }
 
 
 def extract(spark: SparkSession, spec: Entity, layer: str) -> DataFrame:
     if layer == "bronze":
         schema = f"payload {spec.payload_schema}" if spec.payload_schema else None
-        return scan_jsonl(spark, spec.raw_path, schema)
+        return scan_jsonl(spark, spec.raw_path, schema, keep_corrupt=spec.quarantine)
     return scan_table(spark, spec.table("bronze" if layer == "silver" else "silver"))
 
 
@@ -83,22 +102,42 @@ def run_layer(
 ) -> LayerRun:
     """Run bronze, silver or gold once. Any failure is raised, none is swallowed.
 
-    ``custom_transform`` takes the place of the layer's own transformation.
+    ``custom_transform`` takes the place of the layer's own transformation. With
+    ``spec.quarantine`` malformed lines go to a table of their own; otherwise bronze keeps them
+    as rows of nulls. The folder is read a second time only if there are any.
     """
+    target = spec.table(layer)
     if spec.create_tables:
         create_databases_for(spark, layer, spec.databases, spec.catalog, spec.database_root)
-        create_layer_table(spark, spec.table(layer), layer, spec.table_format)
-    read, written = Observation(), Observation()
-    change = custom_transform or (lambda df: transform(df, spec, layer))
+        create_layer_table(spark, target, layer, spec.table_format)
     extracted = extract(spark, spec, layer)
-    # The global count always has its one row, and looking for it would count twice.
-    if layer != "gold" and change(extracted).isEmpty():
-        return LayerRun(layer, spec.table(layer), 0, 0)
-    observed = extracted.observe(read, F.count(F.lit(1)).alias("rows"))
-    write_table(
-        change(observed), spec.table(layer), spec.mode, skip_empty=False, observation=written
+    change = custom_transform or (lambda df: transform(df, spec, layer))
+    malformed = is_corrupt(extracted) if layer == "bronze" and spec.quarantine else F.lit(False)
+    totals = F.count(F.lit(1)).alias("rows"), F.count_if(malformed).alias("malformed")
+    # The global count always has its one row, and looking for it would count twice. A first row
+    # is asked for, not isEmpty(): that would read nothing but the column of corrupt lines.
+    if layer != "gold" and change(extracted.filter(~malformed)).first() is None:
+        counts, rows_out = extracted.agg(*totals, F.count(extracted.columns[0])).first(), 0
+    else:
+        read, written = Observation(), Observation()
+        rows = change(extracted.observe(read, *totals).filter(~malformed))
+        write_table(rows, target, spec.mode, skip_empty=False, observation=written)
+        counts, rows_out = read.get, written.get["rows"]
+    if counts["malformed"]:
+        save_malformed(spark, spec, extracted.filter(malformed))
+    return LayerRun(layer, target, counts["rows"], rows_out, counts["malformed"])
+
+
+def save_malformed(spark: SparkSession, spec: Entity, lines: DataFrame) -> None:
+    """Append the text of malformed lines and whether any part of the payload was readable."""
+    if spec.create_tables:
+        create_managed_table(spark, spec.malformed_table, MALFORMED_COLUMNS, (), spec.table_format)
+    rejected = lines.select(
+        F.col(CORRUPT_COLUMN).alias("line"),
+        F.col("payload").isNotNull().alias("partly_read"),
+        run_time(spec.run_ts).alias("processed_at"),
     )
-    return LayerRun(layer, spec.table(layer), read.get["rows"], written.get["rows"])
+    write_table(rejected, spec.malformed_table, skip_empty=False)
 
 
 def run_chain(spark: SparkSession, spec: Entity, until: str = "gold") -> list[LayerRun]:

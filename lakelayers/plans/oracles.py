@@ -156,6 +156,15 @@ SELECT record_id, payload_json, CAST(length(payload_json) AS INTEGER) AS payload
        sha256(payload_json) AS payload_hash
 FROM bronze WHERE record_id IS NOT NULL""",
     "gold_count": "SELECT count(l_orderkey) AS records_total, 'lineitem' AS entity_type FROM lineitem",
+    "bronze_quarantine": """
+SELECT CASE WHEN event_id % 100 > 1 THEN CAST(event_id AS VARCHAR) END AS record_id,
+       CASE WHEN event_id % 100 > 1
+            THEN CAST(to_json({'id': CAST(event_id AS VARCHAR), 'user_id': user_id,
+                               'event_type': event_type}) AS VARCHAR) END AS payload_json,
+       CASE event_id % 100 WHEN 0 THEN '{"payload":{"id":"' || event_id
+            WHEN 1 THEN '{"payload":{"id":"' || event_id || '","user_id":"none"}}' END AS line,
+       CASE event_id % 100 WHEN 0 THEN false WHEN 1 THEN true END AS partly_read
+FROM events""",
     "bronze_layer": _layered(LANDED_JSON),
     "silver_layer": _layered(
         LANDED_JSON,

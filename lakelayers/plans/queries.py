@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -36,7 +37,7 @@ from lakelayers.operators.manifests import manifest_diff
 from lakelayers.operators.merge import survivorship_merge
 from lakelayers.operators.ordinals import with_ordinal
 from lakelayers.operators.quality import parse_columns, split_rejects, validate
-from lakelayers.plans.chain import Entity, run_chain
+from lakelayers.plans.chain import Entity, run_chain, run_layer
 from lakelayers.scratch import scratch_folder, stage
 from lakelayers.sinks.jsonl import write_jsonl, write_lines
 from lakelayers.sinks.tables import (
@@ -279,7 +280,7 @@ def land_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     bodies = _read(spark, sf_dir, "orders").select("o_orderkey", body.alias("body"))
     run = LandingRun("shop", "orders", "raw_orders", RUN_TIME, 500)
-    land_responses(bodies, folder, run, order_by=["o_orderkey"], unique=True)
+    land_responses(bodies, folder, run, order_by=["o_orderkey"])
     landed = scan_jsonl(spark, folder, f"{ORDER_LANDING}, metadata {METADATA_SCHEMA}")
     return landed.select(
         "payload.*", "metadata.record_id", "metadata.batch_id", "metadata.file_name",
@@ -333,6 +334,30 @@ def gold_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_records(lines, "lineitem", "l_orderkey").drop("computed_at")
 
 
+def bronze_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A bronze run over lines of which some are broken or hold a value of the wrong type."""
+    raw_root = scratch_folder(spark, "raw_broken")
+    events = _read(spark, sf_dir, "events")
+    key = F.col("event_id").cast("string")
+    payload = F.to_json(F.struct(F.struct(key.alias("id"), "user_id", "event_type").alias("payload")))
+    broken = F.concat(F.lit('{"payload":{"id":"'), key)
+    mistyped = F.concat(F.lit('{"payload":{"id":"'), key, F.lit('","user_id":"none"}}'))
+    line = F.when(F.col("event_id") % 100 == 0, broken).when(
+        F.col("event_id") % 100 == 1, mistyped
+    ).otherwise(payload)
+    write_lines(events.select(line.alias("line")), f"{raw_root}/shop/events/", rows_per_file=ROWS_PER_FILE)
+    spec = replace(
+        _event_entity(
+            spark, "broken", raw_root, "struct<id: string, user_id: bigint, event_type: string>"
+        ),
+        quarantine=True,
+    )
+    run_layer(spark, spec, "bronze")
+    return scan_table(spark, spec.table("bronze")).unionByName(
+        scan_table(spark, spec.malformed_table), allowMissingColumns=True
+    ).drop("processed_at")
+
+
 def bronze_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _chain(spark, sf_dir, "bronze").drop("processed_at")
 
@@ -675,6 +700,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_text_payload": bronze_text_payload,
     "silver_standardize": silver_standardize,
     "gold_count": gold_count,
+    "bronze_quarantine": bronze_quarantine,
     "bronze_layer": bronze_layer,
     "silver_layer": silver_layer,
     "gold_layer": gold_layer,

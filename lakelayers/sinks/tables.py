@@ -106,8 +106,8 @@ def write_table(
     """Write ``df`` with columns matched by name; returns whether anything was written.
 
     ``append`` adds the rows. ``overwrite`` replaces the partitions that occur in ``df``, in a
-    table without partitions everything. A missing column is filled with null, an extra one is
-    an error. An empty frame is not written at all; that check stops at the first row, but
+    table without partitions everything. A missing column is filled with null (file tables;
+    other catalogs apply their own rule), an extra one is an error. An empty frame is not written at all; that check stops at the first row, but
     repeats the shuffles ahead of it, so pass ``skip_empty=False`` for frames known to have
     rows. ``rebalance_by`` gathers the rows of a partition value in few files and splits a hot
     value over several. ``observation`` receives ``rows``, counted by the write itself.

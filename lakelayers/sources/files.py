@@ -77,12 +77,12 @@ def file_manifest(
     ``_`` or ``.`` are not listed, as in every Spark file scan.
     """
     scan = _binary_scan(spark, folder, pattern)
-    small = scan.filter(F.col("length") <= inline_limit)
-    hashed = _described(small, F.sha2("content", 256).alias("sha256"))
-    listed = _described(scan.filter(F.col("length") > inline_limit))
+    # The listing knows the sizes, so each side opens its own files only.
+    size = F.col("_metadata.file_size")
+    hashed = _described(scan.filter(size <= inline_limit), F.sha2("content", 256).alias("sha256"))
+    listed = _described(scan.filter(size > inline_limit))
     with_digest = T.StructType([*listed.schema.fields, T.StructField("sha256", T.StringType())])
-    streamed = listed.repartition("path").mapInPandas(_streamed_digests(READ_CHUNK), with_digest)
-    return hashed.unionByName(streamed)
+    return hashed.unionByName(listed.mapInPandas(_streamed_digests(READ_CHUNK), with_digest))
 
 
 def read_csv_drop(
