@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 CORRUPT_COLUMN = "_corrupt_record"
 
-# Schema of a prefix that exists but holds no line yet.
+# Schema of a folder that exists but holds no readable line yet.
 EMPTY_LANDING = "payload struct<id: string>"
 
 
@@ -41,11 +41,13 @@ def scan_jsonl(
             declared = T.StructType([*declared.fields, T.StructField(CORRUPT_COLUMN, T.StringType())])
         return reader.schema(declared).json(path)
     try:
-        return reader.json(path)
+        inferred = reader.json(path)
+        nothing_found = set(inferred.columns) <= {CORRUPT_COLUMN}
     except AnalysisException as error:
         if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise
-        return spark.createDataFrame([], EMPTY_LANDING)
+        nothing_found = True
+    return scan_jsonl(spark, path, EMPTY_LANDING, malformed, keep_corrupt) if nothing_found else inferred
 
 
 def is_corrupt(df: DataFrame):

@@ -1,0 +1,130 @@
+import json
+from datetime import datetime, timedelta, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakelayers.operators.landing import (
+    METADATA_SCHEMA,
+    LandingRun,
+    enrich_columns,
+    envelope,
+    land_records,
+    land_responses,
+    with_batch_ids,
+)
+from lakelayers.operators.ordinals import PART, with_ordinal
+from lakelayers.sources.jsonl import scan_jsonl
+
+RUN = LandingRun("api", "posts", "job", datetime(2024, 5, 6, 7, 8, 9), 500)
+
+
+def lines_below(folder):
+    files = sorted(folder.rglob("part-*"))
+    return [[json.loads(line) for line in file.read_text().splitlines()] for file in files]
+
+
+def test_ordinals_are_dense_and_ordered(spark):
+    frame = spark.range(0, 10_007, 1, 7).select((F.col("id") * 7919 % 10_007).alias("k"))
+    rows = with_ordinal(frame, "n", ["k"], unique=True).collect()
+    assert sorted((row["k"], row["n"]) for row in rows) == [(i, i) for i in range(10_007)]
+
+
+def test_ordinals_keep_arrival_order(spark):
+    rows = with_ordinal(spark.range(0, 1000, 1, 5), "n").collect()
+    assert all(row["id"] == row["n"] for row in rows)
+
+
+def test_hot_value_is_spread_and_keeps_arrival_order(spark):
+    """More than a third of all rows share one key; they still lie in several ranges."""
+    frame = spark.range(0, 40_000, 1, 8).select(
+        "id", F.when(F.col("id") % 5 < 2, F.lit(7)).otherwise(F.col("id") % 1000 + 10).alias("k")
+    )
+    numbered = with_ordinal(frame, "n", ["k"], partitions=8)
+    rows = sorted(numbered.collect(), key=lambda row: row["n"])
+    assert [row["n"] for row in rows] == list(range(40_000))
+    expected = sorted(((row["k"], row["id"]) for row in rows))
+    assert [(row["k"], row["id"]) for row in rows] == expected
+    staged = spark.read.parquet(*numbered.inputFiles())
+    assert staged.filter("k = 7").select(PART).distinct().count() >= 3
+
+
+def test_identical_rows_are_all_numbered(spark):
+    frame = spark.range(0, 5000, 1, 4).select(F.lit("same").alias("k"))
+    numbers = [row["n"] for row in with_ordinal(frame, "n", ["k"]).collect()]
+    assert sorted(numbers) == list(range(5000))
+
+
+@pytest.mark.parametrize("rows", [0, 1, 499, 500, 501])
+def test_batch_boundaries(spark, rows):
+    found = with_batch_ids(spark.range(rows), RUN, ["id"], unique=True).orderBy("id").collect()
+    assert len(found) == rows
+    for i, row in enumerate(found):
+        batch = i // 500 + 1
+        assert row["record_id"] == f"20240506_070809_{batch:03d}_{i % 500:06d}"
+        assert row["batch_id"] == f"20240506_070809_batch_{batch:03d}"
+        assert row["file_name"] == f"api_data_20240506_070809_batch_{batch:03d}.jsonl"
+
+
+def test_run_times_are_utc():
+    run = LandingRun("a", "b", started=datetime(2024, 1, 1, 1, tzinfo=timezone(timedelta(hours=2))))
+    assert run.label == "20231231_230000"
+    assert run.iso == "2023-12-31T23:00:00Z"
+    with pytest.raises(ValueError):
+        LandingRun("a", "b", batch_size=0)
+
+
+def test_typed_enrichment_adds_absent_columns_only(spark):
+    row = enrich_columns(spark.sql("SELECT 1 AS id, CAST(NULL AS STRING) AS source"), RUN).first()
+    assert row.asDict() == {
+        "id": 1, "source": None, "ingested_at": "2024-05-06T07:08:09Z", "entity_type": "posts",
+    }
+
+
+def test_request_facts_come_from_argument_column_or_default(spark):
+    frame = with_batch_ids(spark.sql("SELECT 1 AS id, 12 AS response_time_ms"), RUN)
+    row = envelope(frame, RUN, ["id"], request={"response_status_code": 200}).first()
+    assert row["payload"].asDict() == {"id": 1}
+    facts = row["metadata"].asDict()
+    assert (facts["request_url"], facts["response_status_code"], facts["response_time_ms"]) == ("", 200, 12)
+    assert facts["request_timestamp"] == "2024-05-06T07:08:09Z"
+    assert facts["ingestion_method"] == "api_polling"
+
+
+def test_landed_files_hold_at_most_a_batch(spark, tmp_path):
+    run = LandingRun("api", "posts", "job", RUN.started, 100)
+    land_records(spark.range(0, 450, 1, 1), str(tmp_path / "raw"), run, ["id"])
+    files = lines_below(tmp_path / "raw")
+    assert sorted(len(lines) for lines in files) == [50, 100, 100, 100, 100]
+    line = files[0][0]
+    assert list(line) == ["payload", "metadata"] and len(line["metadata"]) == 11
+
+
+def test_partition_values_stand_in_folder_and_line(spark, tmp_path):
+    frame = spark.sql("SELECT * FROM VALUES (1, 'a', 2024), (2, 'b', 2024), (3, 'a', 2025) AS t(id, kind, year)")
+    land_records(frame, str(tmp_path / "raw"), RUN, ["id"], ["year", "kind"])
+    assert {path.name for path in (tmp_path / "raw" / "year=2024").iterdir()} == {"kind=a", "kind=b"}
+    lines = [line for file in lines_below(tmp_path / "raw") for line in file]
+    assert sorted((line["payload"]["id"], line["kind"], line["year"]) for line in lines) == [
+        (1, "a", 2024), (2, "b", 2024), (3, "a", 2025),
+    ]
+    back = scan_jsonl(spark, str(tmp_path / "raw"), "payload struct<id: int>, year int, kind string")
+    assert back.filter("year = 2024 AND kind = 'a'").count() == 1
+
+
+def test_nothing_to_land(spark, tmp_path):
+    empty = spark.createDataFrame([], "body string")
+    assert land_responses(empty, str(tmp_path / "raw"), RUN) is False
+    assert not (tmp_path / "raw").exists()
+
+
+def test_records_of_a_body_stay_in_order(spark, tmp_path):
+    bodies = [(k, json.dumps([{"id": k * 10 + i, "note": None} for i in range(3)])) for k in (3, 1, 2)]
+    frame = spark.createDataFrame(bodies, "page int, body string")
+    land_responses(frame, str(tmp_path / "raw"), RUN, order_by=["page"])
+    schema = f"payload struct<id: int, source: string>, metadata {METADATA_SCHEMA}"
+    rows = scan_jsonl(spark, str(tmp_path / "raw"), schema).orderBy("metadata.record_id").collect()
+    assert [row["payload"]["id"] for row in rows] == [10, 11, 12, 20, 21, 22, 30, 31, 32]
+    assert {row["payload"]["source"] for row in rows} == {"api"}
+    text = (next((tmp_path / "raw").glob("part-*"))).read_text()
+    assert '"note":null' in text
