@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from lakelayers.scratch import stage
@@ -16,15 +16,20 @@ OFFSET = "__offset"
 # monotonically_increasing_id() keeps the row's position in its partition in the low 33 bits.
 POSITION_MASK = (1 << 33) - 1
 
+# Offsets are broadcast up to this number of partitions, some tens of megabytes.
+BROADCAST_PARTS = 1_000_000
 
-def _stage_with_positions(df: DataFrame, label: str) -> DataFrame:
-    return stage(
-        df.withColumns({
-            PART: F.spark_partition_id(),
-            POSITION: F.monotonically_increasing_id().bitwiseAND(F.lit(POSITION_MASK)),
-        }),
-        label,
-    )
+
+def _stage_with_positions(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """The staged rows with partition number and position, and a bound of the partition count."""
+    positioned = df.withColumns({
+        PART: F.spark_partition_id(),
+        POSITION: F.monotonically_increasing_id().bitwiseAND(F.lit(POSITION_MASK)),
+    })
+    seen = Observation()
+    staged = stage(positioned, label, (), seen, F.max(PART).alias("last"))
+    last = seen.get["last"]
+    return staged, 0 if last is None else last + 1
 
 
 def with_ordinal(
@@ -33,6 +38,7 @@ def with_ordinal(
     order_by: Sequence[str] | None = None,
     unique: bool = False,
     partitions: int | None = None,
+    broadcast_parts: int = BROADCAST_PARTS,
 ) -> DataFrame:
     """Number the rows 0, 1, 2, … over the whole frame.
 
@@ -45,23 +51,28 @@ def with_ordinal(
 
     The numbered rows are staged in a scratch table with partition number and position, so that
     the counting pass and the numbering pass see the same partitions, executors lost or not.
-    Only one count per partition goes through a single task and is broadcast.
+    Only one count per partition goes through a single task. These counts are broadcast while
+    there are at most ``broadcast_parts`` of them, and joined by a shuffle beyond that.
     """
     if order_by:
         keys = [F.col(name) for name in order_by]
         if not unique:
-            df = _stage_with_positions(df, "arrival")
+            df, _ = _stage_with_positions(df, "arrival")
             keys += [F.col(PART), F.col(POSITION)]
         ranges = [partitions] if partitions else []
         df = df.repartitionByRange(*ranges, *keys).sortWithinPartitions(*keys).drop(PART, POSITION)
-    staged = _stage_with_positions(df, "ordinal")
+    staged, parts = _stage_with_positions(df, "ordinal")
     counts = staged.groupBy(PART).agg(F.count(F.lit(1)).alias("rows"))
     earlier = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         PART, F.coalesce(F.sum("rows").over(earlier), F.lit(0)).cast("bigint").alias(OFFSET)
     )
+    if parts <= broadcast_parts:
+        offsets = F.broadcast(offsets)
+    else:
+        offsets = offsets.hint("merge")
     return (
-        staged.join(F.broadcast(offsets), PART)
+        staged.join(offsets, PART)
         .withColumn(column, F.col(OFFSET) + F.col(POSITION))
         .drop(PART, POSITION, OFFSET)
     )

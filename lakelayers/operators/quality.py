@@ -55,13 +55,13 @@ def validate(df: DataFrame, rules: Sequence[Rule], column: str = "failed_rule")
 
 
 def split_rejects(
-    df: DataFrame, rules: Sequence[Rule], column: str = "failed_rule", staged: bool = True
+    df: DataFrame, rules: Sequence[Rule], column: str = "failed_rule", staged: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Good rows without, and rejected rows with the rule column.
 
-    Staged, the rows are read and judged once and written by verdict; each side then reads its
-    own folder only. Unstaged, both sides filter the input, which is the better choice where
-    only one of them is used.
+    Both sides filter the input, which is cheap for a table scan. For a costly or changing input
+    ask for ``staged``: its rows are computed and judged once and written by verdict, and each
+    side reads its own folder only.
     """
     verdict = "__rejected"
     judged = validate(df, rules, column)

@@ -210,11 +210,11 @@ SELECT source, CAST(sum(strlen(CAST(to_json({'doc_id': doc_id, 'text': text, 'so
 FROM documents GROUP BY source""",
     "manifest_diff": """
 WITH previous AS (
-  SELECT 'pages/' || page_id || '.html' AS path, sha256(html) AS h FROM pages WHERE page_id % 7 <> 0
+  SELECT 'pages/' || page_id || '.html' AS path, sha256(html) AS h FROM pages
 ), current AS (
-  SELECT 'pages/' || page_id || '.html' AS path,
+  SELECT CASE WHEN page_id % 7 = 0 THEN 'new/' || page_id ELSE 'pages/' || page_id || '.html' END AS path,
          sha256(CASE WHEN page_id % 5 = 0 THEN html || ' ' ELSE html END) AS h
-  FROM pages WHERE page_id % 11 <> 0
+  FROM pages
 )
 SELECT coalesce(p.path, c.path) AS path,
        CASE WHEN p.path IS NULL THEN 'new' WHEN c.path IS NULL THEN 'gone'
@@ -309,11 +309,11 @@ FROM orders""",
 WITH w AS (
   SELECT c_custkey AS k, CASE WHEN c_custkey % 2 = 0 THEN 'w' || c_name END AS name,
          CASE WHEN c_custkey % 5 = 0 THEN CAST(-1.0 AS DOUBLE) END AS balance
-  FROM customer WHERE c_custkey % 3 = 0
+  FROM customer WHERE c_mktsegment = 'BUILDING'
 ), c AS (
   SELECT c_custkey AS k, CASE WHEN c_custkey % 7 <> 0 THEN 'c' || c_name END AS name,
          CASE WHEN c_custkey % 11 = 0 THEN c_mktsegment END AS segment
-  FROM customer WHERE c_custkey % 4 <> 0
+  FROM customer WHERE c_acctbal > 0
 ), d AS (
   SELECT c_custkey AS k, c_name AS name, c_acctbal AS balance,
          CASE WHEN c_custkey % 13 <> 0 THEN 'NONE' END AS segment

@@ -507,15 +507,14 @@ def file_manifest_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def manifest_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two manifests of all pages; in between some were edited and some moved."""
     pages = _read(spark, sf_dir, "pages")
-    path = F.concat(F.lit("pages/"), F.col("page_id").cast("string"), F.lit(".html"))
+    number = F.col("page_id").cast("string")
+    path = F.concat(F.lit("pages/"), number, F.lit(".html"))
+    moved = F.when(F.col("page_id") % 7 == 0, F.concat(F.lit("new/"), number)).otherwise(path)
     edited = F.when(F.col("page_id") % 5 == 0, F.concat(F.col("html"), F.lit(" "))).otherwise(F.col("html"))
-    previous = pages.filter(F.col("page_id") % 7 != 0).select(
-        path.alias("path"), content_sha256("html").alias("sha256")
-    )
-    current = pages.filter(F.col("page_id") % 11 != 0).select(
-        path.alias("path"), content_sha256(edited).alias("sha256")
-    )
+    previous = pages.select(path.alias("path"), content_sha256("html").alias("sha256"))
+    current = pages.select(moved.alias("path"), content_sha256(edited).alias("sha256"))
     return manifest_diff(previous, current)
 
 
@@ -608,11 +607,11 @@ def survivorship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three layers of customers with holes; keys are missing in some of them."""
     customers = _read(spark, sf_dir, "customer")
     key = F.col("c_custkey")
-    workflow = customers.filter(key % 3 == 0).select(
+    workflow = customers.filter(F.col("c_mktsegment") == "BUILDING").select(
         "c_custkey", F.when(key % 2 == 0, F.concat(F.lit("w"), F.col("c_name"))).alias("name"),
         F.when(key % 5 == 0, F.lit(-1.0)).alias("balance"),
     )
-    command = customers.filter(key % 4 != 0).select(
+    command = customers.filter(F.col("c_acctbal") > 0).select(
         "c_custkey", F.when(key % 7 != 0, F.concat(F.lit("c"), F.col("c_name"))).alias("name"),
         F.when(key % 11 == 0, F.col("c_mktsegment")).alias("segment"),
     )

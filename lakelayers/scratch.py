@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _local_roots: dict[str, str] = {}
 
@@ -33,15 +33,23 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def stage(
+    df: DataFrame,
+    label: str,
+    partition_by: tuple[str, ...] = (),
+    observation: Observation | None = None,
+    *measures: Column,
+) -> DataFrame:
     """Write ``df`` as Parquet to a scratch folder and read it back.
 
     What follows depends on files only: a lost executor costs the re-read of some files, and
-    every later pass sees the same rows in the same files.
+    every later pass sees the same rows in the same files. ``observation`` receives the
+    measures, taken by the write itself.
     """
     spark = df.sparkSession
     folder = scratch_folder(spark, label)
-    writer = df.write.mode("errorifexists")
+    observed = df.observe(observation, *measures) if observation is not None else df
+    writer = observed.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(folder)

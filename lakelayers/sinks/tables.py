@@ -139,8 +139,9 @@ def _is_file_table(spark: SparkSession, ref: TableRef) -> bool:
     if ref.catalog != SESSION_CATALOG:
         return False
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {ref.sql}").filter("col_name = 'Provider'")
-    provider = described.select("data_type").first()
-    return provider is None or provider[0].lower() in FILE_FORMATS
+    # The table's properties come after its columns, one of which may have that name too.
+    provider = described.select("data_type").tail(1)
+    return not provider or provider[0][0].lower() in FILE_FORMATS
 
 
 def _partition_clause(columns: Sequence[str]) -> str:

@@ -49,6 +49,13 @@ def test_hot_value_is_spread_and_keeps_arrival_order(spark):
     assert staged.filter("k = 7").select(PART).distinct().count() >= 3
 
 
+def test_many_offsets_are_joined_without_broadcast(spark):
+    numbered = with_ordinal(spark.range(0, 3000, 1, 6), "n", broadcast_parts=5)
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert all(row["id"] == row["n"] for row in numbered.collect())
+
+
 def test_identical_rows_are_all_numbered(spark):
     frame = spark.range(0, 5000, 1, 4).select(F.lit("same").alias("k"))
     numbers = [row["n"] for row in with_ordinal(frame, "n", ["k"]).collect()]

@@ -147,3 +147,37 @@ def test_databases_and_layer_tables(spark, tmp_path):
     assert spark.table(ref.sql).columns == [
         "record_id", "payload_json", "payload_size", "payload_hash", "processed_at", "standardized_at",
     ]
+
+
+class OtherCatalogFrame:
+    """Stands for a frame whose target lies in a data source V2 catalog."""
+
+    def __init__(self):
+        self.sparkSession, self.calls = None, []
+
+    def isEmpty(self):
+        return False
+
+    def writeTo(self, name):
+        self.calls.append(name)
+        return self
+
+    def append(self):
+        self.calls.append("append")
+
+    def overwritePartitions(self):
+        self.calls.append("overwritePartitions")
+
+
+@pytest.mark.parametrize("mode, call", [("append", "append"), ("overwrite", "overwritePartitions")])
+def test_other_catalogs_use_their_own_write(mode, call):
+    frame = OtherCatalogFrame()
+    assert write_table(frame, TableRef("d", "t", "lake"), mode)
+    assert frame.calls == ["`lake`.`d`.`t`", call]
+
+
+def test_a_column_may_be_called_provider(spark, table):
+    ref = table("t")
+    create_managed_table(spark, ref, "Provider STRING")
+    write_table(spark.sql("SELECT 'x' AS Provider"), ref)
+    assert rows_of(scan_table(spark, ref)) == [("x",)]
