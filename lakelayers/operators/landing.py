@@ -105,10 +105,11 @@ def with_batch_ids(
     run: LandingRun,
     order_by: Sequence[str] | None = None,
     unique: bool = False,
+    ordinal: str | None = None,
 ) -> DataFrame:
-    """Number the records globally and add the batch columns."""
-    numbered = with_ordinal(df, ORDINAL, order_by, unique)
-    return numbered.withColumns(batch_columns(ORDINAL, run)).drop(ORDINAL)
+    """Add the batch columns, from global numbers given in ``ordinal`` or made here."""
+    numbered = df if ordinal else with_ordinal(df, ORDINAL, order_by, unique)
+    return numbered.withColumns(batch_columns(ordinal or ORDINAL, run)).drop(ordinal or ORDINAL)
 
 
 def envelope(
@@ -169,11 +170,18 @@ def land_records(
     order_by: Sequence[str] | None = None,
     unique: bool = False,
     request: Mapping[str, object] | None = None,
+    ordinal: str | None = None,
+    skip_empty: bool = True,
 ) -> bool:
-    """Wrap records and append them as JSON Lines; returns whether anything was written."""
-    if df.isEmpty():
+    """Wrap records and append them as JSON Lines; returns whether anything was written.
+
+    Records are numbered over the whole frame as in :func:`with_ordinal`, unless the column
+    ``ordinal`` already holds such numbers. Nothing is written for an empty frame; pass
+    ``skip_empty=False`` to save the look for a first row where there is one for certain.
+    """
+    if skip_empty and df.isEmpty():
         return False
-    numbered = with_batch_ids(df, run, order_by, unique)
+    numbered = with_batch_ids(df, run, order_by, unique, ordinal)
     lines = landing_lines(envelope(numbered, run, payload, partition_by, request), partition_by)
     return write_lines(lines, path, partition_by, run.batch_size, skip_empty=False)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakelayers.scratch import stage
@@ -63,16 +63,35 @@ def with_ordinal(
         df = df.repartitionByRange(*ranges, *keys).sortWithinPartitions(*keys).drop(PART, POSITION)
     staged, parts = _stage_with_positions(df, "ordinal")
     counts = staged.groupBy(PART).agg(F.count(F.lit(1)).alias("rows"))
+    return _add_offsets(staged, counts, column, parts <= broadcast_parts)
+
+
+def parquet_with_ordinal(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    column: str = "ordinal",
+    broadcast_parts: int = BROADCAST_PARTS,
+) -> DataFrame:
+    """The rows of Parquet files numbered 0, 1, 2, … in the order of paths and of rows in them.
+
+    Parquet scans know a row's position in its file, and the footers its number of rows, so
+    nothing is staged or shuffled. The files must not change before the frame is used up.
+    """
+    scan = spark.read.parquet(*([path] if isinstance(path, str) else path))
+    positioned = scan.withColumns({PART: F.col("_metadata.file_path"), POSITION: F.col("_metadata.row_index")})
+    counts = scan.groupBy(F.col("_metadata.file_path").alias(PART)).agg(F.count(F.lit(1)).alias("rows"))
+    return _add_offsets(positioned, counts, column, len(scan.inputFiles()) <= broadcast_parts)
+
+
+def _add_offsets(df: DataFrame, counts: DataFrame, column: str, broadcast: bool) -> DataFrame:
+    """Turn positions within parts into global numbers."""
     earlier = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         PART, F.coalesce(F.sum("rows").over(earlier), F.lit(0)).cast("bigint").alias(OFFSET)
     )
-    if parts <= broadcast_parts:
-        offsets = F.broadcast(offsets)
-    else:
-        offsets = offsets.hint("merge")
+    offsets = F.broadcast(offsets) if broadcast else offsets.hint("merge")
     return (
-        staged.join(offsets, PART)
+        df.join(offsets, PART)
         .withColumn(column, F.col(OFFSET) + F.col(POSITION))
         .drop(PART, POSITION, OFFSET)
     )

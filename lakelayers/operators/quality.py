@@ -17,6 +17,13 @@ from lakelayers.functions.parsing import (
 from lakelayers.functions.rules import Rule, first_failed_rule
 from lakelayers.scratch import stage
 
+KIND_NAMES = {
+    "bool": "a boolean (true/false/1/0/yes/no)",
+    "lenient_bool": "a boolean",
+    "int": "an integer",
+    "float": "a float",
+}
+
 PARSERS = {
     "bool": parse_bool,
     "lenient_bool": parse_bool_lenient,
@@ -40,13 +47,26 @@ def parse_columns(
     kinds: Mapping[str, str],
     defaults: Mapping[str, object] | None = None,
     rejects: str = "rejected_columns",
+    on_reject: str = "report",
 ) -> DataFrame:
-    """Replace text columns by typed ones; ``rejects`` lists the columns that did not parse."""
+    """Replace text columns by typed ones.
+
+    With ``on_reject="report"`` text that does not parse becomes null and the column ``rejects``
+    lists the names concerned; with ``"fail"`` the first such text fails the query.
+    """
+    if on_reject not in ("report", "fail"):
+        raise ValueError(f"on_reject must be 'report' or 'fail', not {on_reject!r}")
     values, failures = {}, []
     for name, kind in kinds.items():
-        values[name], rejected = typed_value(name, kind, (defaults or {}).get(name))
+        parsed, rejected = typed_value(name, kind, (defaults or {}).get(name))
+        if on_reject == "fail":
+            complaint = F.concat(F.lit(f"{name} must be {KIND_NAMES[kind]}, got: "), F.col(name))
+            parsed = F.when(rejected, F.raise_error(complaint)).otherwise(parsed)
+        values[name] = parsed
         failures.append(F.when(rejected, F.lit(name)))
-    return df.withColumns({rejects: F.concat_ws(",", *failures), **values})
+    if on_reject == "report":
+        values[rejects] = F.concat_ws(",", *failures)
+    return df.withColumns(values)
 
 
 def validate(df: DataFrame, rules: Sequence[Rule], column: str = "failed_rule") -> DataFrame:

@@ -112,8 +112,14 @@ FROM numbered""",
 WITH numbered AS (
   SELECT l_returnflag, row_number() OVER (ORDER BY l_returnflag) - 1 AS i FROM lineitem
 )
-SELECT l_returnflag, min(i) AS first_ordinal, max(i) AS last_ordinal, count(DISTINCT i) AS ordinals
+SELECT l_returnflag, min(i) AS first_ordinal, max(i) AS last_ordinal, count(i) AS ordinals,
+       CAST(sum(i % 1000003) AS BIGINT) AS checksum
 FROM numbered GROUP BY l_returnflag""",
+    "file_ordinal": """
+WITH numbered AS (SELECT row_number() OVER () - 1 AS i FROM lineitem)
+SELECT min(i) AS first_ordinal, max(i) AS last_ordinal, count(i) AS ordinals,
+       CAST(sum(i % 1000003) AS BIGINT) AS checksum
+FROM numbered""",
     "landing_envelope": """
 WITH numbered AS (
   SELECT event_id, user_id, event_type, row_number() OVER (ORDER BY event_id) - 1 AS i FROM events

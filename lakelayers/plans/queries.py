@@ -35,7 +35,7 @@ from lakelayers.operators.landing import (
 from lakelayers.operators.layers import count_records, normalize, standardize
 from lakelayers.operators.manifests import manifest_diff
 from lakelayers.operators.merge import survivorship_merge
-from lakelayers.operators.ordinals import with_ordinal
+from lakelayers.operators.ordinals import parquet_with_ordinal, with_ordinal
 from lakelayers.operators.quality import parse_columns, split_rejects, validate
 from lakelayers.plans.chain import Entity, run_chain, run_layer
 from lakelayers.scratch import scratch_folder, stage
@@ -88,12 +88,11 @@ def _event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _land_events(spark: SparkSession, sf_dir: str, raw_root: str) -> None:
-    events = _read(spark, sf_dir, "events").select(
-        F.col("event_id").alias("id"), "user_id", "event_type", "value", "props"
-    )
+    numbered = parquet_with_ordinal(spark, f"{sf_dir}/events.parquet")
     land_records(
-        events, f"{raw_root}/shop/events/", LandingRun("shop", "events", "raw_events", RUN_TIME, ROWS_PER_FILE),
-        ["id", "user_id", "event_type", "value", "props"],
+        numbered.withColumnRenamed("event_id", "id"), f"{raw_root}/shop/events/",
+        LandingRun("shop", "events", "raw_events", RUN_TIME, ROWS_PER_FILE),
+        ["id", "user_id", "event_type", "value", "props"], ordinal="ordinal", skip_empty=False,
     )
 
 
@@ -246,7 +245,19 @@ def global_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered.groupBy("l_returnflag").agg(
         F.min("ordinal").alias("first_ordinal"),
         F.max("ordinal").alias("last_ordinal"),
-        F.countDistinct("ordinal").alias("ordinals"),
+        F.count("ordinal").alias("ordinals"),
+        F.sum(F.col("ordinal") % 1_000_003).alias("checksum"),
+    )
+
+
+def file_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Range and sum of the numbers all lines get by their place in the files."""
+    numbered = parquet_with_ordinal(spark, f"{sf_dir}/lineitem.parquet")
+    return numbered.agg(
+        F.min("ordinal").alias("first_ordinal"),
+        F.max("ordinal").alias("last_ordinal"),
+        F.count("ordinal").alias("ordinals"),
+        F.sum(F.col("ordinal") % 1_000_003).alias("checksum"),
     )
 
 
@@ -691,6 +702,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "enrich_defaults": enrich_defaults,
     "landing_batch_ids": landing_batch_ids,
     "global_ordinal": global_ordinal,
+    "file_ordinal": file_ordinal,
     "landing_envelope": landing_envelope,
     "land_jsonl": land_jsonl,
     "land_jsonl_partitioned": land_jsonl_partitioned,

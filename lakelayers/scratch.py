@@ -29,8 +29,13 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_folder(spark: SparkSession, label: str) -> str:
-    """A new, unused folder under :func:`scratch_root`."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new, unused folder, below the one folder this application uses.
+
+    Results may read it until the application ends; after that the application's folder as a
+    whole can go.
+    """
+    application = spark.conf.get("spark.app.id", "application")
+    return f"{scratch_root(spark)}/lakelayers-{application}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+logger = logging.getLogger(__name__)
+
 CSV_GLOB = "*.[cC][sS][vV]"
 INLINE_LIMIT = 64 * 1024 * 1024
 READ_CHUNK = 4 * 1024 * 1024
@@ -110,6 +114,8 @@ def read_csv_drop(
         if not found["files"]:
             raise ValueError(f"no CSV files in {path}")
         if which == "first":
+            if found["files"] > 1:
+                logger.warning("%d CSV files in %s, reading only %s", found["files"], path, found["first"])
             target = found["first"]
         else:
             pattern = CSV_GLOB

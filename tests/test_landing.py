@@ -13,7 +13,7 @@ from lakelayers.operators.landing import (
     land_responses,
     with_batch_ids,
 )
-from lakelayers.operators.ordinals import PART, with_ordinal
+from lakelayers.operators.ordinals import PART, parquet_with_ordinal, with_ordinal
 from lakelayers.sources.jsonl import scan_jsonl
 
 RUN = LandingRun("api", "posts", "job", datetime(2024, 5, 6, 7, 8, 9), 500)
@@ -49,6 +49,30 @@ def test_hot_value_is_spread_and_keeps_arrival_order(spark):
     assert staged.filter("k = 7").select(PART).distinct().count() >= 3
 
 
+@pytest.mark.parametrize("limit", [100, 1])
+def test_parquet_rows_are_numbered_by_file_and_place(spark, tmp_path, limit):
+    folder = str(tmp_path / "files")
+    spark.range(0, 10_000, 1, 7).write.option("maxRecordsPerFile", 600).parquet(folder)
+    numbered = parquet_with_ordinal(spark, folder, "n", limit)
+    rows = numbered.collect()
+    assert sorted(row["n"] for row in rows) == list(range(10_000))
+    by_file = spark.read.parquet(folder).select("id", "_metadata.file_path", "_metadata.row_index")
+    order = [row["id"] for row in by_file.orderBy("file_path", "row_index").collect()]
+    assert [row["id"] for row in sorted(rows, key=lambda row: row["n"])] == order
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert ("BroadcastHashJoin" in plan) == (limit == 100)
+
+
+def test_given_numbers_make_the_batch_ids(spark, tmp_path):
+    spark.range(0, 1100, 1, 1).write.parquet(str(tmp_path / "files"))
+    numbered = parquet_with_ordinal(spark, str(tmp_path / "files"))
+    land_records(numbered, str(tmp_path / "raw"), RUN, ["id"], ordinal="ordinal")
+    schema = f"payload struct<id: bigint>, metadata {METADATA_SCHEMA}"
+    for row in scan_jsonl(spark, str(tmp_path / "raw"), schema).collect():
+        i = row["payload"]["id"]
+        assert row["metadata"]["record_id"] == f"20240506_070809_{i // 500 + 1:03d}_{i % 500:06d}"
+
+
 def test_many_offsets_are_joined_without_broadcast(spark):
     numbered = with_ordinal(spark.range(0, 3000, 1, 6), "n", broadcast_parts=5)
     plan = numbered._jdf.queryExecution().executedPlan().toString()

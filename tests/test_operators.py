@@ -20,6 +20,15 @@ def test_parse_columns_reports_rejects(spark):
     assert [tuple(row) for row in found] == [(1, None, "f"), (7, None, ""), (None, 2.5, "n")]
 
 
+def test_parse_columns_can_fail(spark):
+    frame = spark.createDataFrame([("1",), ("a",)], "n string")
+    assert parse_columns(frame.filter("n = '1'"), {"n": "int"}, on_reject="fail").collect() == [(1,)]
+    with pytest.raises(Exception, match="n must be an integer, got: a"):
+        parse_columns(frame, {"n": "int"}, on_reject="fail").collect()
+    with pytest.raises(ValueError):
+        parse_columns(frame, {"n": "int"}, on_reject="ignore")
+
+
 @pytest.mark.parametrize("staged", [True, False])
 def test_split_conserves_rows(spark, staged):
     frame = spark.range(1000).select(F.when(F.col("id") % 3 != 0, F.col("id")).alias("v"))
