@@ -1,4 +1,4 @@
-"""Run a layer from the command line: ``spark-submit … lakelayers/__main__.py bronze --source …``"""
+"""Run a layer from the command line: ``python -m lakelayers bronze --source …``."""
 
 from __future__ import annotations
 

@@ -20,13 +20,17 @@ def normalize(
 ) -> DataFrame:
     """Bronze: ``record_id``, ``payload_json`` and ``processed_at`` from a payload.
 
-    The payload is a struct, whose null fields are left out of the text, or JSON text read
-    without schema, which is kept. A payload without the id field has a null ``record_id``.
+    The payload is a struct, whose null fields are left out of the text, or was read without
+    schema as JSON text or variant, which are kept whole. A payload without the id field has a
+    null ``record_id``.
     """
     kind = df.schema[payload].dataType
     if isinstance(kind, T.StringType):
         record_id = F.get_json_object(payload, f"$.{id_field}")
         text = F.col(payload)
+    elif isinstance(kind, T.VariantType):
+        record_id = F.try_variant_get(F.col(payload), f"$.{id_field}", "string")
+        text = F.to_json(payload)
     else:
         known = isinstance(kind, T.StructType) and id_field.split(".")[0] in kind.fieldNames()
         record_id = F.col(f"{payload}.{id_field}").cast("string") if known else F.lit(None).cast("string")

@@ -42,7 +42,7 @@ def rows(spark, spec, layer):
     return spark.table(spec.table(layer).sql).collect()
 
 
-@pytest.mark.parametrize("schema", [None, "struct<id: string, title: string>", "string"])
+@pytest.mark.parametrize("schema", [None, "struct<id: string, title: string>", "string", "variant"])
 def test_three_posts(spark, spec, land, schema):
     land(POSTS)
     spec = replace(spec, payload_schema=schema)
@@ -102,6 +102,14 @@ def test_payload_without_the_id_field(spark):
     assert normalize(spark.sql("SELECT struct(1 AS a) AS payload")).first()["record_id"] is None
 
 
+def test_variant_payload_keeps_all_fields(spark, spec, land):
+    land([POSTS[1], "{oops"])
+    run_layer(spark, replace(spec, payload_schema="variant"), "bronze")
+    texts = {row["record_id"]: row["payload_json"] for row in rows(spark, spec, "bronze")}
+    assert json.loads(texts.pop("2")) == POSTS[1]
+    assert texts == {None: None}
+
+
 def test_nested_id_field(spark):
     frame = spark.sql("SELECT struct(struct(5 AS id) AS user) AS payload")
     assert normalize(frame, "user.id").first()["record_id"] == "5"
