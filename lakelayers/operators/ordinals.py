@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakelayers.scratch import stage
@@ -20,16 +20,13 @@ POSITION_MASK = (1 << 33) - 1
 BROADCAST_PARTS = 1_000_000
 
 
-def _stage_with_positions(df: DataFrame, label: str) -> tuple[DataFrame, int]:
-    """The staged rows with partition number and position, and a bound of the partition count."""
-    positioned = df.withColumns({
+def _stage_with_positions(df: DataFrame, label: str) -> DataFrame:
+    """The staged rows with the number of their partition and their position in it."""
+    positions = {
         PART: F.spark_partition_id(),
         POSITION: F.monotonically_increasing_id().bitwiseAND(F.lit(POSITION_MASK)),
-    })
-    seen = Observation()
-    staged = stage(positioned, label, (), seen, F.max(PART).alias("last"))
-    last = seen.get["last"]
-    return staged, 0 if last is None else last + 1
+    }
+    return stage(df.withColumns(positions), label)
 
 
 def with_ordinal(
@@ -57,13 +54,11 @@ def with_ordinal(
     if order_by:
         keys = [F.col(name) for name in order_by]
         if not unique:
-            df, _ = _stage_with_positions(df, "arrival")
+            df = _stage_with_positions(df, "arrival")
             keys += [F.col(PART), F.col(POSITION)]
         ranges = [partitions] if partitions else []
         df = df.repartitionByRange(*ranges, *keys).sortWithinPartitions(*keys).drop(PART, POSITION)
-    staged, parts = _stage_with_positions(df, "ordinal")
-    counts = staged.groupBy(PART).agg(F.count(F.lit(1)).alias("rows"))
-    return _add_offsets(staged, counts, column, parts <= broadcast_parts)
+    return _add_offsets(_stage_with_positions(df, "ordinal"), F.col(PART), column, broadcast_parts)
 
 
 def parquet_with_ordinal(
@@ -78,20 +73,25 @@ def parquet_with_ordinal(
     nothing is staged or shuffled. The files must not change before the frame is used up.
     """
     scan = spark.read.parquet(*([path] if isinstance(path, str) else path))
-    positioned = scan.withColumns({PART: F.col("_metadata.file_path"), POSITION: F.col("_metadata.row_index")})
-    counts = scan.groupBy(F.col("_metadata.file_path").alias(PART)).agg(F.count(F.lit(1)).alias("rows"))
-    return _add_offsets(positioned, counts, column, len(scan.inputFiles()) <= broadcast_parts)
+    file = F.col("_metadata.file_path")
+    return _add_offsets(scan, file, column, broadcast_parts, F.col("_metadata.row_index"))
 
 
-def _add_offsets(df: DataFrame, counts: DataFrame, column: str, broadcast: bool) -> DataFrame:
-    """Turn positions within parts into global numbers."""
+def _add_offsets(
+    df: DataFrame, part: Column, column: str, broadcast_parts: int, position: Column | None = None
+) -> DataFrame:
+    """Turn positions within parts into global numbers; the rows of each part are counted once."""
+    counts = df.groupBy(part.alias(PART)).agg(F.count(F.lit(1)).alias("rows"))
     earlier = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        PART, F.coalesce(F.sum("rows").over(earlier), F.lit(0)).cast("bigint").alias(OFFSET)
+    offset = F.coalesce(F.sum("rows").over(earlier), F.lit(0)).cast("bigint")
+    seen = Observation()
+    offsets = stage(
+        counts.select(PART, offset.alias(OFFSET)), "offsets", (), seen, F.count(F.lit(1)).alias("parts")
     )
-    offsets = F.broadcast(offsets) if broadcast else offsets.hint("merge")
+    small = seen.get["parts"] <= broadcast_parts
+    positioned = df.withColumns({PART: part, POSITION: F.col(POSITION) if position is None else position})
     return (
-        df.join(offsets, PART)
+        positioned.join(F.broadcast(offsets) if small else offsets.hint("merge"), PART)
         .withColumn(column, F.col(OFFSET) + F.col(POSITION))
         .drop(PART, POSITION, OFFSET)
     )

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakelayers.sinks.layout import gather_by
+
 LINE_COLUMN = "line"
 
 
@@ -37,9 +39,7 @@ def write_lines(
     """Ready-made lines in column ``line`` plus the partition columns."""
     if skip_empty and lines.isEmpty():
         return False
-    if partition_by:
-        lines = lines.hint("rebalance", *[F.col(name) for name in partition_by])
-    writer = lines.write.mode("append").option("maxRecordsPerFile", rows_per_file)
+    writer = gather_by(lines, partition_by).write.mode("append").option("maxRecordsPerFile", rows_per_file)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.text(path)

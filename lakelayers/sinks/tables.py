@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakelayers.names import LAYERS_OF_RUN, SESSION_CATALOG, TableRef, layer_database, quote
+from lakelayers.sinks.layout import gather_by
 from lakelayers.sources.tables import repair_partitions
 
 # The columns of the layer tables.
@@ -109,15 +110,13 @@ def write_table(
     table without partitions everything. A missing column is filled with null (file tables;
     other catalogs apply their own rule), an extra one is an error. An empty frame is not written at all; that check stops at the first row, but
     repeats the shuffles ahead of it, so pass ``skip_empty=False`` for frames known to have
-    rows. ``rebalance_by`` gathers the rows of a partition value in few files and splits a hot
-    value over several. ``observation`` receives ``rows``, counted by the write itself.
+    rows. ``rebalance_by`` lays out the rows by value, see :func:`gather_by`. ``observation`` receives ``rows``, counted by the write itself.
     """
     if mode not in ("append", "overwrite"):
         raise ValueError(f"mode must be 'append' or 'overwrite', not {mode!r}")
     if skip_empty and df.isEmpty():
         return False
-    if rebalance_by:
-        df = df.hint("rebalance", *[F.col(name) for name in rebalance_by])
+    df = gather_by(df, rebalance_by)
     if observation is not None:
         df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
     if not _is_file_table(df.sparkSession, ref):

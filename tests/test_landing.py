@@ -45,7 +45,7 @@ def test_hot_value_is_spread_and_keeps_arrival_order(spark):
     assert [row["n"] for row in rows] == list(range(40_000))
     expected = sorted(((row["k"], row["id"]) for row in rows))
     assert [(row["k"], row["id"]) for row in rows] == expected
-    staged = spark.read.parquet(*numbered.inputFiles())
+    staged = spark.read.parquet(*[file for file in numbered.inputFiles() if "/ordinal-" in file])
     assert staged.filter("k = 7").select(PART).distinct().count() >= 3
 
 

@@ -51,10 +51,9 @@ def test_merge_shuffles_once_after_partial_aggregation(spark):
     assert plan.index("Exchange") < plan.index("partial_min")
 
 
-def test_numbering_gathers_only_the_counts(spark):
-    """The single-partition window runs over one row per partition, the rows join by broadcast."""
-    plan = plan_of(q.landing_batch_ids(spark, SF_DIR))
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
-    window = plan[plan.index("Window"):]
-    assert "partial_count" in window
-    assert "event_id" not in window
+def test_numbering_moves_only_the_offsets(spark):
+    """Rows meet the staged offsets by broadcast; nothing else is exchanged or sorted."""
+    for name in ("landing_batch_ids", "landing_envelope"):
+        plan = plan_of(q.QUERIES[name](spark, SF_DIR))
+        assert plan.count("Exchange") == 1 and "BroadcastExchange" in plan
+        assert "Window" not in plan and "Sort" not in plan

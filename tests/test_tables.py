@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from lakelayers.names import TableRef, layer_database, layer_table, quote, raw_folder
 from lakelayers.sinks.jsonl import write_jsonl
+from lakelayers.sinks.layout import gather_by
 from lakelayers.sinks.tables import (
     create_databases_for,
     create_external_json_table,
@@ -100,6 +101,16 @@ def test_rebalance_splits_a_hot_partition_value(spark, table):
     assert scan_table(spark, ref).count() == 200_000
 
 
+def test_no_gathering_without_adaptive_execution(spark):
+    frame = spark.range(10)
+    assert "Exchange" in gather_by(frame, ["id"])._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert "Exchange" not in gather_by(frame, ["id"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_managed_table_is_dropped_only_on_request(spark, table):
     ref = table("t")
     create_managed_table(spark, ref, "v INT")
@@ -153,7 +164,7 @@ class OtherCatalogFrame:
     """Stands for a frame whose target lies in a data source V2 catalog."""
 
     def __init__(self):
-        self.sparkSession, self.calls = None, []
+        self.sparkSession, self.conf, self.calls = self, {}, []
 
     def isEmpty(self):
         return False
