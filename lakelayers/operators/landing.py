@@ -72,6 +72,14 @@ def unnest_responses(df: DataFrame, body: str = "body", record: str = "record")
     return df.select(*rest, F.explode(response_records(body)).alias(record))
 
 
+def unreadable_responses(df: DataFrame, body: str = "body") -> DataFrame:
+    """The rows whose body cannot give records: invalid JSON, scalars, ``data`` that is no array.
+
+    An empty array is readable and simply holds no record.
+    """
+    return df.filter(response_records(body).isNull())
+
+
 def enrich_records(df: DataFrame, run: LandingRun, record: str = "record") -> DataFrame:
     """``ingested_at``, ``source`` and ``entity_type`` for JSON records that lack the key."""
     defaults = {"ingested_at": run.iso, "source": run.source, "entity_type": run.entity}
@@ -150,11 +158,15 @@ def envelope(
 
 
 def landing_lines(enveloped: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """JSON text of each enveloped record; a payload of JSON text is embedded as it is."""
+    """JSON text of each enveloped record; a payload of JSON text is embedded as it is.
+
+    Line breaks can only stand between the tokens of a JSON text, so blanks may replace them.
+    """
     options = {"ignoreNullFields": "false"}
-    payload = F.col("payload")
-    if not isinstance(enveloped.schema["payload"].dataType, T.StringType):
-        payload = F.to_json(payload, options)
+    if isinstance(enveloped.schema["payload"].dataType, T.StringType):
+        payload = F.translate("payload", "\r\n", "  ")
+    else:
+        payload = F.to_json("payload", options)
     rest = F.to_json(F.struct(*[F.col(name) for name in keep], F.col("metadata")), options)
     payload = F.coalesce(payload, F.lit("null"))
     line = F.concat(F.lit('{"payload":'), payload, F.lit(","), F.substr(rest, F.lit(2)))

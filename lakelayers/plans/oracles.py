@@ -88,6 +88,11 @@ FROM orders GROUP BY o_orderstatus""",
     "unnest_responses": f"""
 WITH {BODIES}
 SELECT event_id, CAST(record AS VARCHAR) AS record FROM records WHERE json_type(record) = 'OBJECT'""",
+    "unreadable_responses": f"""
+WITH {BODIES}
+SELECT event_id, body FROM bodies JOIN parsed USING (event_id)
+WHERE j IS NULL OR json_type(j) NOT IN ('ARRAY', 'OBJECT')
+   OR (list_contains(json_keys(j), 'data') AND json_type(j, '$.data') <> 'ARRAY')""",
     "enrich_defaults": """
 SELECT event_id, CASE event_id % 4
   WHEN 0 THEN printf('{"id":%d,"ingested_at":"2024-05-06T07:08:09Z","source":"shop","entity_type":"%s"}',

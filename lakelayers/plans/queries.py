@@ -30,6 +30,7 @@ from lakelayers.operators.landing import (
     land_records,
     land_responses,
     unnest_responses,
+    unreadable_responses,
     with_batch_ids,
 )
 from lakelayers.operators.layers import count_records, normalize, standardize
@@ -218,6 +219,10 @@ def unnest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unnest_responses(_bodies(_read(spark, sf_dir, "events")))
 
 
+def unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unreadable_responses(_bodies(_read(spark, sf_dir, "events")))
+
+
 def enrich_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _read(spark, sf_dir, "events")
     key = F.col("event_id").cast("string")
@@ -699,6 +704,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "external_table_scan": external_table_scan,
     "partition_repair": partition_repair,
     "unnest_responses": unnest,
+    "unreadable_responses": unreadable,
     "enrich_defaults": enrich_defaults,
     "landing_batch_ids": landing_batch_ids,
     "global_ordinal": global_ordinal,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,12 +96,13 @@ def read_csv_drop(
     schema: str | T.StructType | None = None,
     which: str = "all",
     header: bool = True,
+    options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Rows of the CSV file at ``path``, or of those in the folder if it ends with ``/``.
 
     ``which="all"`` reads every file whose name ends in ``.csv`` in any letter case;
     ``which="first"`` only the one first by path. ``source_file`` names the file of a row.
-    Without a schema all columns are text. A folder without CSV files is an error.
+    Without a schema all columns are text. ``options`` go to the CSV reader. A folder without CSV files is an error.
     """
     if which not in ("all", "first"):
         raise ValueError(f"which must be 'all' or 'first', not {which!r}")
@@ -124,4 +126,4 @@ def read_csv_drop(
         reader = reader.option("pathGlobFilter", pattern)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.csv(target).select("*", F.col("_metadata.file_name").alias("source_file"))
+    return reader.options(**(options or {})).csv(target).select("*", F.col("_metadata.file_name").alias("source_file"))

@@ -11,6 +11,8 @@ from lakelayers.operators.landing import (
     envelope,
     land_records,
     land_responses,
+    unnest_responses,
+    unreadable_responses,
     with_batch_ids,
 )
 from lakelayers.operators.ordinals import PART, parquet_with_ordinal, with_ordinal
@@ -159,3 +161,17 @@ def test_records_of_a_body_stay_in_order(spark, tmp_path):
     assert {row["payload"]["source"] for row in rows} == {"api"}
     text = (next((tmp_path / "raw").glob("part-*"))).read_text()
     assert '"note":null' in text
+
+
+def test_payload_text_with_line_breaks_stays_one_line(spark, tmp_path):
+    frame = spark.createDataFrame([('{\n "id": 1,\r\n "note": "a\\nb"\n}',)], "record string")
+    land_records(frame, str(tmp_path / "raw"), RUN, "record")
+    row = scan_jsonl(spark, str(tmp_path / "raw"), "payload struct<id: int, note: string>").collect()
+    assert [item["payload"].asDict() for item in row] == [{"id": 1, "note": "a\nb"}]
+
+
+def test_every_body_is_readable_or_reported(spark):
+    bodies = ["[]", "[{}]", "{}", '{"data":[]}', '{"data":{}}', "7", "{oops", "", None]
+    frame = spark.createDataFrame(list(enumerate(bodies)), "i int, body string")
+    assert sorted(row["i"] for row in unreadable_responses(frame).collect()) == [4, 5, 6, 7, 8]
+    assert sorted(row["i"] for row in unnest_responses(frame).collect()) == [1, 2]

@@ -157,6 +157,12 @@ def test_csv_drop(spark, drop):
         read_csv_drop(spark, drop, which="last")
 
 
+def test_csv_reader_options(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('k;v\n1;"x\ny"\n')
+    found = read_csv_drop(spark, f"{tmp_path}/", "k int, v string", options={"sep": ";", "multiLine": "true"})
+    assert [tuple(row) for row in found.collect()] == [(1, "x\ny", "a.csv")]
+
+
 def test_csv_drop_without_csv(spark, tmp_path):
     (tmp_path / "d.txt").write_text("x")
     with pytest.raises(ValueError):
