@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -17,24 +18,27 @@ def normalize(
     id_field: str = "id",
     payload: str = "payload",
     run_ts: datetime | str | None = None,
+    json_options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Bronze: ``record_id``, ``payload_json`` and ``processed_at`` from a payload.
 
     The payload is a struct, whose null fields are left out of the text, or was read without
     schema as JSON text or variant, which are kept whole. A payload without the id field has a
-    null ``record_id``.
+    null ``record_id``. ``json_options`` go to the JSON writer: by default it cuts timestamps to
+    milliseconds.
     """
+    options = dict(json_options or {})
     kind = df.schema[payload].dataType
     if isinstance(kind, T.StringType):
         record_id = F.get_json_object(payload, f"$.{id_field}")
         text = F.col(payload)
     elif isinstance(kind, T.VariantType):
         record_id = F.try_variant_get(F.col(payload), f"$.{id_field}", "string")
-        text = F.to_json(payload)
+        text = F.to_json(payload, options)
     else:
         known = isinstance(kind, T.StructType) and id_field.split(".")[0] in kind.fieldNames()
         record_id = F.col(f"{payload}.{id_field}").cast("string") if known else F.lit(None).cast("string")
-        text = F.to_json(payload)
+        text = F.to_json(payload, options)
     return df.select(
         record_id.alias("record_id"),
         text.alias("payload_json"),

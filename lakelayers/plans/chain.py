@@ -33,6 +33,7 @@ class Entity:
     raw_root: str
     id_field: str = "id"
     payload_schema: str | None = None
+    json_options: dict[str, str] = field(default_factory=dict)
     databases: dict[str, str] = field(default_factory=dict)
     tables: dict[str, str] = field(default_factory=dict)
     catalog: str = SESSION_CATALOG
@@ -88,7 +89,7 @@ def extract(spark: SparkSession, spec: Entity, layer: str) -> DataFrame:
 
 def transform(df: DataFrame, spec: Entity, layer: str) -> DataFrame:
     if layer == "bronze":
-        return normalize(df, spec.id_field, run_ts=spec.run_ts)
+        return normalize(df, spec.id_field, run_ts=spec.run_ts, json_options=spec.json_options)
     if layer == "silver":
         return standardize(df, run_ts=spec.run_ts)
     return count_records(df, spec.entity, run_ts=spec.run_ts)

@@ -19,7 +19,7 @@ LINE_JSON = (
     "to_json({'l_orderkey': l_orderkey, 'l_partkey': l_partkey, 'l_suppkey': l_suppkey, "
     "'l_linenumber': l_linenumber, 'l_quantity': l_quantity, 'l_extendedprice': l_extendedprice, "
     "'l_discount': l_discount, 'l_tax': l_tax, 'l_returnflag': l_returnflag, "
-    "'l_linestatus': l_linestatus, 'l_shipdate': strftime(l_shipdate, '%Y-%m-%d %H:%M:%S')})"
+    "'l_linestatus': l_linestatus, 'l_shipdate': strftime(l_shipdate, '%Y-%m-%d %H:%M:%S.%f')})"
 )
 
 BODIES = """

@@ -401,9 +401,10 @@ def full_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lineitem_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All columns of the lines packed, standardized and written in one observed pass."""
     lines = _read(spark, sf_dir, "lineitem")
-    shipped = F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("l_shipdate")
-    payload = F.struct(*[shipped if name == "l_shipdate" else F.col(name) for name in lines.columns])
-    bronze = normalize(lines.select(payload.alias("payload")), "l_orderkey")
+    payloads = lines.select(F.struct(*lines.columns).alias("payload"))
+    bronze = normalize(
+        payloads, "l_orderkey", json_options={"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
+    )
     ref = TableRef(_database(spark, "lineitem"), "lineitem_silver")
     create_managed_table(
         spark, ref,

@@ -54,7 +54,7 @@ def stage(
     spark = df.sparkSession
     folder = scratch_folder(spark, label)
     observed = df.observe(observation, *measures) if observation is not None else df
-    writer = observed.write.mode("errorifexists")
+    writer = observed.write.mode("errorifexists").option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(folder)

@@ -110,6 +110,13 @@ def test_variant_payload_keeps_all_fields(spark, spec, land):
     assert texts == {None: None}
 
 
+def test_timestamps_keep_microseconds_on_request(spark):
+    frame = spark.sql("SELECT struct(1 AS id, TIMESTAMP_NTZ'2024-01-01 00:00:00.123456' AS ts) AS payload")
+    options = {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
+    text = normalize(frame, json_options=options).first()["payload_json"]
+    assert text == '{"id":1,"ts":"2024-01-01 00:00:00.123456"}'
+
+
 def test_nested_id_field(spark):
     frame = spark.sql("SELECT struct(struct(5 AS id) AS user) AS payload")
     assert normalize(frame, "user.id").first()["record_id"] == "5"
