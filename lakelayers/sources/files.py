@@ -45,12 +45,15 @@ def _streamed_digests(chunk_size: int):
     """
 
     def open_stream(path):
+        from urllib.parse import quote
+
         from pyarrow import fs
 
         if path.startswith("file:"):
             return fs.LocalFileSystem().open_input_stream("/" + path[len("file:"):].lstrip("/"))
         scheme, rest = path.split(":", 1)
-        filesystem, inner = fs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}:{rest}")
+        scheme = "s3" if scheme in ("s3a", "s3n") else scheme
+        filesystem, inner = fs.FileSystem.from_uri(f"{scheme}:{quote(rest, safe='/:@')}")
         return filesystem.open_input_stream(inner)
 
     def digest(path):
