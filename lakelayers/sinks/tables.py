@@ -108,9 +108,12 @@ def write_table(
 
     ``append`` adds the rows. ``overwrite`` replaces the partitions that occur in ``df``, in a
     table without partitions everything. A missing column is filled with null (file tables;
-    other catalogs apply their own rule), an extra one is an error. An empty frame is not written at all; that check stops at the first row, but
-    repeats the shuffles ahead of it, so pass ``skip_empty=False`` for frames known to have
-    rows. ``rebalance_by`` lays out the rows by value, see :func:`gather_by`. ``observation`` receives ``rows``, counted by the write itself.
+    other catalogs apply their own rule), an extra one is an error.
+
+    An empty frame is not written at all. That check stops at the first row, but repeats the
+    shuffles ahead of it, so pass ``skip_empty=False`` for frames known to have rows.
+    ``rebalance_by`` lays out the rows by value, see :func:`gather_by`. ``observation`` receives
+    ``rows``, counted by the write itself.
     """
     if mode not in ("append", "overwrite"):
         raise ValueError(f"mode must be 'append' or 'overwrite', not {mode!r}")

@@ -105,7 +105,8 @@ def read_csv_drop(
 
     ``which="all"`` reads every file whose name ends in ``.csv`` in any letter case;
     ``which="first"`` only the one first by path. ``source_file`` names the file of a row.
-    Without a schema all columns are text. ``options`` go to the CSV reader. A folder without CSV files is an error.
+    Without a schema all columns are text. ``options`` go to the CSV reader. A folder without
+    CSV files is an error.
     """
     if which not in ("all", "first"):
         raise ValueError(f"which must be 'all' or 'first', not {which!r}")
@@ -129,4 +130,5 @@ def read_csv_drop(
         reader = reader.option("pathGlobFilter", pattern)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.options(**(options or {})).csv(target).select("*", F.col("_metadata.file_name").alias("source_file"))
+    rows = reader.options(**(options or {})).csv(target)
+    return rows.select("*", F.col("_metadata.file_name").alias("source_file"))

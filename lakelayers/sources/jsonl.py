@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,7 +50,7 @@ def scan_jsonl(
     return scan_jsonl(spark, path, EMPTY_LANDING, malformed, keep_corrupt) if nothing_found else inferred
 
 
-def is_corrupt(df: DataFrame):
+def is_corrupt(df: DataFrame) -> Column:
     """Condition for the malformed lines of a scan with ``keep_corrupt``."""
     if CORRUPT_COLUMN not in df.columns:
         return F.lit(False)
