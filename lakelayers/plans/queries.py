@@ -306,9 +306,11 @@ def land_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def land_jsonl_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_folder(spark, "land_partitioned")
-    orders = _read(spark, sf_dir, "orders")
+    orders = parquet_with_ordinal(spark, f"{sf_dir}/orders.parquet")
     run = LandingRun("shop", "orders", "raw_orders", RUN_TIME, ROWS_PER_FILE)
-    land_records(orders, folder, run, ["o_orderkey", "o_totalprice"], ["o_orderstatus"])
+    land_records(
+        orders, folder, run, ["o_orderkey", "o_totalprice"], ["o_orderstatus"], ordinal="ordinal"
+    )
     schema = "payload struct<o_orderkey: bigint, o_totalprice: double>, o_orderstatus string"
     landed = scan_jsonl(spark, folder, schema)
     return landed.select("payload.*", "o_orderstatus")
