@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakelayers.functions.json_text import fill_absent_keys, response_records
+from lakelayers.names import quote
 from lakelayers.operators.ordinals import with_ordinal
 from lakelayers.sinks.jsonl import LINE_COLUMN, write_lines
 
@@ -94,17 +95,20 @@ def enrich_columns(df: DataFrame, run: LandingRun) -> DataFrame:
     })
 
 
+def _padded(number: Column, width: int) -> Column:
+    """Decimal digits with leading zeros; numbers of more digits are not cut."""
+    digits = number.cast("string")
+    return F.when(F.length(digits) < width, F.lpad(digits, width, "0")).otherwise(digits)
+
+
 def batch_columns(ordinal: str, run: LandingRun) -> dict[str, Column]:
     """``record_id``, ``batch_id`` and ``file_name`` of the record with this global number."""
-    size = F.lit(run.batch_size)
-    batch = F.floor(F.col(ordinal) / size) + 1
-    index = F.col(ordinal) % size
+    batch = _padded(F.expr(f"{quote(ordinal)} div {run.batch_size} + 1"), 3)
+    index = _padded(F.col(ordinal) % run.batch_size, 6)
     return {
-        "record_id": F.format_string(f"{run.label}_%03d_%06d", batch, index),
-        "batch_id": F.format_string(f"{run.label}_batch_%03d", batch),
-        "file_name": F.format_string(
-            f"{run.source.replace('%', '%%')}_data_{run.label}_batch_%03d.jsonl", batch
-        ),
+        "record_id": F.concat(F.lit(f"{run.label}_"), batch, F.lit("_"), index),
+        "batch_id": F.concat(F.lit(f"{run.label}_batch_"), batch),
+        "file_name": F.concat(F.lit(f"{run.source}_data_{run.label}_batch_"), batch, F.lit(".jsonl")),
     }
 
 

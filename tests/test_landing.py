@@ -99,6 +99,14 @@ def test_batch_boundaries(spark, rows):
         assert row["file_name"] == f"api_data_20240506_070809_batch_{batch:03d}.jsonl"
 
 
+@pytest.mark.parametrize("i", [0, 499_999, 500 * 10**15 - 1, 500 * 10**15, 2**62])
+def test_batch_ids_of_large_numbers(spark, i):
+    frame = spark.sql(f"SELECT {i}L AS n")
+    row = with_batch_ids(frame, RUN, ordinal="n").first()
+    assert row["record_id"] == f"20240506_070809_{i // 500 + 1:03d}_{i % 500:06d}"
+    assert row["batch_id"] == f"20240506_070809_batch_{i // 500 + 1:03d}"
+
+
 def test_run_times_are_utc():
     run = LandingRun("a", "b", started=datetime(2024, 1, 1, 1, tzinfo=timezone(timedelta(hours=2))))
     assert run.label == "20231231_230000"
