@@ -3,9 +3,10 @@
 1. Every task adds its windows to a sparse partial count-min sketch (two rows of cells, counts
    saturating at two). The partial sketches are merged by block of cells. A merged count is at
    least the true one, so a cell of one proves a window unique.
-2. A second pass hands on only windows with two or more in every cell, as 128-bit hashes of their
+2. A second pass hands on only windows with two or more in every cell, as 96-bit hashes of their
    words, and these alone are grouped exactly. Windows that collide in the sketch merely travel
-   in vain; none is lost.
+   in vain; none is lost. They travel in bundles, one for each range of hashes and million windows
+   of a task, in which a window stands once, for its smallest document.
 3. Positions return to their documents, which lose the covered words.
 
 Only one bit a cell ("two or more") is broadcast: ``depth * 2**log2_cells / 8`` bytes at most,
@@ -35,21 +36,33 @@ from lakelayers.llm.words import Words, find_words, mixed, pieces, window_hashes
 
 WINDOW = 13
 DEPTH = 2
-BLOCK_BITS = 22
+BLOCK_BITS = 18
 MAX_LOG2_CELLS = 28
-MERGE_SALTS = 8
+RANGE_WINDOWS = 4_000_000
+FLUSH_ROWS = 1_000_000
 
 _HASHES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
-_PARTIAL = "row int, block int, salt int, cells binary"
+_PARTIAL = "row int, block int, cells binary"
+
+
+def pack(values: np.ndarray) -> bytes:
+    """Numbers compressed by byte planes."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T
+    return zstandard.compress(planes.tobytes(), 1)
+
+
+def unpack(packed: bytes, kind) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind)[:, 0]
 
 
 def pack_cells(cells: np.ndarray) -> bytes:
     """Sorted cell numbers of a block, each once or twice, as compressed differences."""
-    return zstandard.compress(np.diff(cells.astype(np.uint32), prepend=np.uint32(0)).tobytes(), 1)
+    return pack(np.diff(cells.astype(np.uint32), prepend=np.uint32(0)))
 
 
 def unpack_cells(packed: bytes) -> np.ndarray:
-    return np.cumsum(np.frombuffer(zstandard.decompress(packed), np.uint32), dtype=np.int64)
+    return np.cumsum(unpack(packed, np.uint32), dtype=np.int64)
 
 
 def at_most_twice(ordered: np.ndarray) -> np.ndarray:
@@ -66,7 +79,7 @@ def partial_sketches(width: int, log2_cells: int, depth: int):
     block_bits = min(BLOCK_BITS, log2_cells)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, batch in enumerate(batches):
+        for batch in batches:
             found = []
             for piece in pieces(batch):
                 words = find_words(piece.column("text"))
@@ -82,35 +95,29 @@ def partial_sketches(width: int, log2_cells: int, depth: int):
                     rows.append(row)
                     blocks.append(int(block))
                     cells.append(pack_cells(numbers[low:high] & np.uint64((1 << block_bits) - 1)))
-            salts = [(number * 7 + len(hashes)) % MERGE_SALTS] * len(rows)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows, pa.int32()), pa.array(blocks, pa.int32()), pa.array(salts, pa.int32()), pa.array(cells, pa.binary())],
-                ["row", "block", "salt", "cells"],
-            )
+            columns = [pa.array(rows, pa.int32()), pa.array(blocks, pa.int32()), pa.array(cells, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "block", "cells"])
 
     return run
 
 
-def merge_cells(last: bool, log2_cells: int):
-    """Merges partial sketches, sorted by block, one block at a time; the last merge gives bits."""
+def merge_cells(log2_cells: int):
+    """Merges partial sketches, sorted by block, one block at a time, into one bit a cell."""
     size = 1 << min(BLOCK_BITS, log2_cells)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, counts = None, np.zeros(0, np.uint8)
 
         def close():
-            if last:
-                content = np.packbits(counts >= 2, bitorder="little").tobytes()
-            else:
-                content = pack_cells(np.repeat(np.arange(size), counts))
-            return pd.DataFrame({"row": [key[0]], "block": [key[1]], "salt": [0], "cells": [content]})
+            bits = np.packbits(counts >= 2, bitorder="little").tobytes()
+            return pd.DataFrame({"row": [key[0]], "block": [key[1]], "cells": [bits]})
 
         for batch in batches:
-            for row, block, salt, packed in zip(batch["row"], batch["block"], batch["salt"], batch["cells"], strict=True):
-                if key != (row, block, salt if not last else 0):
+            for row, block, packed in zip(batch["row"], batch["block"], batch["cells"], strict=True):
+                if key != (row, block):
                     if key is not None:
                         yield close()
-                    key, counts = (row, block, salt if not last else 0), np.zeros(size, np.uint8)
+                    key, counts = (row, block), np.zeros(size, np.uint8)
                 cells = unpack_cells(packed)
                 again = np.flatnonzero(cells[1:] == cells[:-1])
                 counts[cells] = np.minimum(counts[cells] + 1, 2)
@@ -124,13 +131,11 @@ def merge_cells(last: bool, log2_cells: int):
 def repeated_bits(docs: DataFrame, width: int, log2_cells: int, depth: int) -> list[np.ndarray]:
     """For each row of the merged sketch the bits of the cells that count two or more."""
     parts = docs.select("text").mapInArrow(partial_sketches(width, log2_cells, depth), _PARTIAL)
-    first = parts.repartition("row", "block", "salt").sortWithinPartitions("row", "block", "salt")
-    merged = first.mapInPandas(merge_cells(False, log2_cells), _PARTIAL)
-    second = merged.repartition("row", "block").sortWithinPartitions("row", "block")
-    done = second.mapInPandas(merge_cells(True, log2_cells), _PARTIAL)
+    dealt = parts.repartition("row", "block").sortWithinPartitions("row", "block")
+    done = dealt.mapInPandas(merge_cells(log2_cells), _PARTIAL)
     bits = [np.zeros(max(1, (1 << log2_cells) // 8), np.uint8) for _ in range(depth)]
     size = max(1, (1 << min(BLOCK_BITS, log2_cells)) // 8)
-    for line in done.select("row", "block", "cells").toLocalIterator():  # bounded: the sketch's own size
+    for line in done.toLocalIterator():  # bounded: the sketch's own size
         bits[line["row"]][line["block"] * size : (line["block"] + 1) * size] = np.frombuffer(line["cells"], np.uint8)
     return bits
 
@@ -144,39 +149,60 @@ def estimated_repeated(hashes: np.ndarray, bits: list[np.ndarray], log2_cells: i
     return good
 
 
-FLUSH_ROWS = 2_000_000
-_PLACE_BITS = 24
-_CANDIDATE = pa.schema([("h1", pa.int64()), ("h2", pa.int32()), ("local", pa.bool_()), ("doc_id", pa.int64()), ("places", pa.binary())])
-_PART = np.dtype([("h1", np.int64), ("h2", np.int32), ("doc", np.int64), ("place", np.int64)])
-
-
-def candidate_windows(width: int, log2_cells: int, shared):
-    """Windows that may be repeated, once for the smallest document among some millions of
-    windows of a task. Of the others it is already known that they go (``local``)."""
-
-    def close(parts: list[np.ndarray], number: int) -> Iterator[pa.RecordBatch]:
-        every = np.concatenate(parts)
-        every = every[np.lexsort((every["doc"], every["h2"], every["h1"]))]
-        new = np.ones(len(every), bool)
-        new[1:] = (every["h1"][1:] != every["h1"][:-1]) | (every["h2"][1:] != every["h2"][:-1])
-        goes = every["doc"] > every["doc"][np.flatnonzero(new)][np.cumsum(new) - 1]
-        out, gone = every[~goes], every[goes]
-        gone = gone[np.argsort(gone["doc"], kind="stable")]
-        docs, at = np.unique(gone["doc"], return_index=True)
-        for part, h1, h2, doc, local, bounds in (
-            (out, out["h1"], out["h2"], out["doc"], False, np.arange(len(out) + 1)),
-            (gone, docs, np.full(len(docs), number, np.int32), docs, True, np.append(at, len(gone))),
-        ):
-            places = _binary(np.ascontiguousarray(part["place"]).view(np.uint8), bounds * 8)
-            columns = [pa.array(np.ascontiguousarray(x)) for x in (h1, h2, np.full(len(doc), local), doc)]
-            yield pa.RecordBatch.from_arrays([*columns, places], schema=_CANDIDATE)
+_PART = np.dtype([("h1", np.uint64), ("h2", np.uint32), ("doc", np.int64), ("key", np.int32), ("at", np.int32)])
+_BUNDLE = "range int, h1 binary, h2 binary, doc binary, at binary, docs binary, keys binary, local boolean"
+
+
+def without_larger(every: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Windows of the smallest document that has them, and those of the others."""
+    every = every[np.lexsort((every["doc"], every["h2"], every["h1"]))]
+    new = np.ones(len(every), bool)
+    new[1:] = (every["h1"][1:] != every["h1"][:-1]) | (every["h2"][1:] != every["h2"][:-1])
+    goes = every["doc"] > every["doc"][np.flatnonzero(new)][np.cumsum(new) - 1]
+    return every[~goes], every[goes]
+
+
+def bundles(every: np.ndarray, local: bool, ranges: int) -> pa.RecordBatch:
+    """One row for each range of first hashes; a window names its text by number."""
+    owner = (every["h1"] >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
+    order = np.argsort(owner, kind="stable")
+    every, owner = every[order], owner[order]
+    numbers, begin = np.unique(owner, return_index=True)
+    columns: list[list] = [[] for _ in range(8)]
+    for number, low, high in zip(numbers, begin, [*begin[1:], len(every)], strict=True):
+        part = every[low:high]
+        texts, name = np.unique(np.rec.fromarrays([part["doc"], part["key"]], names="doc,key"), return_inverse=True)
+        row = [int(number), pack(part["h1"]), pack(part["h2"]), pack(name.astype(np.uint32)), pack(part["at"]), pack(texts["doc"]), pack(texts["key"]), local]
+        for column, value in zip(columns, row, strict=True):
+            column.append(value)
+    kinds = [pa.int32(), *[pa.binary()] * 6, pa.bool_()]
+    names = [x.split()[0] for x in _BUNDLE.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+
+def unbundle(row: dict) -> np.ndarray:
+    name = unpack(row["doc"], np.uint32)
+    part = np.empty(len(name), _PART)
+    part["h1"], part["h2"], part["at"] = unpack(row["h1"], np.uint64), unpack(row["h2"], np.uint32), unpack(row["at"], np.int32)
+    part["doc"], part["key"] = unpack(row["docs"], np.int64)[name], unpack(row["keys"], np.int32)[name]
+    return part
+
+
+def candidate_windows(width: int, log2_cells: int, ranges: int, shared):
+    """Windows that may be repeated, in bundles. Of those that some smaller document of the same
+    million windows has, it is already known that they go (``local``)."""
+
+    def close(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        stays, goes = without_larger(np.concatenate(parts))
+        yield bundles(stays, False, ranges)
+        yield bundles(goes, True, ranges)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, parts, held, number = shared.value, [], 0, 0
+        bits, parts, held = shared.value, [], 0
         for batch in batches:
             for piece in pieces(batch):
                 ids = piece.column("doc_id").to_numpy(zero_copy_only=False)
-                keys = piece.column("text_key").to_numpy(zero_copy_only=False) & ((1 << _PLACE_BITS) - 1)
+                keys = piece.column("text_key").to_numpy(zero_copy_only=False)
                 words = find_words(piece.column("text"))
                 starts = window_starts(words, width)
                 hashes = word_hashes(words)
@@ -185,23 +211,49 @@ def candidate_windows(width: int, log2_cells: int, shared):
                 starts = starts[maybe]
                 row = np.searchsorted(words.first, starts, "right") - 1
                 part = np.empty(len(starts), _PART)
-                part["h1"] = first[maybe].astype(np.int64)
-                part["h2"] = (window_hashes(hashes, starts, width, _HASHES[1]) >> np.uint64(32)).astype(np.uint32).astype(np.int32)
-                part["doc"] = ids[row]
-                part["place"] = (starts - words.first[row]) << _PLACE_BITS | keys[row]
+                part["h1"] = first[maybe]
+                part["h2"] = window_hashes(hashes, starts, width, _HASHES[1]) >> np.uint64(32)
+                part["doc"], part["key"], part["at"] = ids[row], keys[row], starts - words.first[row]
                 parts.append(part)
                 held += len(part)
                 if held >= FLUSH_ROWS:
-                    yield from close(parts, number)
-                    parts, held, number = [], 0, number + 1
+                    yield from close(parts)
+                    parts, held = [], 0
         if held:
-            yield from close(parts, number)
+            yield from close(parts)
 
     return run
 
 
-def _binary(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
-    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data)])
+_PLACES = "doc_id long, text_key int, places binary"
+
+
+def repeated_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The starts of windows that go, by document, from bundles sorted by range."""
+
+    def close(stays: list[np.ndarray], goes: list[np.ndarray]) -> pa.RecordBatch:
+        gone = np.concatenate([*goes, *([without_larger(np.concatenate(stays))[1]] if stays else [])])
+        gone = gone[np.lexsort((gone["at"], gone["key"], gone["doc"]))]
+        new = np.ones(len(gone), bool)
+        new[1:] = (gone["doc"][1:] != gone["doc"][:-1]) | (gone["key"][1:] != gone["key"][:-1])
+        begin = np.flatnonzero(new)
+        places = np.ascontiguousarray(gone["at"]).view(np.uint8)
+        bounds = (np.append(begin, len(gone)) * 4).astype(np.int32)
+        binary = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(bounds), pa.py_buffer(places)])
+        columns = [pa.array(np.ascontiguousarray(gone[c][begin])) for c in ("doc", "key")]
+        return pa.RecordBatch.from_arrays([*columns, binary], ["doc_id", "text_key", "places"])
+
+    at, stays, goes = None, [], []
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1).to_pylist()[0]
+            if row["range"] != at:
+                if stays or goes:
+                    yield close(stays, goes)
+                at, stays, goes = row["range"], [], []
+            (goes if row["local"] else stays).append(unbundle(row))
+    if stays or goes:
+        yield close(stays, goes)
 
 
 def kept_words(width: int):
@@ -211,12 +263,10 @@ def kept_words(width: int):
         for batch in batches:
             for piece in pieces(batch):
                 words = find_words(piece.column("text"))
-                keys = piece.column("text_key").to_numpy(zero_copy_only=False) & ((1 << _PLACE_BITS) - 1)
                 goes = np.zeros(len(words.starts) + 1, np.int64)
                 for row, places in enumerate(piece.column("places").to_pylist()):
                     if places:
-                        place = np.unique(np.frombuffer(b"".join(places), np.int64))
-                        at = (place[place & ((1 << _PLACE_BITS) - 1) == keys[row]] >> _PLACE_BITS) + words.first[row]
+                        at = np.unique(np.frombuffer(b"".join(places), np.int32)) + words.first[row]
                         goes[at] += 1
                         goes[at + width] -= 1
                 stays = np.cumsum(goes[:-1]) == 0
@@ -251,9 +301,13 @@ def spaced(words: Words, stays: np.ndarray, kept: np.ndarray) -> list[bytes]:
     return [raw[a : max(a, b - 1)] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
-def log2_cells_for(docs: DataFrame, most: int = MAX_LOG2_CELLS) -> int:
-    """Cells for about three times the windows of the texts, between 2**16 and ``2**most``."""
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+def text_bytes_of(docs: DataFrame) -> int:
+    return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+
+
+def log2_cells_for(size: int, most: int = MAX_LOG2_CELLS) -> int:
+    """Cells for about three times the windows of texts of ``size`` bytes, between 2**16 and
+    ``2**most``."""
     return min(most, max(16, int(size // 2).bit_length()))
 
 
@@ -275,16 +329,17 @@ def dedup_substrings(
     ship(df.sparkSession)
     row = [F.struct(*[df[c] for c in df.columns]).alias("row")] if with_rows else []
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *row)
-    log2_cells = log2_cells_for(docs, max_log2_cells)
+    size = text_bytes_of(docs)
+    log2_cells = log2_cells_for(size, max_log2_cells)
+    ranges = 12 + size // (6 * RANGE_WINDOWS)
     shared = df.sparkSession.sparkContext.broadcast(repeated_bits(docs, width, log2_cells, depth))
-    keyed = docs.withColumn("text_key", F.xxhash64("text"))
-    schema = "h1 long, h2 int, local boolean, doc_id long, places binary"
+    keyed = docs.withColumn("text_key", F.hash("text"))
     named = keyed.select("doc_id", "text_key", "text").filter("doc_id is not null")
-    found = named.mapInArrow(candidate_windows(width, log2_cells, shared), schema)
-    smallest = F.expr("min(doc_id) over (partition by h1, h2, local)")
-    goes = found.withColumn("smallest", smallest).filter("local or doc_id > smallest")
-    places = goes.groupBy("doc_id").agg(F.collect_list("places").alias("places"))
-    joined = keyed.join(places, "doc_id", "left").select(*keyed.columns, "places")
+    found = named.mapInArrow(candidate_windows(width, log2_cells, ranges, shared), _BUNDLE)
+    dealt = found.repartition(ranges, "range").sortWithinPartitions("range")
+    goes = dealt.mapInArrow(repeated_places, _PLACES)
+    places = goes.groupBy("doc_id", "text_key").agg(F.collect_list("places").alias("places"))
+    joined = keyed.join(places, ["doc_id", "text_key"], "left").select(*keyed.columns, "places")
     result = StructType.fromDDL("doc_id long, n_words long, n_removed long, kept_sha256 string")
     if with_rows:
         result = result.add("new_text", "string").add("row", docs.schema["row"].dataType)
