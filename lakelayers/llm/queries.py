@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakelayers.llm.quality import quality_rules
+from lakelayers.llm.simhash import near_duplicates
 from lakelayers.llm.substrings import dedup_substrings
 from lakelayers.llm.tables import table
 
@@ -14,8 +16,18 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(table(spark, sf_dir, "documents"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op5_quality_rules": op5_quality_rules,
+    "op6_simhash_near_dedup": op6_simhash_near_dedup,
 }
 
 ORACLES: dict[str, str] = {
