@@ -5,7 +5,7 @@
    least the true one, so a cell of one proves a window unique.
 2. A second pass hands on only windows with two or more in every cell, as 96-bit hashes of their
    words, and these alone are grouped exactly. Windows that collide in the sketch merely travel
-   in vain; none is lost. They travel in bundles, one for each range of hashes and million windows
+   in vain; none is lost. They travel in bundles, one for each range of hashes and some 100,000 windows
    of a task, in which a window stands once, for its smallest document.
 3. Positions return to their documents, which lose the covered words.
 
@@ -39,7 +39,7 @@ DEPTH = 2
 BLOCK_BITS = 18
 MAX_LOG2_CELLS = 28
 RANGE_WINDOWS = 4_000_000
-FLUSH_ROWS = 1_000_000
+FLUSH_ROWS = 400_000
 
 _HASHES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 _PARTIAL = "row int, block int, cells binary"
@@ -190,7 +190,7 @@ def unbundle(row: dict) -> np.ndarray:
 
 def candidate_windows(width: int, log2_cells: int, ranges: int, shared):
     """Windows that may be repeated, in bundles. Of those that some smaller document of the same
-    million windows has, it is already known that they go (``local``)."""
+    windows has, it is already known that they go (``local``)."""
 
     def close(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         stays, goes = without_larger(np.concatenate(parts))

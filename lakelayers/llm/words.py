@@ -1,7 +1,7 @@
 """Words of whole texts as numpy arrays: bounds, 64-bit hashes and hashes of word windows.
 
 A word is a maximal run of bytes other than space, tab, line feed, vertical tab, form feed and
-carriage return. Texts are handled in pieces of some megabytes; one longer text is a piece of
+carriage return. Texts are handled in pieces of half a megabyte; one longer text is a piece of
 its own.
 """
 
@@ -14,7 +14,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 512 << 10
 
 _WORD_BYTE = np.ones(256, bool)
 _WORD_BYTE[[9, 10, 11, 12, 13, 32]] = False
