@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 ColumnOrName = Union[Column, str]
 
+# White space of all kinds, in patterns that start with (?U).
+BLANK = r"[\s\x1c-\x1f]"
+
 
 def as_column(value: ColumnOrName) -> Column:
     return F.col(value) if isinstance(value, str) else value

@@ -12,6 +12,12 @@ from lakelayers.functions.columns import ColumnOrName, as_column
 OBJECT_SCHEMA = "array<struct<data:array<string>>>"
 
 
+# Writer options that keep the microseconds of timestamps; by default Spark cuts them to milliseconds.
+EXACT_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 # White space between JSON tokens.
 BLANKS = " \t\r\n"
 
@@ -25,19 +31,30 @@ def _inside_array(text: Column) -> Column:
     return F.concat(F.lit("["), text, F.lit("]"))
 
 
+def _elements(variant: Column, path: str) -> Column:
+    """JSON texts of the elements of the array at ``path``, null where there is none."""
+    return F.transform(F.try_variant_get(variant, path, "array<variant>"), lambda item: F.to_json(item))
+
+
 def response_records(body: ColumnOrName) -> Column:
     """Records of a response body as array of compact JSON texts.
 
     An array gives its elements, an object with a ``data`` array the elements of that array,
     any other object itself. Everything else gives null: scalars, invalid JSON and a ``data``
     that is no array. Elements that are no objects are left out.
+
+    A plain object keeps its own text. Elements of arrays are written anew: keys in order of
+    name, decimals of up to 38 digits in full without closing zeros, longer ones as doubles.
+    Bodies that repeat a key within an object keep its order and doubles only.
     """
     text = as_column(body)
     trimmed = _trimmed(text)
     wrapped = _inside_array(text)
-    of_array = F.from_json(wrapped, "array<array<string>>")[0]
-    of_data = F.from_json(wrapped, OBJECT_SCHEMA)[0]["data"]
-    of_object = F.from_json(wrapped, "array<string>")
+    exact = F.try_parse_json(wrapped)
+    of_array = F.coalesce(_elements(exact, "$[0]"), F.from_json(wrapped, "array<array<string>>")[0])
+    of_data = F.coalesce(_elements(exact, "$[0].data"), F.from_json(wrapped, OBJECT_SCHEMA)[0]["data"])
+    objects = F.from_json(wrapped, "array<string>")
+    of_object = F.when(F.size(objects) == 1, F.array(trimmed)).otherwise(objects)
     has_data = F.array_contains(F.json_object_keys(text), "data")
     records = (
         F.when(trimmed.startswith("["), of_array)

@@ -60,19 +60,29 @@ def clip_text(value: ColumnOrName, limit: int = 100) -> Column:
     return F.when(F.length(column) > limit, clipped).otherwise(column)
 
 
-def mask_by_key(key: ColumnOrName, value: ColumnOrName) -> Column:
-    """Full mask for the rows of a key/value table whose key name is sensitive."""
-    column = as_column(value)
+def mask_by_key(key: ColumnOrName, value: ColumnOrName, data_type: T.DataType | None = None) -> Column:
+    """Full mask, as text, for the rows of a key/value table whose key name is sensitive.
+
+    Without the type of the value its text decides whether it is filled: a zero then is.
+    """
+    column, kind = _typed(value, data_type)
     sensitive = contains_any(F.lower(as_column(key)), SENSITIVE_WORDS)
-    return F.when(sensitive, mask_full(column)).otherwise(column)
+    return F.when(sensitive, mask_full(column, kind)).otherwise(column.cast("string"))
 
 
-def preview_by_key(key: ColumnOrName, value: ColumnOrName, limit: int = 100) -> Column:
+def preview_by_key(
+    key: ColumnOrName, value: ColumnOrName, limit: int = 100, data_type: T.DataType | None = None
+) -> Column:
     """Display text of a key/value table: sensitive rows masked, other values clipped."""
-    column = as_column(value)
+    column, kind = _typed(value, data_type)
     sensitive = contains_any(F.lower(as_column(key)), SENSITIVE_WORDS)
-    hidden = F.when(is_filled(column, T.StringType()), F.lit(FULL_MASK)).otherwise(F.lit(EMPTY_VALUE))
-    return F.when(sensitive, hidden).otherwise(clip_text(column, limit))
+    hidden = F.when(is_filled(column, kind), F.lit(FULL_MASK)).otherwise(F.lit(EMPTY_VALUE))
+    return F.when(sensitive, hidden).otherwise(clip_text(column.cast("string"), limit))
+
+
+def _typed(value: ColumnOrName, data_type: T.DataType | None) -> tuple[Column, T.DataType]:
+    column = as_column(value)
+    return (column.cast("string"), T.StringType()) if data_type is None else (column, data_type)
 
 
 def mask_columns(df: DataFrame, columns: list[str] | None = None, by_name: bool = False,

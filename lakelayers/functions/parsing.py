@@ -5,18 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lakelayers.functions.columns import ColumnOrName, as_column
+from lakelayers.functions.columns import BLANK, ColumnOrName, as_column
 
 # The accepted spellings.
 STRICT_TRUE = ("true", "1", "yes")
 STRICT_FALSE = ("false", "0", "no")
 LENIENT_TRUE = ("true", "1", "yes", "on")
-INTEGER_PATTERN = r"^\s*[+-]?[0-9]+(_[0-9]+)*\s*$"
+INTEGER_PATTERN = f"(?U)^{BLANK}*[+-]?[0-9]+(_[0-9]+)*{BLANK}*$"
 FLOAT_PATTERN = (
-    r"^\s*[+-]?([0-9]+(_[0-9]+)*(\.([0-9]+(_[0-9]+)*)?)?|\.[0-9]+(_[0-9]+)*)"
-    r"([eE][+-]?[0-9]+(_[0-9]+)*)?\s*$"
+    rf"(?U)^{BLANK}*[+-]?([0-9]+(_[0-9]+)*(\.([0-9]+(_[0-9]+)*)?)?|\.[0-9]+(_[0-9]+)*)"
+    rf"([eE][+-]?[0-9]+(_[0-9]+)*)?{BLANK}*$"
 )
-FLOAT_WORD_PATTERN = r"(?i)^\s*[+-]?(nan|inf|infinity)\s*$"
+FLOAT_WORD_PATTERN = f"(?iU)^{BLANK}*[+-]?(nan|inf|infinity){BLANK}*$"
 
 
 def parse_bool(text: ColumnOrName) -> Column:
@@ -38,14 +38,14 @@ def parse_long(text: ColumnOrName) -> Column:
     Null for other text and for numbers beyond 64 bits.
     """
     column = as_column(text)
-    digits = F.translate(F.trim(F.regexp_replace(column, r"\s", " ")), "_", "")
+    digits = F.translate(F.trim(F.regexp_replace(column, f"(?U){BLANK}", " ")), "_", "")
     return F.when(column.rlike(INTEGER_PATTERN), digits.try_cast("bigint"))
 
 
 def parse_double(text: ColumnOrName, allow_words: bool = True) -> Column:
     """Decimal and exponent notation; with ``allow_words`` also nan, inf and infinity."""
     column = as_column(text)
-    trimmed = F.trim(F.regexp_replace(column, r"\s", " "))
+    trimmed = F.trim(F.regexp_replace(column, f"(?U){BLANK}", " "))
     parsed = F.when(
         column.rlike(FLOAT_PATTERN), F.translate(trimmed, "_", "").try_cast("double")
     )

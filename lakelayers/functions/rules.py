@@ -8,12 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lakelayers.functions.columns import ColumnOrName, as_column, first_match
-
-# The allowed values of the settings the rules were first written for.
-LOG_LEVELS = ("DEBUG", "INFO", "WARNING", "ERROR", "CRITICAL")
-ENVIRONMENTS = ("local", "develop", "staging", "prod")
-STAGES = ("local", "dev", "staging", "prod")
+from lakelayers.functions.columns import BLANK, ColumnOrName, as_column, first_match
 
 
 @dataclass(frozen=True)
@@ -53,8 +48,8 @@ def fold_case(column: ColumnOrName, upper: bool = False) -> Column:
 
 
 def strip_blank(column: ColumnOrName) -> Column:
-    """The text without any kind of white space around it."""
-    return F.regexp_replace(as_column(column), r"^\s+|\s+$", "")
+    """The text without any kind of white space, no-break spaces included, around it."""
+    return F.regexp_replace(as_column(column), f"(?U)^{BLANK}+|{BLANK}+$", "")
 
 
 def with_trailing_slash(column: ColumnOrName) -> Column:

@@ -60,13 +60,14 @@ def lineage_audit(df: DataFrame, lake_catalog: str = LAKE_CATALOG) -> DataFrame:
 
     Input columns: ``source_database, source_table, target_database, target_table`` and, where
     known, ``source_layer`` and ``target_layer``. A step within a layer or to the next one is
-    valid. The layer word may occur anywhere in a name: ``withdrawals`` reads as raw.
+    valid if both layers are known ones and no name is blank. The layer word may occur anywhere in a name: ``withdrawals`` reads as raw.
     """
     given = {
         side: F.col(f"{side}_layer") if f"{side}_layer" in df.columns else None
         for side in ("source", "target")
     }
-    trimmed = {name: strip_blank(name) for name in ("source_table", "target_table")}
+    named = ("source_database", "target_database", "source_table", "target_table")
+    trimmed = {name: strip_blank(name) for name in named}
     layered = df.withColumns(trimmed).withColumns({
         "source_layer": detected_layer(
             "source_database", "source_table", UNKNOWN_SOURCE_LAYER, given["source"]
@@ -78,12 +79,14 @@ def lineage_audit(df: DataFrame, lake_catalog: str = LAKE_CATALOG) -> DataFrame:
     source, target = F.col("source_layer"), F.col("target_layer")
     order = F.array(*[F.lit(layer) for layer in LAYERS])
     rank = F.array_position(order, source), F.array_position(order, target)
-    nameless = (F.coalesce(F.length("source_table"), F.lit(0)) == 0) | (
-        F.coalesce(F.length("target_table"), F.lit(0)) == 0
-    )
-    legal = (source == target) | (rank[1] == rank[0] + 1)
+    empty = {name: F.coalesce(F.length(name), F.lit(0)) == 0 for name in named}
+    no_database = empty["source_database"] | empty["target_database"]
+    no_table = empty["source_table"] | empty["target_table"]
+    known = (rank[0] > 0) & (rank[1] > 0)
+    legal = known & ((source == target) | (rank[1] == rank[0] + 1))
     following = F.get(order, F.array_position(order, source).cast("int"))
-    steps = F.when(following.isNull(), F.lit("[]")).otherwise(
+    # The wording of the messages.
+    steps = F.when(following.isNull() | (rank[0] == 0), F.lit("[]")).otherwise(
         F.concat(F.lit("['"), following, F.lit("']"))
     )
     refusal = F.concat(
@@ -97,8 +100,10 @@ def lineage_audit(df: DataFrame, lake_catalog: str = LAKE_CATALOG) -> DataFrame:
         "pipeline_type": F.when(source == target, F.concat(source, F.lit("_processing"))).otherwise(
             F.concat(source, F.lit("_to_"), target)
         ),
-        "is_valid": legal & ~nameless,
-        "message": F.when(nameless, F.lit("Table name cannot be empty")).when(~legal, refusal),
+        "is_valid": legal & ~no_database & ~no_table,
+        "message": F.when(no_database, F.lit("Database name cannot be empty"))
+        .when(no_table, F.lit("Table name cannot be empty"))
+        .when(~legal, refusal),
     })
 
 

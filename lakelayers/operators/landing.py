@@ -6,14 +6,14 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakelayers.functions.json_text import fill_absent_keys, response_records
+from lakelayers.functions.json_text import EXACT_TIMES, fill_absent_keys, response_records
 from lakelayers.names import quote
 from lakelayers.operators.ordinals import with_ordinal
-from lakelayers.sinks.jsonl import LINE_COLUMN, write_lines
+from lakelayers.sinks.jsonl import LINE_COLUMN, ROWS_PER_FILE, write_jsonl, write_lines
 
 # The request facts of the metadata struct with type and default.
 REQUEST_FIELDS = {
@@ -33,21 +33,38 @@ METADATA_SCHEMA = (
 )
 
 ORDINAL = "__ordinal"
+RECORDS = "__records"
+
+
+@dataclass(frozen=True)
+class LandingCounts:
+    """Bodies read, bodies that could give no records, and records landed. True if any landed."""
+
+    bodies: int
+    unreadable: int
+    records: int
+
+    def __bool__(self) -> bool:
+        return self.records > 0
 
 
 @dataclass(frozen=True)
 class LandingRun:
-    """What one landing run writes into the metadata of every record."""
+    """What one landing run writes into the metadata of every record.
+
+    ``batch_size`` is the number of records of a batch number; ``rows_per_file`` bounds files.
+    """
 
     source: str
     entity: str
     job: str = "landing"
     started: datetime | None = None
     batch_size: int = 500
+    rows_per_file: int = ROWS_PER_FILE
 
     def __post_init__(self) -> None:
-        if self.batch_size < 1:
-            raise ValueError("batch_size must be at least 1")
+        if self.batch_size < 1 or self.rows_per_file < 1:
+            raise ValueError("batch_size and rows_per_file must be at least 1")
         if self.started is None:
             object.__setattr__(self, "started", datetime.now(timezone.utc))
 
@@ -118,9 +135,10 @@ def with_batch_ids(
     order_by: Sequence[str] | None = None,
     unique: bool = False,
     ordinal: str | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Add the batch columns, from global numbers given in ``ordinal`` or made here."""
-    numbered = df if ordinal else with_ordinal(df, ORDINAL, order_by, unique)
+    numbered = df if ordinal else with_ordinal(df, ORDINAL, order_by, unique, partitions)
     return numbered.withColumns(batch_columns(ordinal or ORDINAL, run)).drop(ordinal or ORDINAL)
 
 
@@ -166,7 +184,7 @@ def landing_lines(enveloped: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
     Line breaks can only stand between the tokens of a JSON text, so blanks may replace them.
     """
-    options = {"ignoreNullFields": "false"}
+    options = {"ignoreNullFields": "false", **EXACT_TIMES}
     if isinstance(enveloped.schema["payload"].dataType, T.StringType):
         payload = F.translate("payload", "\r\n", "  ")
     else:
@@ -188,18 +206,20 @@ def land_records(
     request: Mapping[str, object] | None = None,
     ordinal: str | None = None,
     skip_empty: bool = True,
+    partitions: int | None = None,
 ) -> bool:
     """Wrap records and append them as JSON Lines; returns whether anything was written.
 
     Records are numbered over the whole frame as in :func:`with_ordinal`, unless the column
     ``ordinal`` already holds such numbers. Nothing is written for an empty frame; pass
     ``skip_empty=False`` to save the look for a first row where there is one for certain.
+    ``partitions`` is the number of ranges of an ordered landing.
     """
     if skip_empty and df.isEmpty():
         return False
-    numbered = with_batch_ids(df, run, order_by, unique, ordinal)
+    numbered = with_batch_ids(df, run, order_by, unique, ordinal, partitions)
     lines = landing_lines(envelope(numbered, run, payload, partition_by, request), partition_by)
-    return write_lines(lines, path, partition_by, run.batch_size, skip_empty=False)
+    return write_lines(lines, path, partition_by, run.rows_per_file, skip_empty=False)
 
 
 def land_responses(
@@ -210,10 +230,46 @@ def land_responses(
     partition_by: Sequence[str] = (),
     order_by: Sequence[str] | None = None,
     request: Mapping[str, object] | None = None,
-) -> bool:
+    unique: bool = False,
+    ordinal: str | None = None,
+    partitions: int | None = None,
+    skip_empty: bool = True,
+    rejects: str | None = None,
+) -> LandingCounts:
     """The raw layer run: unnest bodies, fill in defaults, wrap and land the records.
 
-    With ``order_by`` the records of bodies that sort equally stay in their order of arrival.
+    With ``order_by`` the records of bodies that sort equally stay in their order of arrival;
+    ``unique`` says that these columns identify a record, not only a body. A column ``ordinal``
+    must number records likewise.
+
+    Bodies and records are counted while they are landed. Bodies that can give no records are
+    appended as JSON Lines, with all columns of ``df``, to the folder ``rejects``, by default the
+    landing folder's name with ``_unreadable`` behind it; only if there are any are the bodies
+    read once more for it.
     """
-    records = enrich_records(unnest_responses(df, body), run)
-    return land_records(records, path, run, "record", partition_by, order_by, request=request)
+    parsed = df.withColumn(RECORDS, response_records(body))
+    found = F.size(F.coalesce(F.col(RECORDS), F.array().cast("array<string>")))
+    totals = (
+        F.count(F.lit(1)).alias("bodies"),
+        F.count_if(F.col(RECORDS).isNull()).alias("unreadable"),
+        F.coalesce(F.sum(found), F.lit(0)).alias("records"),
+    )
+    rest = [F.col(name) for name in df.columns if name != body]
+
+    def records_of(frame: DataFrame) -> DataFrame:
+        return frame.select(*rest, F.explode(RECORDS).alias("record"))
+
+    if skip_empty and records_of(parsed).isEmpty():
+        counts = parsed.agg(*totals).first().asDict()
+    else:
+        seen = Observation()
+        records = enrich_records(records_of(parsed.observe(seen, *totals)), run)
+        land_records(
+            records, path, run, "record", partition_by, order_by, unique, request, ordinal, False, partitions
+        )
+        counts = seen.get
+    if counts["unreadable"]:
+        folder = rejects or f"{path.rstrip('/')}_unreadable/"
+        unreadable = unreadable_responses(df, body)
+        write_jsonl(unreadable, folder, rows_per_file=run.rows_per_file, skip_empty=False)
+    return LandingCounts(counts["bodies"], counts["unreadable"], counts["records"])

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from lakelayers.functions.columns import run_time
 from lakelayers.functions.fingerprint import content_sha256
+from lakelayers.functions.json_text import EXACT_TIMES
 
 
 def normalize(
@@ -24,10 +25,10 @@ def normalize(
 
     The payload is a struct, whose null fields are left out of the text, or was read without
     schema as JSON text or variant, which are kept whole. A payload without the id field has a
-    null ``record_id``. ``json_options`` go to the JSON writer: by default it cuts timestamps to
-    milliseconds.
+    null ``record_id``. ``json_options`` go to the JSON writer; timestamps keep their microseconds
+    unless they say otherwise.
     """
-    options = dict(json_options or {})
+    options = {**EXACT_TIMES, **(json_options or {})}
     kind = df.schema[payload].dataType
     if isinstance(kind, T.StringType):
         record_id = F.get_json_object(payload, f"$.{id_field}")

@@ -16,8 +16,9 @@ OFFSET = "__offset"
 # monotonically_increasing_id() keeps the row's position in its partition in the low 33 bits.
 POSITION_MASK = (1 << 33) - 1
 
-# Offsets are broadcast up to this number of partitions, some tens of megabytes.
-BROADCAST_PARTS = 1_000_000
+# Offsets are broadcast while their keys and numbers take at most this many bytes.
+BROADCAST_BYTES = 64 * 1024 * 1024
+OFFSET_BYTES = 24
 
 
 def _stage_with_positions(df: DataFrame, label: str) -> DataFrame:
@@ -35,7 +36,7 @@ def with_ordinal(
     order_by: Sequence[str] | None = None,
     unique: bool = False,
     partitions: int | None = None,
-    broadcast_parts: int = BROADCAST_PARTS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Number the rows 0, 1, 2, … over the whole frame.
 
@@ -49,7 +50,7 @@ def with_ordinal(
     The numbered rows are staged in a scratch table with partition number and position, so that
     the counting pass and the numbering pass see the same partitions, executors lost or not.
     Only one count per partition goes through a single task. These counts are broadcast while
-    there are at most ``broadcast_parts`` of them, and joined by a shuffle beyond that.
+    they take at most ``broadcast_bytes``, and joined by a shuffle beyond that.
     """
     if order_by:
         keys = [F.col(name) for name in order_by]
@@ -58,14 +59,14 @@ def with_ordinal(
             keys += [F.col(PART), F.col(POSITION)]
         ranges = [partitions] if partitions else []
         df = df.repartitionByRange(*ranges, *keys).sortWithinPartitions(*keys).drop(PART, POSITION)
-    return _add_offsets(_stage_with_positions(df, "ordinal"), F.col(PART), column, broadcast_parts)
+    return _add_offsets(_stage_with_positions(df, "ordinal"), F.col(PART), column, broadcast_bytes)
 
 
 def parquet_with_ordinal(
     spark: SparkSession,
     path: str | Sequence[str],
     column: str = "ordinal",
-    broadcast_parts: int = BROADCAST_PARTS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """The rows of Parquet files numbered 0, 1, 2, … in the order of paths and of rows in them.
 
@@ -74,21 +75,22 @@ def parquet_with_ordinal(
     """
     scan = spark.read.parquet(*([path] if isinstance(path, str) else path))
     file = F.col("_metadata.file_path")
-    return _add_offsets(scan, file, column, broadcast_parts, F.col("_metadata.row_index"))
+    return _add_offsets(scan, file, column, broadcast_bytes, F.col("_metadata.row_index"))
 
 
 def _add_offsets(
-    df: DataFrame, part: Column, column: str, broadcast_parts: int, position: Column | None = None
+    df: DataFrame, part: Column, column: str, broadcast_bytes: int, position: Column | None = None
 ) -> DataFrame:
     """Turn positions within parts into global numbers; the rows of each part are counted once."""
     counts = df.groupBy(part.alias(PART)).agg(F.count(F.lit(1)).alias("rows"))
     earlier = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
     offset = F.coalesce(F.sum("rows").over(earlier), F.lit(0)).cast("bigint")
     seen = Observation()
+    size = F.coalesce(F.sum(F.octet_length(F.col(PART).cast("string")) + OFFSET_BYTES), F.lit(0))
     offsets = stage(
-        counts.select(PART, offset.alias(OFFSET)), "offsets", (), seen, F.count(F.lit(1)).alias("parts")
+        counts.select(PART, offset.alias(OFFSET)), "offsets", (), seen, size.alias("bytes")
     )
-    small = seen.get["parts"] <= broadcast_parts
+    small = seen.get["bytes"] <= broadcast_bytes
     positioned = df.withColumns({PART: part, POSITION: F.col(POSITION) if position is None else position})
     return (
         positioned.join(F.broadcast(offsets) if small else offsets.hint("merge"), PART)

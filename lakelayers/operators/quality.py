@@ -17,6 +17,7 @@ from lakelayers.functions.parsing import (
 from lakelayers.functions.rules import Rule, first_failed_rule
 from lakelayers.scratch import stage
 
+# What a rejected text should have been.
 KIND_NAMES = {
     "bool": "a boolean (true/false/1/0/yes/no)",
     "lenient_bool": "a boolean",

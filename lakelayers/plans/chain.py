@@ -9,24 +9,28 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from lakelayers.functions.columns import run_time
 from lakelayers.names import SESSION_CATALOG, TableRef, layer_database, layer_table, raw_folder
+from lakelayers.operators.landing import LandingRun, land_responses
 from lakelayers.operators.layers import count_records, normalize, standardize
 from lakelayers.sinks.tables import (
+    LOAD_COLUMN,
     create_databases_for,
     create_layer_table,
     create_managed_table,
     write_table,
 )
-from lakelayers.sources.jsonl import CORRUPT_COLUMN, is_corrupt, scan_jsonl
+from lakelayers.sources.jsonl import is_corrupt, scan_jsonl
 from lakelayers.sources.tables import scan_table
-
-MALFORMED_COLUMNS = "line STRING, partly_read BOOLEAN, processed_at TIMESTAMP"
+from lakelayers.streaming.bronze import MALFORMED_COLUMNS, malformed_lines
 
 
 @dataclass(frozen=True)
 class Entity:
-    """One source entity and where its layers live; every source runs through the same code."""
+    """One source entity and where its layers live; every source runs through the same code.
+
+    With a ``load_id`` every layer table has a partition for each load. A run writes its own only,
+    replacing it if the load is repeated, and reads only its own from the layer below.
+    """
 
     source: str
     entity: str
@@ -41,8 +45,9 @@ class Entity:
     database_root: str | None = None
     create_tables: bool = True
     mode: str = "append"
-    quarantine: bool = False
+    quarantine: bool = True
     run_ts: datetime | str | None = None
+    load_id: str | None = None
 
     def table(self, layer: str) -> TableRef:
         return TableRef(
@@ -83,8 +88,12 @@ class LayerRun:
 def extract(spark: SparkSession, spec: Entity, layer: str) -> DataFrame:
     if layer == "bronze":
         schema = f"payload {spec.payload_schema}" if spec.payload_schema else None
-        return scan_jsonl(spark, spec.raw_path, schema, keep_corrupt=spec.quarantine)
-    return scan_table(spark, spec.table("bronze" if layer == "silver" else "silver"))
+        return scan_jsonl(spark, spec.raw_path, schema, keep_corrupt=True)
+    below = scan_table(
+        spark, spec.table("bronze" if layer == "silver" else "silver"),
+        {LOAD_COLUMN: spec.load_id} if spec.load_id else None,
+    )
+    return below.drop(LOAD_COLUMN)
 
 
 def transform(df: DataFrame, spec: Entity, layer: str) -> DataFrame:
@@ -103,45 +112,73 @@ def run_layer(
 ) -> LayerRun:
     """Run bronze, silver or gold once. Any failure is raised, none is swallowed.
 
-    ``custom_transform`` takes the place of the layer's own transformation. With
-    ``spec.quarantine`` malformed lines go to a table of their own; otherwise bronze keeps them
-    as rows of nulls. The folder is read a second time only if there are any.
+    ``custom_transform`` takes the place of the layer's own transformation. Malformed lines go to
+    a table of their own, for which the folder is read a second time only if there are any;
+    without ``spec.quarantine`` bronze keeps them as rows of nulls. They are counted either way.
     """
     target = spec.table(layer)
     if spec.create_tables:
         create_databases_for(spark, layer, spec.databases, spec.catalog, spec.database_root)
-        create_layer_table(spark, target, layer, spec.table_format)
+        create_layer_table(spark, target, layer, spec.table_format, spec.load_id is not None)
     extracted = extract(spark, spec, layer)
     change = custom_transform or (lambda df: transform(df, spec, layer))
-    malformed = is_corrupt(extracted) if layer == "bronze" and spec.quarantine else F.lit(False)
+    malformed = is_corrupt(extracted) if layer == "bronze" else F.lit(False)
+    kept = extracted.filter(~malformed) if spec.quarantine else extracted
     totals = F.count(F.lit(1)).alias("rows"), F.count_if(malformed).alias("malformed")
-    # The global count always has its one row, and looking for it would count twice. A first row
-    # is asked for, not isEmpty(): that would read nothing but the column of corrupt lines.
-    if layer != "gold" and change(extracted.filter(~malformed)).first() is None:
+    mode = "overwrite" if spec.load_id else spec.mode
+    # Only an overwrite of a table without partitions could erase what an empty frame does not
+    # replace; nothing else needs the look for a first row. It asks for a row, not isEmpty(): that
+    # would read nothing but the column of corrupt lines.
+    erases = mode == "overwrite" and not spec.load_id and layer != "gold"
+    if erases and change(kept).first() is None:
         counts, rows_out = extracted.agg(*totals, F.count(extracted.columns[0])).first(), 0
     else:
         read, written = Observation(), Observation()
-        rows = change(extracted.observe(read, *totals).filter(~malformed))
-        write_table(rows, target, spec.mode, skip_empty=False, observation=written)
+        observed = extracted.observe(read, *totals)
+        rows = change(observed.filter(~malformed) if spec.quarantine else observed)
+        if spec.load_id:
+            rows = rows.withColumn(LOAD_COLUMN, F.lit(spec.load_id))
+        write_table(rows, target, mode, skip_empty=False, observation=written)
         counts, rows_out = read.get, written.get["rows"]
-    if counts["malformed"]:
-        save_malformed(spark, spec, extracted.filter(malformed))
+    if counts["malformed"] and spec.quarantine:
+        save_malformed(spark, spec, extracted)
     return LayerRun(layer, target, counts["rows"], rows_out, counts["malformed"])
 
 
 def save_malformed(spark: SparkSession, spec: Entity, lines: DataFrame) -> None:
-    """Append the text of malformed lines and whether any part of the payload was readable."""
+    """Append the malformed ones of the scanned lines, or replace those of the same load."""
+    rejected, columns = malformed_lines(lines, spec.run_ts), MALFORMED_COLUMNS
+    if spec.load_id:
+        rejected, columns = rejected.withColumn(LOAD_COLUMN, F.lit(spec.load_id)), f"{columns}, {LOAD_COLUMN} STRING"
     if spec.create_tables:
-        create_managed_table(spark, spec.malformed_table, MALFORMED_COLUMNS, (), spec.table_format)
-    rejected = lines.select(
-        F.col(CORRUPT_COLUMN).alias("line"),
-        F.col("payload").isNotNull().alias("partly_read"),
-        run_time(spec.run_ts).alias("processed_at"),
-    )
-    write_table(rejected, spec.malformed_table, skip_empty=False)
+        create_managed_table(
+            spark, spec.malformed_table, columns, [LOAD_COLUMN] if spec.load_id else (), spec.table_format
+        )
+    write_table(rejected, spec.malformed_table, "overwrite" if spec.load_id else "append", skip_empty=False)
 
 
-def run_chain(spark: SparkSession, spec: Entity, until: str = "gold") -> list[LayerRun]:
-    """Bronze, silver and gold in order, up to the given layer."""
-    order = ["bronze", "silver", "gold"]
-    return [run_layer(spark, spec, layer) for layer in order[: order.index(until) + 1]]
+def run_raw(
+    spark: SparkSession, spec: Entity, bodies: DataFrame, run: LandingRun | None = None, **landing
+) -> LayerRun:
+    """Land the records of response bodies (column ``body``) in the raw folder of the entity.
+
+    ``landing`` goes to :func:`lakelayers.operators.landing.land_responses`. Landing always adds
+    files: repeat a chain without ``bodies`` if its landing was complete.
+    """
+    run = run or LandingRun(spec.source, spec.entity)
+    counts = land_responses(bodies, spec.raw_path, run, **landing)
+    return LayerRun("raw", spec.table("raw"), counts.bodies, counts.records, counts.unreadable)
+
+
+def run_chain(
+    spark: SparkSession,
+    spec: Entity,
+    until: str = "gold",
+    bodies: DataFrame | None = None,
+    run: LandingRun | None = None,
+) -> list[LayerRun]:
+    """Bronze, silver and gold in order, up to the given layer, and before them the landing of
+    response bodies where there are any."""
+    order = ["raw", "bronze", "silver", "gold"]
+    landed = [] if bodies is None else [run_raw(spark, spec, bodies, run)]
+    return landed + [run_layer(spark, spec, layer) for layer in order[1 : order.index(until) + 1]]

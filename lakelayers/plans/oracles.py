@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+EVENT_TIME = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')"
 EVENT_JSON = (
     "to_json({'id': event_id, 'user_id': user_id, 'event_type': event_type, 'value': value, "
-    "'props': props})"
+    f"'props': props, 'ts': {EVENT_TIME}}})"
 )
 # As landed: the id is kept as text there.
 LANDED_JSON = (
     "to_json({'id': CAST(event_id AS VARCHAR), 'user_id': user_id, 'event_type': event_type, "
-    "'value': value, 'props': props})"
+    f"'value': value, 'props': props, 'ts': {EVENT_TIME}}})"
 )
 INFERRED_JSON = (
-    "to_json({'event_type': event_type, 'id': event_id, 'props': props, 'user_id': user_id, "
-    "'value': value})"
+    f"to_json({{'event_type': event_type, 'id': event_id, 'props': props, 'ts': {EVENT_TIME}, "
+    "'user_id': user_id, 'value': value})"
 )
 LINE_JSON = (
     "to_json({'l_orderkey': l_orderkey, 'l_partkey': l_partkey, 'l_suppkey': l_suppkey, "
@@ -69,7 +70,8 @@ def _layer_of(database: str, table: str, unknown: str) -> str:
 
 
 ORACLES: dict[str, str] = {
-    "json_scan": "SELECT event_id, user_id, event_type, value, props FROM events",
+    "json_scan": """
+SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, value, props FROM events""",
     "json_scan_permissive": """
 SELECT CASE WHEN event_id % 100 <> 0 THEN event_id END AS event_id,
        CASE WHEN event_id % 100 <> 0 THEN user_id END AS user_id,
@@ -78,6 +80,12 @@ SELECT CASE WHEN event_id % 100 <> 0 THEN event_id END AS event_id,
        CASE WHEN event_id % 100 = 0 THEN '{oops ' || event_id END AS bad_line
 FROM events""",
     "csv_drop_ingest": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
+    "csv_rejects": """
+SELECT CASE WHEN c_custkey % 5 IN (0, 3) THEN c_custkey END AS k,
+       CASE WHEN c_custkey % 5 IN (0, 3) THEN c_name END AS name,
+       CASE c_custkey % 5 WHEN 1 THEN 'x,' || c_name WHEN 2 THEN c_custkey || ',' || c_name || ',extra'
+            WHEN 4 THEN CAST(c_custkey AS VARCHAR) END AS line
+FROM customer""",
     "table_scan_filtered": """
 SELECT * FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') AND c_nationkey = 3""",
     "external_table_scan": """
@@ -93,6 +101,23 @@ WITH {BODIES}
 SELECT event_id, body FROM bodies JOIN parsed USING (event_id)
 WHERE j IS NULL OR json_type(j) NOT IN ('ARRAY', 'OBJECT')
    OR (list_contains(json_keys(j), 'data') AND json_type(j, '$.data') <> 'ARRAY')""",
+    "response_numbers": """
+SELECT l_orderkey, l_linenumber,
+       printf('{"amount":12345678901234567890.%010d1,"id":%d}', l_orderkey, l_orderkey) AS record
+FROM lineitem""",
+    "landing_rejects": f"""
+WITH {BODIES}, bad AS (
+  SELECT event_id, body FROM bodies JOIN parsed USING (event_id)
+  WHERE j IS NULL OR json_type(j) NOT IN ('ARRAY', 'OBJECT')
+     OR (list_contains(json_keys(j), 'data') AND json_type(j, '$.data') <> 'ARRAY')
+)
+SELECT event_id, body, (SELECT count(*) FROM bodies) AS bodies, (SELECT count(*) FROM bad) AS unreadable,
+       (SELECT count(*) FROM records WHERE json_type(record) = 'OBJECT') AS records,
+       (SELECT count(*) FROM records WHERE json_type(record) = 'OBJECT') AS landed
+FROM bad""",
+    "landing_empty": """
+SELECT o_orderstatus, count(*) AS orders, CAST(0 AS BIGINT) AS landed, false AS folder_exists
+FROM orders GROUP BY o_orderstatus""",
     "enrich_defaults": """
 SELECT event_id, CASE event_id % 4
   WHEN 0 THEN printf('{"id":%d,"ingested_at":"2024-05-06T07:08:09Z","source":"shop","entity_type":"%s"}',
@@ -147,6 +172,7 @@ WITH numbered AS (
   SELECT *, row_number() OVER (ORDER BY o_orderkey) - 1 AS i FROM orders
 )
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+       strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f') AS o_orderdate,
        '2024-05-06T07:08:09Z' AS ingested_at, 'shop' AS source, 'orders' AS entity_type,
        printf('20240506_070809_%03d_%06d', i // 500 + 1, i % 500) AS record_id,
        printf('20240506_070809_batch_%03d', i // 500 + 1) AS batch_id,
@@ -188,6 +214,13 @@ FROM events""",
 WITH {BODIES}
 SELECT count(json_extract(record, '$.id')) AS records_total, 'events' AS entity_type
 FROM records WHERE json_type(record) = 'OBJECT'""",
+    "chain_rerun": _layered(
+        LANDED_JSON,
+        f""",
+       CAST(length(CAST({LANDED_JSON} AS VARCHAR)) AS INTEGER) AS payload_size,
+       sha256(CAST({LANDED_JSON} AS VARCHAR)) AS payload_hash, '2024-05-06' AS load_id,
+       (SELECT count(*) FROM events) AS records_total""",
+    ),
     "lineitem_silver": f"""
 WITH bronze AS (
   SELECT CAST(l_orderkey AS VARCHAR) AS record_id, CAST({LINE_JSON} AS VARCHAR) AS payload_json
@@ -216,9 +249,14 @@ FROM orders""",
     "create_managed": "SELECT p_partkey, p_name, p_size, p_brand FROM part",
     "content_sha256": "SELECT doc_id, sha256(text) AS sha256 FROM documents",
     "file_manifest": """
-SELECT source, CAST(sum(strlen(CAST(to_json({'doc_id': doc_id, 'text': text, 'source': source}) AS VARCHAR))
-       + 1) AS BIGINT) AS total_bytes, true AS all_hashed
-FROM documents GROUP BY source""",
+WITH lines AS (
+  SELECT doc_id, source,
+         CAST(to_json({'doc_id': doc_id, 'text': text, 'source': source}) AS VARCHAR) || chr(10) AS line
+  FROM documents
+)
+SELECT source, CAST(sum(strlen(line)) AS BIGINT) AS size,
+       sha256(string_agg(line, '' ORDER BY doc_id)) AS sha256
+FROM lines GROUP BY source""",
     "manifest_diff": """
 WITH previous AS (
   SELECT 'pages/' || page_id || '.html' AS path, sha256(html) AS h FROM pages
@@ -248,6 +286,8 @@ SELECT c_custkey,
        name, value,
        CASE WHEN name IN ('api_token', 'PASSWORD') AND value <> '' THEN '********' ELSE value END
          AS masked_value,
+       CASE WHEN name IN ('api_token', 'PASSWORD') AND c_custkey % 5 <> 0 THEN '********'
+            ELSE CAST(c_custkey % 5 AS VARCHAR) END AS masked_number,
        CASE WHEN value <> '' THEN '********' ELSE value END AS masked_segment
 FROM prepared""",
     "mask_partial": """
@@ -277,8 +317,11 @@ FROM pages""",
 WITH tokens AS (
   SELECT event_id,
          ['true', '1', 'YES', 'on', 'off', 'no', '0', ' 5 ', '1e3', '5.0', '1_000', '-17', 'x', '', '.5',
-          '9223372036854775808', NULL][event_id % 17 + 1] AS t
+          '9223372036854775808', 'nan', '-Infinity', 'inf', chr(160) || '7' || chr(8195), NULL
+         ][event_id % 21 + 1] AS t
   FROM events
+), stripped AS (
+  SELECT event_id, replace(replace(t, chr(160), ''), chr(8195), '') AS t FROM tokens
 ), parsed AS (
   SELECT event_id, t,
          CASE WHEN lower(t) IN ('true', '1', 'yes') THEN true
@@ -286,9 +329,10 @@ WITH tokens AS (
          lower(t) IN ('true', '1', 'yes', 'on') AS as_lenient,
          CASE WHEN regexp_full_match(t, '\s*[+-]?\d+(_\d+)*\s*')
               THEN TRY_CAST(replace(trim(t), '_', '') AS BIGINT) END AS as_int,
-         CASE WHEN regexp_full_match(t, '\s*[+-]?((\d+(_\d+)*)(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*')
+         CASE WHEN t IN ('nan', '-Infinity', 'inf') THEN CAST(t AS DOUBLE)
+              WHEN regexp_full_match(t, '\s*[+-]?((\d+(_\d+)*)(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*')
               THEN TRY_CAST(replace(trim(t), '_', '') AS DOUBLE) END AS as_float
-  FROM tokens
+  FROM stripped
 )
 SELECT event_id, as_bool, as_lenient, CASE WHEN t IS NULL THEN -1 ELSE as_int END AS as_int, as_float,
        concat_ws(',',
@@ -340,7 +384,9 @@ SELECT d.k AS c_custkey,
        coalesce(c.segment, d.segment) AS segment,
        CASE WHEN c.segment IS NOT NULL THEN 'command' WHEN d.segment IS NOT NULL THEN 'default' END
          AS segment_source
-FROM d LEFT JOIN w ON w.k = d.k LEFT JOIN c ON c.k = d.k""",
+FROM d LEFT JOIN w ON w.k = d.k LEFT JOIN c ON c.k = d.k
+UNION ALL
+SELECT NULL, 'nobody', 'workflow', NULL, NULL, NULL, NULL FROM customer WHERE c_custkey % 3 = 0""",
     "classify_messages": f"""
 SELECT conv_id, turn,
        CASE WHEN {_lower_contains('text', ('ment',))} THEN 'first'
@@ -358,7 +404,7 @@ FROM events""",
     "lineage_audit": f"""
 WITH steps AS (
   SELECT p_partkey,
-         ['raw_zone', 'Bronze_Zone', 'silver_zone', 'gold_zone', 'sales'][p_partkey % 5 + 1]
+         ['raw_zone', 'Bronze_Zone', 'silver_zone', 'gold_zone', 'sales', ''][p_partkey % 6 + 1]
            AS source_database,
          lower(replace(p_type, ' ', '_'))
            || ['', '', '', '', '', '_withdrawals', '_gold'][p_partkey % 7 + 1] AS source_table,
@@ -384,8 +430,9 @@ SELECT p_partkey, source_database, source_table, target_database, target_table,
        source_layer <> target_layer AS is_cross_layer,
        CASE WHEN source_layer = target_layer THEN source_layer || '_processing'
             ELSE source_layer || '_to_' || target_layer END AS pipeline_type,
-       legal AND target_table <> '' AS is_valid,
-       CASE WHEN target_table = '' THEN 'Table name cannot be empty'
+       legal AND target_table <> '' AND source_database <> '' AS is_valid,
+       CASE WHEN source_database = '' THEN 'Database name cannot be empty'
+            WHEN target_table = '' THEN 'Table name cannot be empty'
             WHEN NOT legal THEN 'Invalid pipeline: ' || source_layer || ' -> ' || target_layer
               || '. Valid transitions from ' || source_layer || ': '
               || CASE source_layer WHEN 'raw' THEN '[''bronze'']' WHEN 'bronze' THEN '[''silver'']'

@@ -9,10 +9,11 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakelayers.functions import rules
 from lakelayers.functions.fingerprint import content_sha256
-from lakelayers.functions.json_text import fill_absent_keys
+from lakelayers.functions.json_text import EXACT_TIMES, fill_absent_keys
 from lakelayers.functions.masking import (
     clip_text,
     mask_by_key,
@@ -44,16 +45,20 @@ from lakelayers.sinks.jsonl import write_jsonl, write_lines
 from lakelayers.sinks.tables import (
     create_database,
     create_external_json_table,
+    create_layer_table,
     create_managed_table,
     write_table,
 )
 from lakelayers.sources.files import file_manifest, read_csv_drop
-from lakelayers.sources.jsonl import CORRUPT_COLUMN, scan_jsonl
+from lakelayers.sources.jsonl import CORRUPT_COLUMN, is_corrupt, scan_jsonl
 from lakelayers.sources.tables import scan_external_table, scan_table
 from lakelayers.streaming.bronze import run_bronze_incremental
 
 RUN_TIME = datetime(2024, 5, 6, 7, 8, 9)
-EVENT_PAYLOAD = "struct<id: string, user_id: bigint, event_type: string, value: double, props: string>"
+EVENT_PAYLOAD = (
+    "struct<id: string, user_id: bigint, event_type: string, value: double, props: string, ts: string>"
+)
+EXACT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 ROWS_PER_FILE = 100_000
 
 # Words that split the conversations; the error keywords do not occur in them.
@@ -61,7 +66,7 @@ TEXT_KEYWORDS = (("first", ("ment",)), ("second", ("ent", "tion")), ("third", ("
 
 TOKENS = (
     "true", "1", "YES", "on", "off", "no", "0", " 5 ", "1e3", "5.0", "1_000", "-17", "x", "", ".5",
-    "9223372036854775808",
+    "9223372036854775808", "nan", "-Infinity", "inf", "\u00a07\u2003",
 )
 
 
@@ -84,7 +89,7 @@ def _case(key: Column, *values: object) -> Column:
 
 def _event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read(spark, sf_dir, "events").select(
-        F.struct(F.col("event_id").alias("id"), "user_id", "event_type", "value", "props").alias("payload")
+        F.struct(F.col("event_id").alias("id"), "user_id", "event_type", "value", "props", "ts").alias("payload")
     )
 
 
@@ -93,7 +98,7 @@ def _land_events(spark: SparkSession, sf_dir: str, raw_root: str) -> None:
     land_records(
         numbered.withColumnRenamed("event_id", "id"), f"{raw_root}/shop/events/",
         LandingRun("shop", "events", "raw_events", RUN_TIME, ROWS_PER_FILE),
-        ["id", "user_id", "event_type", "value", "props"], ordinal="ordinal", skip_empty=False,
+        ["id", "user_id", "event_type", "value", "props", "ts"], ordinal="ordinal", skip_empty=False,
     )
 
 
@@ -122,9 +127,9 @@ def _chain(spark: SparkSession, sf_dir: str, until: str) -> DataFrame:
 
 def json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_folder(spark, "json_scan")
-    rows = _read(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "props")
+    rows = _read(spark, sf_dir, "events")
     write_jsonl(rows, folder, rows_per_file=ROWS_PER_FILE)
-    return scan_jsonl(spark, folder, rows.schema)
+    return scan_jsonl(spark, folder, rows.schema).withColumn("ts", F.date_format("ts", EXACT))
 
 
 def json_scan_permissive(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,6 +153,26 @@ def csv_drop_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv_drop(spark, folder, customers.schema).drop("source_file")
 
 
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good customers by their columns, broken ones by their text; none is lost."""
+    folder = scratch_folder(spark, "csv_rejects") + "/"
+    key, name = F.col("c_custkey").cast("string"), F.col("c_name")
+    line = _case(
+        F.col("c_custkey"), F.concat(key, F.lit(","), name), F.concat(F.lit("x,"), name),
+        F.concat(key, F.lit(","), name, F.lit(",extra")), F.concat(key, F.lit(","), name), key,
+    )
+    lines = _read(spark, sf_dir, "customer").select(line.alias("line"))
+    lines.write.mode("append").option("compression", "none").text(folder + "drop.csv")
+    rows = read_csv_drop(
+        spark, folder + "drop.csv", "k bigint, name string", header=False, keep_corrupt=True
+    )
+    bad = is_corrupt(rows)
+    return rows.select(
+        F.when(~bad, F.col("k")).alias("k"), F.when(~bad, F.col("name")).alias("name"),
+        F.col(CORRUPT_COLUMN).alias("line"),
+    )
+
+
 def table_scan_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     ref = TableRef(_database(spark, "scan"), "customer")
     spark.sql(f"CREATE TABLE {ref.sql} USING parquet LOCATION '{sf_dir}/customer.parquet'")
@@ -223,6 +248,44 @@ def unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unreadable_responses(_bodies(_read(spark, sf_dir, "events")))
 
 
+def response_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decimals of thirty digits in bodies of every shape keep every digit."""
+    key = F.col("l_orderkey").cast("string")
+    amount = F.concat(F.lit('{"amount":12345678901234567890.'), F.lpad(key, 10, "0"), F.lit('1,"id":'), key, F.lit("}"))
+    body = _case(
+        F.col("l_orderkey"), amount, F.concat(F.lit("["), amount, F.lit("]")),
+        F.concat(F.lit('{"data":['), amount, F.lit("]}")),
+    )
+    bodies = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", body.alias("body"))
+    return unnest_responses(bodies)
+
+
+def landing_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bodies that give no records are kept and counted apart from the landed records."""
+    folder = scratch_folder(spark, "landing_rejects")
+    run = LandingRun("shop", "events", "raw_events", RUN_TIME, ROWS_PER_FILE)
+    counts = land_responses(_bodies(_read(spark, sf_dir, "events")), f"{folder}/landed/", run)
+    kept = scan_jsonl(spark, f"{folder}/landed_unreadable/", "event_id bigint, body string")
+    landed = scan_jsonl(spark, f"{folder}/landed/", "payload struct<id: bigint>").count()
+    return kept.withColumns({
+        "bodies": F.lit(counts.bodies).cast("long"), "unreadable": F.lit(counts.unreadable).cast("long"),
+        "records": F.lit(counts.records).cast("long"), "landed": F.lit(landed).cast("long"),
+    })
+
+
+def landing_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landing without records leaves no file behind."""
+    folder = scratch_folder(spark, "landing_empty") + "/landed/"
+    orders = _read(spark, sf_dir, "orders")
+    nothing = orders.filter(F.col("o_orderkey") < 0).select(F.lit("{}").alias("body"))
+    counts = land_responses(nothing, folder, LandingRun("shop", "orders", "raw_orders", RUN_TIME))
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    exists = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+    return orders.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("orders")).withColumns({
+        "landed": F.lit(counts.records).cast("long"), "folder_exists": F.lit(bool(exists)),
+    })
+
+
 def enrich_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _read(spark, sf_dir, "events")
     key = F.col("event_id").cast("string")
@@ -282,21 +345,22 @@ def landing_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORDER_LANDING = (
     "payload struct<o_orderkey: bigint, o_custkey: bigint, o_orderstatus: string, "
-    "o_totalprice: double, ingested_at: string, source: string, entity_type: string>"
+    "o_totalprice: double, o_orderdate: string, ingested_at: string, source: string, entity_type: string>"
 )
 
 
 def land_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bodies with one order each, unnested, enriched, wrapped, landed and read back."""
     folder = scratch_folder(spark, "land")
-    order = F.to_json(F.struct("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"))
+    columns = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    order = F.to_json(F.struct(*columns), EXACT_TIMES)
     body = _case(
         F.col("o_orderkey"), order, F.concat(F.lit("["), order, F.lit("]")),
         F.concat(F.lit('{"data":['), order, F.lit("]}")),
     )
     bodies = _read(spark, sf_dir, "orders").select("o_orderkey", body.alias("body"))
     run = LandingRun("shop", "orders", "raw_orders", RUN_TIME, 500)
-    land_responses(bodies, folder, run, order_by=["o_orderkey"])
+    land_responses(bodies, folder, run, order_by=["o_orderkey"], unique=True)
     landed = scan_jsonl(spark, folder, f"{ORDER_LANDING}, metadata {METADATA_SCHEMA}")
     return landed.select(
         "payload.*", "metadata.record_id", "metadata.batch_id", "metadata.file_name",
@@ -364,11 +428,8 @@ def bronze_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id") % 100 == 1, mistyped
     ).otherwise(payload)
     write_lines(events.select(line.alias("line")), f"{raw_root}/shop/events/", rows_per_file=ROWS_PER_FILE)
-    spec = replace(
-        _event_entity(
-            spark, "broken", raw_root, "struct<id: string, user_id: bigint, event_type: string>"
-        ),
-        quarantine=True,
+    spec = _event_entity(
+        spark, "broken", raw_root, "struct<id: string, user_id: bigint, event_type: string>"
     )
     run_layer(spark, spec, "bronze")
     return scan_table(spark, spec.table("bronze")).unionByName(
@@ -390,23 +451,29 @@ def gold_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def full_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Response bodies of all shapes landed and run through bronze, silver and gold."""
-    raw_root = scratch_folder(spark, "raw")
-    land_responses(
-        _bodies(_read(spark, sf_dir, "events")), f"{raw_root}/shop/events/",
-        LandingRun("shop", "events", "raw_events", RUN_TIME, ROWS_PER_FILE),
-    )
-    spec = _event_entity(spark, "full", raw_root, "string")
-    run_chain(spark, spec)
+    spec = _event_entity(spark, "full", scratch_folder(spark, "raw"), "string")
+    run = LandingRun("shop", "events", "raw_events", RUN_TIME, ROWS_PER_FILE)
+    run_chain(spark, spec, bodies=_bodies(_read(spark, sf_dir, "events")), run=run)
     return scan_table(spark, spec.table("gold")).drop("computed_at")
 
 
+def chain_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver after a chain that ran twice for the same load."""
+    raw_root = scratch_folder(spark, "raw")
+    _land_events(spark, sf_dir, raw_root)
+    spec = replace(_event_entity(spark, "rerun", raw_root, EVENT_PAYLOAD), load_id="2024-05-06")
+    for _ in range(2):
+        run_chain(spark, spec)
+    gold = scan_table(spark, spec.table("gold")).select("records_total", F.col("load_id").alias("gold_load"))
+    silver = scan_table(spark, spec.table("silver")).drop("processed_at", "standardized_at")
+    return silver.join(gold, F.col("load_id") == F.col("gold_load")).drop("gold_load")
+
+
 def lineitem_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All columns of the lines packed, standardized and written in one observed pass."""
     lines = _read(spark, sf_dir, "lineitem")
     payloads = lines.select(F.struct(*lines.columns).alias("payload"))
-    bronze = normalize(
-        payloads, "l_orderkey", json_options={"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
-    )
+    bronze = normalize(payloads, "l_orderkey", json_options={"timestampNTZFormat": EXACT})
     ref = TableRef(_database(spark, "lineitem"), "lineitem_silver")
     create_managed_table(
         spark, ref,
@@ -418,20 +485,30 @@ def lineitem_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two runs over a folder that grows in between; no line is taken twice."""
+    """Batch loads and streamed loads into one table; no line is lost or taken twice."""
     folder = scratch_folder(spark, "incremental_raw")
     orders = _read(spark, sf_dir, "orders").select(
-        F.struct(F.col("o_orderkey").alias("id"), "o_orderstatus").alias("payload")
+        F.struct(F.col("o_orderkey").cast("string").alias("id"), "o_orderstatus").alias("payload"), "o_orderkey"
     )
-    first_half = F.col("payload.o_orderstatus") == "O"
+    parts = [orders.filter(F.col("o_orderkey") % 4 == i).select("payload") for i in range(4)]
     ref = TableRef(_database(spark, "incremental"), "orders_bronze")
-    create_managed_table(spark, ref, "record_id STRING, payload_json STRING, processed_at TIMESTAMP")
+    create_layer_table(spark, ref, "bronze", by_load=True)
     checkpoint = scratch_folder(spark, "incremental_checkpoint")
     schema = "payload struct<id: string, o_orderstatus: string>"
-    for landed in (first_half, ~first_half):
-        write_jsonl(orders.filter(landed), folder, rows_per_file=ROWS_PER_FILE)
+
+    def batch(part: DataFrame, load: str) -> None:
+        write_table(normalize(part).withColumn("load_id", F.lit(load)), ref)
+
+    def stream() -> None:
         run_bronze_incremental(spark, folder, schema, ref, checkpoint)
-    return scan_table(spark, ref).drop("processed_at")
+
+    batch(parts[0], "first")
+    for part in parts[1:3]:
+        write_jsonl(part, folder, rows_per_file=ROWS_PER_FILE)
+        stream()
+    batch(parts[3], "last")
+    stream()
+    return scan_table(spark, ref).drop("processed_at", "load_id")
 
 
 # --- tables ------------------------------------------------------------------------------
@@ -514,15 +591,15 @@ def content_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def file_manifest_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bytes per folder according to the manifest of all landed documents."""
+    """Size and digest of the files of all documents, one file for each source."""
     folder = scratch_folder(spark, "manifest")
-    documents = _read(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    write_jsonl(documents, folder, ["source"], ROWS_PER_FILE)
+    documents = _read(spark, sf_dir, "documents")
+    line = F.to_json(F.struct("doc_id", "text", "source"))
+    lines = documents.select("doc_id", line.alias("line"), "source").repartition("source")
+    lines = lines.sortWithinPartitions("source", "doc_id").select("line", "source")
+    lines.write.partitionBy("source").text(folder)
     manifest = file_manifest(spark, folder, "*.txt")
-    return manifest.groupBy(F.regexp_extract("path", "source=([^/]*)/", 1).alias("source")).agg(
-        F.sum("size").alias("total_bytes"),
-        (F.count(F.lit(1)) == F.count_if(F.length("sha256") == 64)).alias("all_hashed"),
-    )
+    return manifest.select(F.regexp_extract("path", "source=([^/]*)/", 1).alias("source"), "size", "sha256")
 
 
 def manifest_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -548,6 +625,7 @@ def mask_full_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     masked = mask_columns(customers, ["api_token", "secret_code"])
     return masked.withColumns({
         "masked_value": mask_by_key("name", "value"),
+        "masked_number": mask_by_key("name", F.col("c_custkey") % 5, T.LongType()),
         "masked_segment": mask_full("value"),
     })
 
@@ -638,8 +716,12 @@ def survivorship(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_custkey", F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"),
         F.when(key % 13 != 0, F.lit("NONE")).alias("segment"),
     )
+    nameless = customers.filter(key % 3 == 0).select(
+        F.lit(None).cast("bigint").alias("c_custkey"), F.lit("nobody").alias("name")
+    )
     return survivorship_merge(
-        {"workflow": workflow, "command": command, "default": default}, ["c_custkey"]
+        {"workflow": workflow.unionByName(nameless, allowMissingColumns=True), "command": command, "default": default},
+        ["c_custkey"],
     )
 
 
@@ -667,7 +749,7 @@ def lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     word = F.lower(F.replace("p_type", F.lit(" "), F.lit("_")))
     steps = parts.select(
         "p_partkey",
-        _case(key, "raw_zone", "Bronze_Zone", "silver_zone", "gold_zone", "sales").alias("source_database"),
+        _case(key, "raw_zone", "Bronze_Zone", "silver_zone", "gold_zone", "sales", " ").alias("source_database"),
         F.concat(word, _case(key, "", "", "", "", "", "_withdrawals", "_gold")).alias("source_table"),
         _case(F.floor(key / 5), "bronze_zone", "silver_zone", "GOLD_zone", "raw_zone", "mart").alias(
             "target_database"
@@ -703,11 +785,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_scan": json_scan,
     "json_scan_permissive": json_scan_permissive,
     "csv_drop_ingest": csv_drop_ingest,
+    "csv_rejects": csv_rejects,
     "table_scan_filtered": table_scan_filtered,
     "external_table_scan": external_table_scan,
     "partition_repair": partition_repair,
     "unnest_responses": unnest,
     "unreadable_responses": unreadable,
+    "response_numbers": response_numbers,
+    "landing_rejects": landing_rejects,
+    "landing_empty": landing_empty,
     "enrich_defaults": enrich_defaults,
     "landing_batch_ids": landing_batch_ids,
     "global_ordinal": global_ordinal,
@@ -725,6 +811,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_layer": silver_layer,
     "gold_layer": gold_layer,
     "full_chain": full_chain,
+    "chain_rerun": chain_rerun,
     "lineitem_silver": lineitem_silver,
     "bronze_incremental": bronze_incremental,
     "append_by_name": append_by_name,

@@ -2,29 +2,36 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakelayers.functions.json_text import EXACT_TIMES
 from lakelayers.sinks.layout import gather_by
 
 LINE_COLUMN = "line"
+ROWS_PER_FILE = 1_000_000
 
 
 def write_jsonl(
     df: DataFrame,
     path: str,
     partition_by: Sequence[str] = (),
-    rows_per_file: int = 500,
+    rows_per_file: int = ROWS_PER_FILE,
     skip_empty: bool = True,
+    json_options: Mapping[str, str] | None = None,
 ) -> bool:
     """One JSON object per row, nulls included; returns whether anything was written.
 
+    Timestamps keep their microseconds, unless ``json_options`` for the writer say otherwise.
+
     Partition columns stand in the folder name and in each line. They are gathered by value
     first, so that a value's rows lie in few tasks while a hot value is split over several.
     """
-    line = F.to_json(F.struct(*[F.col(name) for name in df.columns]), {"ignoreNullFields": "false"})
+    line = F.to_json(F.struct(*[F.col(name) for name in df.columns]), {
+        "ignoreNullFields": "false", **EXACT_TIMES, **(json_options or {})
+    })
     lines = df.select(line.alias(LINE_COLUMN), *partition_by)
     return write_lines(lines, path, partition_by, rows_per_file, skip_empty)
 
@@ -33,7 +40,7 @@ def write_lines(
     lines: DataFrame,
     path: str,
     partition_by: Sequence[str] = (),
-    rows_per_file: int = 500,
+    rows_per_file: int = ROWS_PER_FILE,
     skip_empty: bool = True,
 ) -> bool:
     """Ready-made lines in column ``line`` plus the partition columns."""

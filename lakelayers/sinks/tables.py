@@ -21,6 +21,8 @@ LAYER_COLUMNS = {
     "gold": "records_total BIGINT, entity_type STRING, computed_at TIMESTAMP",
 }
 
+LOAD_COLUMN = "load_id"
+
 FILE_FORMATS = ("parquet", "orc", "json", "csv", "avro", "text")
 
 
@@ -49,11 +51,17 @@ def create_databases_for(
 
 
 def create_layer_table(
-    spark: SparkSession, ref: TableRef, layer: str, table_format: str = "parquet"
+    spark: SparkSession, ref: TableRef, layer: str, table_format: str = "parquet", by_load: bool = False
 ) -> None:
-    """The bronze, silver or gold table, left alone if it exists."""
+    """The bronze, silver or gold table, left alone if it exists.
+
+    ``by_load`` adds the partition column ``load_id``, one partition for each load, which a
+    repeated load replaces.
+    """
+    columns = f"{LAYER_COLUMNS[layer]}, {LOAD_COLUMN} STRING" if by_load else LAYER_COLUMNS[layer]
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {ref.sql} ({LAYER_COLUMNS[layer]}) USING {table_format}"
+        f"CREATE TABLE IF NOT EXISTS {ref.sql} ({columns}) USING {table_format}"
+        f"{_partition_clause([LOAD_COLUMN] if by_load else [])}"
     )
 
 

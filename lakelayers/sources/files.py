@@ -9,11 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakelayers.sources.jsonl import CORRUPT_COLUMN, as_schema
+
 logger = logging.getLogger(__name__)
 
 CSV_GLOB = "*.[cC][sS][vV]"
-INLINE_LIMIT = 64 * 1024 * 1024
-READ_CHUNK = 4 * 1024 * 1024
 
 
 def _binary_scan(spark: SparkSession, folder: str, pattern: str | None) -> DataFrame:
@@ -38,59 +38,14 @@ def list_files(spark: SparkSession, folder: str, pattern: str | None = None) ->
     return _described(_binary_scan(spark, folder, pattern))
 
 
-def _streamed_digests(chunk_size: int):
-    """A task function that adds the SHA-256 of each listed file, read in chunks.
-
-    It is nested so that it travels to the executors by value.
-    """
-
-    def open_stream(path):
-        from urllib.parse import quote
-
-        from pyarrow import fs
-
-        if path.startswith("file:"):
-            return fs.LocalFileSystem().open_input_stream("/" + path[len("file:"):].lstrip("/"))
-        scheme, rest = path.split(":", 1)
-        scheme = "s3" if scheme in ("s3a", "s3n") else scheme
-        filesystem, inner = fs.FileSystem.from_uri(f"{scheme}:{quote(rest, safe='/:@')}")
-        return filesystem.open_input_stream(inner)
-
-    def digest(path):
-        import hashlib
-
-        total = hashlib.sha256()
-        with open_stream(path) as stream:
-            while chunk := stream.read(chunk_size):
-                total.update(chunk)
-        return total.hexdigest()
-
-    def add_digests(batches):
-        for batch in batches:
-            yield batch.assign(sha256=[digest(path) for path in batch["path"]])
-
-    return add_digests
-
-
-def file_manifest(
-    spark: SparkSession,
-    folder: str,
-    pattern: str | None = None,
-    inline_limit: int = INLINE_LIMIT,
-) -> DataFrame:
+def file_manifest(spark: SparkSession, folder: str, pattern: str | None = None) -> DataFrame:
     """``path, name, size, mtime, sha256`` of every file below a folder.
 
-    Files up to ``inline_limit`` bytes are hashed by the scan itself. Larger ones would not fit
-    an executor, so a task streams each of them in chunks instead. Files whose name starts with
-    ``_`` or ``.`` are not listed, as in every Spark file scan.
+    All files are read by the scan itself, with the session's own file systems and keys, one in
+    memory at a time in each task; a file of over 2 GB, the limit of a binary value, fails the
+    query. Files whose name starts with ``_`` or ``.`` are not listed, as in every Spark scan.
     """
-    scan = _binary_scan(spark, folder, pattern)
-    # The listing knows the sizes, so each side opens its own files only.
-    size = F.col("_metadata.file_size")
-    hashed = _described(scan.filter(size <= inline_limit), F.sha2("content", 256).alias("sha256"))
-    listed = _described(scan.filter(size > inline_limit))
-    with_digest = T.StructType([*listed.schema.fields, T.StructField("sha256", T.StringType())])
-    return hashed.unionByName(listed.mapInPandas(_streamed_digests(READ_CHUNK), with_digest))
+    return _described(_binary_scan(spark, folder, pattern), F.sha2("content", 256).alias("sha256"))
 
 
 def read_csv_drop(
@@ -100,6 +55,8 @@ def read_csv_drop(
     which: str = "all",
     header: bool = True,
     options: Mapping[str, str] | None = None,
+    malformed: str = "PERMISSIVE",
+    keep_corrupt: bool = False,
 ) -> DataFrame:
     """Rows of the CSV file at ``path``, or of those in the folder if it ends with ``/``.
 
@@ -107,6 +64,11 @@ def read_csv_drop(
     ``which="first"`` only the one first by path. ``source_file`` names the file of a row.
     Without a schema all columns are text. ``options`` go to the CSV reader. A folder without
     CSV files is an error.
+
+    Rows with too few, too many or mistyped fields are malformed under a schema: they are read as
+    far as possible (``PERMISSIVE``), dropped (``DROPMALFORMED``) or fail the query
+    (``FAILFAST``). With ``keep_corrupt`` their text stands in ``_corrupt_record``, so that
+    :func:`lakelayers.sources.jsonl.is_corrupt` tells them apart.
     """
     if which not in ("all", "first"):
         raise ValueError(f"which must be 'all' or 'first', not {which!r}")
@@ -128,7 +90,11 @@ def read_csv_drop(
     reader = spark.read.option("header", str(header).lower()).option("enforceSchema", "false")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
+    reader = reader.option("mode", malformed).option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
     if schema is not None:
-        reader = reader.schema(schema)
+        declared = as_schema(schema)
+        if keep_corrupt and CORRUPT_COLUMN not in declared.fieldNames():
+            declared = T.StructType([*declared.fields, T.StructField(CORRUPT_COLUMN, T.StringType())])
+        reader = reader.schema(declared)
     rows = reader.options(**(options or {})).csv(target)
     return rows.select("*", F.col("_metadata.file_name").alias("source_file"))

@@ -7,7 +7,7 @@ from pyspark.errors import AnalysisException
 from lakelayers.__main__ import parse_arguments
 from lakelayers.operators.layers import count_records, normalize, standardize
 from lakelayers.plans.chain import Entity, run_chain, run_layer
-from lakelayers.sinks.tables import create_managed_table
+from lakelayers.sinks.tables import create_managed_table, write_table
 from lakelayers.sources.jsonl import scan_jsonl
 from lakelayers.streaming.bronze import run_bronze_incremental
 
@@ -107,11 +107,13 @@ def test_variant_payload_keeps_all_fields(spark, spec, land):
     run_layer(spark, replace(spec, payload_schema="variant"), "bronze")
     texts = {row["record_id"]: row["payload_json"] for row in rows(spark, spec, "bronze")}
     assert json.loads(texts.pop("2")) == POSTS[1]
-    assert texts == {None: None}
+    assert texts == {}
+    assert [row["line"] for row in spark.table(spec.malformed_table.sql).collect()] == ["{oops"]
 
 
-def test_timestamps_keep_microseconds_on_request(spark):
+def test_timestamps_keep_microseconds(spark):
     frame = spark.sql("SELECT struct(1 AS id, TIMESTAMP_NTZ'2024-01-01 00:00:00.123456' AS ts) AS payload")
+    assert normalize(frame).first()["payload_json"] == '{"id":1,"ts":"2024-01-01T00:00:00.123456"}'
     options = {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
     text = normalize(frame, json_options=options).first()["payload_json"]
     assert text == '{"id":1,"ts":"2024-01-01 00:00:00.123456"}'
@@ -125,8 +127,9 @@ def test_nested_id_field(spark):
 @pytest.mark.parametrize("schema", [None, "struct<id: bigint, title: string>"])
 def test_malformed_lines(spark, spec, land, schema):
     land([*POSTS, "{oops", '{"payload":{"id":4'])
-    plain = replace(spec, payload_schema=schema)
-    assert run_layer(spark, plain, "bronze").rows_out == 5
+    plain = replace(spec, payload_schema=schema, quarantine=False)
+    run = run_layer(spark, plain, "bronze")
+    assert (run.rows_in, run.rows_out, run.rows_malformed) == (5, 5, 2)
     assert sum(row["record_id"] is None for row in rows(spark, spec, "bronze")) == 2
     apart = replace(plain, quarantine=True, mode="overwrite")
     run = run_layer(spark, apart, "bronze")
@@ -169,19 +172,52 @@ def test_tables_are_not_created_unless_asked(spark, spec, land):
 
 def test_incremental_bronze_takes_each_file_once(spark, spec, land, table, tmp_path):
     ref = table("bronze")
-    create_managed_table(spark, ref, "record_id STRING, payload_json STRING, processed_at TIMESTAMP")
+    checkpoint = tmp_path / "checkpoint"
 
     def run():
         run_bronze_incremental(
-            spark, spec.raw_path, "payload struct<id: string, title: string>", ref, str(tmp_path / "checkpoint")
+            spark, spec.raw_path, "payload struct<id: string, title: string>", ref, str(checkpoint)
         )
         return spark.table(ref.sql).count()
 
     land(POSTS[:2])
     assert run() == 2
     assert run() == 2
-    land(POSTS[2:], "b.json")
-    assert run() == 3
+    write_table(spark.sql("SELECT 'x' AS record_id, 'batch' AS load_id"), ref)
+    land([*POSTS[2:], "{oops"], "b.json")
+    assert run() == 4
+    # A batch that was written but not committed is repeated, and replaces itself.
+    for commit in (checkpoint / "commits").glob("*1*"):
+        commit.unlink()
+    assert run() == 4
+    malformed = spark.table(f"`{ref.database}`.`{ref.table}_malformed`")
+    assert [row["line"] for row in malformed.collect()] == ["{oops"]
+
+
+def test_stream_needs_a_load_partition(spark, spec, land, table, tmp_path):
+    ref = table("bronze")
+    create_managed_table(spark, ref, "record_id STRING, payload_json STRING, processed_at TIMESTAMP")
+    land(POSTS)
+    with pytest.raises(ValueError, match="load_id"):
+        run_bronze_incremental(spark, spec.raw_path, "payload struct<id: string>", ref, str(tmp_path / "c"))
+
+
+def test_repeated_load_replaces_itself(spark, spec, land):
+    land([*POSTS, "{oops"])
+    first, second = replace(spec, load_id="a"), replace(spec, load_id="b")
+    for load in (first, first, second):
+        run_chain(spark, load)
+    assert len(rows(spark, spec, "silver")) == 6
+    assert sorted((r["load_id"], r["records_total"]) for r in rows(spark, spec, "gold")) == [("a", 3), ("b", 3)]
+    assert spark.table(spec.malformed_table.sql).count() == 2
+
+
+def test_chain_lands_bodies_first(spark, spec):
+    bodies = spark.createDataFrame([('[{"id":1},{"id":2}]',), ("{oops",)], "body string")
+    runs = run_chain(spark, spec, bodies=bodies)
+    assert [(r.layer, r.rows_in, r.rows_out, r.rows_malformed) for r in runs] == [
+        ("raw", 2, 2, 1), ("bronze", 2, 2, 0), ("silver", 2, 2, 0), ("gold", 2, 1, 0),
+    ]
 
 
 def test_functions_on_empty_frames(spark):
@@ -199,5 +235,5 @@ def test_scan_modes(spark, land, spec):
 
 
 def test_command_line():
-    options = parse_arguments(["chain", "--source", "a", "--entity", "b", "--raw-root", "/r", "--quarantine"])
-    assert (options.layer, options.create_tables, options.quarantine) == ("chain", True, True)
+    options = parse_arguments(["chain", "--source", "a", "--entity", "b", "--raw-root", "/r", "--no-quarantine"])
+    assert (options.layer, options.create_tables, options.quarantine) == ("chain", True, False)

@@ -125,7 +125,7 @@ def test_response_records(values):
         '[{"a":1},3,null,{"b":"]"}]', '{"a":1} {"b":2}', '{"data":"[{}]"}',
     ]
     assert values(bodies, response_records("v")) == [
-        ['{"id":1,"b":2.5,"a":[1,2]}', '{"id":2}'], ['{"z":1,"a":{"c":null}}'], ['{"x":1}'], None, None, [],
+        ['{"a":[1,2],"b":2.5,"id":1}', '{"id":2}'], ['{"a":{"c":null},"z":1}'], ['{"x": 1}'], None, None, [],
         None, None, None, None, ['{"q":"éé"}'], None, None, None, None, None, None, ['{"a":1}', '{"b":"]"}'],
         None, None,
     ]
@@ -170,7 +170,7 @@ def test_rules(spark):
     rows = [("prod", "s3://b", 1), ("PROD", "s3://b", None), (" ", "x", 1), (None, None, 1), ("dev", "s3://", 2)]
     frame = spark.createDataFrame(rows, "env string, path string, n int")
     checks = [
-        rules.not_null("n"), rules.not_blank("env"), rules.one_of("env", rules.ENVIRONMENTS),
+        rules.not_null("n"), rules.not_blank("env"), rules.one_of("env", ("local", "develop", "staging", "prod")),
         rules.has_prefix("path", "s3://"),
     ]
     found = frame.select(rules.first_failed_rule(checks)).collect()

@@ -51,7 +51,7 @@ def test_hot_value_is_spread_and_keeps_arrival_order(spark):
     assert staged.filter("k = 7").select(PART).distinct().count() >= 3
 
 
-@pytest.mark.parametrize("limit", [100, 1])
+@pytest.mark.parametrize("limit", [1 << 20, 1])
 def test_parquet_rows_are_numbered_by_file_and_place(spark, tmp_path, limit):
     folder = str(tmp_path / "files")
     spark.range(0, 10_000, 1, 7).write.option("maxRecordsPerFile", 600).parquet(folder)
@@ -62,7 +62,7 @@ def test_parquet_rows_are_numbered_by_file_and_place(spark, tmp_path, limit):
     order = [row["id"] for row in by_file.orderBy("file_path", "row_index").collect()]
     assert [row["id"] for row in sorted(rows, key=lambda row: row["n"])] == order
     plan = numbered._jdf.queryExecution().executedPlan().toString()
-    assert ("BroadcastHashJoin" in plan) == (limit == 100)
+    assert ("BroadcastHashJoin" in plan) == (limit == 1 << 20)
 
 
 def test_given_numbers_make_the_batch_ids(spark, tmp_path):
@@ -76,7 +76,7 @@ def test_given_numbers_make_the_batch_ids(spark, tmp_path):
 
 
 def test_many_offsets_are_joined_without_broadcast(spark):
-    numbered = with_ordinal(spark.range(0, 3000, 1, 6), "n", broadcast_parts=5)
+    numbered = with_ordinal(spark.range(0, 3000, 1, 6), "n", broadcast_bytes=5)
     plan = numbered._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
     assert all(row["id"] == row["n"] for row in numbered.collect())
@@ -132,8 +132,8 @@ def test_request_facts_come_from_argument_column_or_default(spark):
     assert facts["ingestion_method"] == "api_polling"
 
 
-def test_landed_files_hold_at_most_a_batch(spark, tmp_path):
-    run = LandingRun("api", "posts", "job", RUN.started, 100)
+def test_landed_files_hold_at_most_rows_per_file(spark, tmp_path):
+    run = LandingRun("api", "posts", "job", RUN.started, 500, rows_per_file=100)
     land_records(spark.range(0, 450, 1, 1), str(tmp_path / "raw"), run, ["id"])
     files = lines_below(tmp_path / "raw")
     assert sorted(len(lines) for lines in files) == [50, 100, 100, 100, 100]
@@ -155,7 +155,7 @@ def test_partition_values_stand_in_folder_and_line(spark, tmp_path):
 
 def test_nothing_to_land(spark, tmp_path):
     empty = spark.createDataFrame([], "body string")
-    assert land_responses(empty, str(tmp_path / "raw"), RUN) is False
+    assert land_responses(empty, str(tmp_path / "raw"), RUN).records == 0
     assert not (tmp_path / "raw").exists()
 
 

@@ -132,11 +132,10 @@ def drop(tmp_path):
     return str(folder) + "/"
 
 
-@pytest.mark.parametrize("limit", [1 << 20, 5, 0])
-def test_manifest_hashes_scanned_and_streamed_files(spark, drop, limit):
+def test_manifest_hashes_files_of_all_sizes(spark, drop):
     with open(drop + "large.bin", "wb") as file:
         file.write(os.urandom(100_000))
-    found = {row["name"]: row for row in file_manifest(spark, drop, inline_limit=limit).collect()}
+    found = {row["name"]: row for row in file_manifest(spark, drop).collect()}
     assert set(found) == {"a.csv", "b.CSV", "c.Csv", "d.txt", "large.bin"}
     for name, row in found.items():
         content = open(drop + name, "rb").read()
