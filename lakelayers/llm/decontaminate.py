@@ -27,12 +27,11 @@ of equal id count as one in the result.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import reduce
 from typing import Any
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -70,10 +69,10 @@ def normal_words(column: pa.Array) -> Words:
 class Index:
     """Entries of a shard of items, in blocks."""
 
-    def __init__(self, items: pd.DataFrame, frequency: dict[int, int], entries_total: int, mean_length: float) -> None:
-        self.items: list[tuple[int, np.ndarray]] = []  # id and word hashes
+    def __init__(self, items: Iterable[tuple[int | None, bytes]], frequency: dict[int, int], entries_total: int, mean_length: float) -> None:
+        self.items: list[tuple[int | None, np.ndarray]] = []  # id and word hashes
         entries = []  # item number, hashes of a segment
-        for item_id, packed in zip(items["item_id"], items["words"], strict=True):
+        for item_id, packed in items:
             hashes = np.frombuffer(packed, np.uint64)
             if len(hashes):
                 entries += [(len(self.items), part) for part in segments(hashes)]
@@ -294,7 +293,7 @@ def contaminations(
         own = dealt.filter(F.col("shard") == shard)
         terms = own.selectExpr("explode(flatten(terms)) term").distinct().join(frequency, "term").toPandas()  # bounded, as the shard is
         known = dict(zip((terms["term"].to_numpy(np.int64).view(np.uint64)).tolist(), terms["df"].tolist(), strict=True))
-        index = Index(own.select("item_id", "words").orderBy("item_id", "words").toPandas(), known, entries, total / 8 / max(1, entries))
+        index = Index(own.select("item_id", "words").orderBy("item_id", "words").collect(), known, entries, total / 8 / max(1, entries))
         found.append(docs.mapInArrow(_searched(spark.sparkContext.broadcast(index)), FOUND))
     every = reduce(DataFrame.unionAll, found)
     best = [F.max_by(c, "score").alias(c) for c in ("word", "question_overlap", "answer_overlap")]

@@ -10,13 +10,13 @@ from lakelayers.llm.brown import score
 from lakelayers.llm.decontaminate import contaminations
 from lakelayers.llm.langid import identify
 from lakelayers.llm.packing import pack
-from lakelayers.llm.quality import quality_rules
+from lakelayers.llm.quality import MAX_DOCS, MAX_SHARE, MIN_SHARE, MIN_WORDS, quality_rules
 from lakelayers.llm.sharding import assign_shards
 from lakelayers.llm.simhash import near_duplicates
 from lakelayers.llm.substrings import dedup_substrings
 from lakelayers.llm.tables import table
 from lakelayers.llm.toxicity import score_toxicity
-from lakelayers.llm.warc import archived_captures
+from lakelayers.llm.warc import MIN_REVISIT, archived_captures
 
 
 def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +48,8 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return archived_captures(table(spark, sf_dir, "pages"))
+    captures = archived_captures(table(spark, sf_dir, "pages"))
+    return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,25 +73,85 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_lm_scoring": op10_lm_scoring,
 }
 
+_WORDS = r"CASE WHEN text IS NULL THEN [] ELSE regexp_extract_all(text, '[^\x20\x09-\x0D]+') END"
+
 ORACLES: dict[str, str] = {
-    "op2_substring_dedup": r"""
-        WITH words AS (
-            SELECT doc_id, CASE WHEN text IS NULL THEN [] ELSE regexp_extract_all(text, '[^\x20\x09-\x0D]+') END AS w
-            FROM documents),
-        starts AS (
-            SELECT doc_id, unnest(range(1, len(w) - 11)) AS at, w FROM words WHERE len(w) >= 13),
-        windows AS (
-            SELECT doc_id, at, array_to_string(list_slice(w, at, at + 12), ' ') AS words FROM starts),
-        firsts AS (SELECT words, min(doc_id) AS smallest FROM windows GROUP BY words),
-        gone AS (
-            SELECT DISTINCT doc_id, unnest(range(at, at + 13)) AS at
-            FROM windows JOIN firsts USING (words) WHERE doc_id > smallest),
-        placed AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS at FROM words),
-        kept AS (
-            SELECT p.doc_id, string_agg(p.word, ' ' ORDER BY p.at) AS text, count(*) AS n
-            FROM placed p LEFT JOIN gone g ON p.doc_id = g.doc_id AND p.at = g.at
-            WHERE g.at IS NULL GROUP BY p.doc_id)
-        SELECT w.doc_id, len(w.w)::BIGINT AS n_words, (len(w.w) - coalesce(k.n, 0))::BIGINT AS n_removed,
-               sha256(coalesce(k.text, '')) AS kept_sha256
-        FROM words w LEFT JOIN kept k ON w.doc_id = k.doc_id""",
+    "op2_substring_dedup": f"""
+WITH words AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+starts AS (SELECT doc_id, unnest(range(1, len(w) - 11)) AS pos, w FROM words WHERE len(w) >= 13),
+windows AS (SELECT doc_id, pos, array_to_string(w[pos:pos + 12], ' ') AS shown FROM starts),
+firsts AS (SELECT shown, min(doc_id) AS smallest FROM windows GROUP BY shown),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(pos, pos + 13)) AS pos
+  FROM windows JOIN firsts USING (shown) WHERE doc_id > smallest
+),
+placed AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM words),
+kept AS (
+  SELECT p.doc_id, string_agg(p.word, ' ' ORDER BY p.pos) AS shown, count(*) AS n
+  FROM placed p LEFT JOIN gone g ON p.doc_id = g.doc_id AND p.pos = g.pos
+  WHERE g.pos IS NULL GROUP BY p.doc_id
+)
+SELECT words.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(shown, '')) AS kept_sha256
+FROM words LEFT JOIN kept ON words.doc_id = kept.doc_id""",
+    "op5_quality_rules": f"""
+WITH words AS (
+  SELECT doc_id, source, coalesce(text, '') AS text, {_WORDS} AS w, string_split(coalesce(text, ''), chr(10)) AS lines
+  FROM documents
+),
+starts AS (SELECT doc_id, unnest(range(1, len(w) - 3)) AS pos, w FROM words WHERE len(w) >= 5),
+windows AS (SELECT doc_id, pos, array_to_string(w[pos:pos + 4], ' ') AS shown FROM starts),
+often AS (SELECT doc_id, shown FROM windows GROUP BY doc_id, shown HAVING count(*) > 1),
+covered AS (
+  SELECT DISTINCT windows.doc_id, unnest(range(pos, pos + 5)) AS pos
+  FROM windows JOIN often ON windows.doc_id = often.doc_id AND windows.shown = often.shown
+),
+repeats AS (SELECT doc_id, count(*) AS n FROM covered GROUP BY doc_id),
+each AS (SELECT doc_id, source, unnest(lines) AS line FROM words),
+judged AS (
+  SELECT doc_id, source, line, trim(regexp_replace(lower(line), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) AS normal,
+         len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS n
+  FROM each
+),
+again AS (
+  SELECT doc_id, CAST(count(*) - count(DISTINCT line) AS BIGINT) AS n FROM judged WHERE n > 0 GROUP BY doc_id
+),
+hosts AS (SELECT source, count(*) AS docs FROM documents GROUP BY source),
+over AS (
+  SELECT j.source, normal FROM judged j JOIN hosts ON j.source = hosts.source WHERE normal <> ''
+  GROUP BY j.source, normal, docs
+  HAVING count(DISTINCT doc_id) > {MAX_DOCS} AND count(DISTINCT doc_id) > {MAX_SHARE} * docs
+),
+removed AS (
+  SELECT doc_id, sum(n) AS n FROM judged JOIN over ON judged.source = over.source AND judged.normal = over.normal
+  GROUP BY doc_id
+),
+base AS (
+  SELECT words.doc_id, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(coalesce(again.n, 0) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(repeats.n, 0) AS BIGINT) AS n_repeat_words,
+         CAST(coalesce(removed.n, 0) AS BIGINT) AS n_removed_words
+  FROM words LEFT JOIN again ON words.doc_id = again.doc_id LEFT JOIN repeats ON words.doc_id = repeats.doc_id
+  LEFT JOIN removed ON words.doc_id = removed.doc_id
+),
+failed AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM base)
+SELECT *, NOT base_failed AND n_words - n_removed_words >= {MIN_WORDS}
+          AND n_words - n_removed_words >= {MIN_SHARE} * n_words AS kept
+FROM failed""",
+    "op8_warc": f"""
+WITH payloads AS (
+  SELECT page_id, url, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+),
+firsts AS (
+  SELECT payload_digest, min(page_id) AS first FROM payloads WHERE payload_bytes >= {MIN_REVISIT}
+  GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, p.payload_digest,
+       CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id > first THEN first END AS refers_to
+FROM payloads p LEFT JOIN firsts ON p.payload_digest = firsts.payload_digest AND payload_bytes >= {MIN_REVISIT}""",
 }

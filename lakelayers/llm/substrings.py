@@ -169,7 +169,7 @@ def bundles(every: np.ndarray, local: bool, ranges: int) -> pa.RecordBatch:
     every, owner = every[order], owner[order]
     numbers, begin = np.unique(owner, return_index=True)
     columns: list[list] = [[] for _ in range(8)]
-    for number, low, high in zip(numbers, begin, [*begin[1:], len(every)], strict=True):
+    for number, low, high in zip(numbers, begin, np.append(begin, len(every))[1:], strict=True):
         part = every[low:high]
         texts, name = np.unique(np.rec.fromarrays([part["doc"], part["key"]], names="doc,key"), return_inverse=True)
         row = [int(number), pack(part["h1"]), pack(part["h2"]), pack(name.astype(np.uint32)), pack(part["at"]), pack(texts["doc"]), pack(texts["key"]), local]
