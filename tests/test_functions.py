@@ -177,6 +177,25 @@ def test_rules(spark):
     assert [row[0] for row in found] == [None, "n_not_null", "env_not_blank", "env_not_blank", "env_one_of"]
 
 
+def test_blanks_of_all_kinds(values, spark):
+    blanks = ["\u00a0", " \u2003\t", "\x1c", "", "x\u00a0", None]
+    assert values(blanks, rules.not_blank("v").holds) == [False, False, False, False, True, None]
+    assert values(blanks, rules.strip_blank("v")) == ["", "", "", "", "x", None]
+    numbers = ["\u00a05\u2003", "\x1c-7", "\u00a0inf"]
+    assert values(numbers, parsing.parse_long("v")) == [5, -7, None]
+    assert values(numbers, parsing.parse_double("v")) == [5.0, -7.0, math.inf]
+
+
+def test_masking_by_key_of_typed_values(spark):
+    frame = spark.sql("SELECT * FROM VALUES ('api_key', 5), ('api_key', 0), ('region', 7), ('token', NULL) AS t(k, v)")
+    plain = [r[0] for r in frame.select(masking.mask_by_key("k", "v")).collect()]
+    typed = [r[0] for r in frame.select(masking.mask_by_key("k", "v", T.IntegerType())).collect()]
+    shown = [r[0] for r in frame.select(masking.preview_by_key("k", "v", data_type=T.IntegerType())).collect()]
+    assert plain == ["********", "********", "7", None]
+    assert typed == ["********", "0", "7", None]
+    assert shown == ["********", "(empty)", "7", "(empty)"]
+
+
 def test_no_rules_reject_nothing(values):
     assert values(["a"], rules.first_failed_rule([])) == [None]
 

@@ -159,6 +159,27 @@ def test_nothing_to_land(spark, tmp_path):
     assert not (tmp_path / "raw").exists()
 
 
+def test_unreadable_bodies_are_counted_and_kept(spark, tmp_path):
+    bodies = [(1, '[{"id":1},{"id":2}]'), (2, "{oops"), (3, "7"), (4, "[]"), (5, None)]
+    frame = spark.createDataFrame(bodies, "page int, body string")
+    counts = land_responses(frame, str(tmp_path / "raw"), RUN)
+    assert (counts.bodies, counts.unreadable, counts.records, bool(counts)) == (5, 3, 2, True)
+    kept = scan_jsonl(spark, str(tmp_path / "raw_unreadable"), "page int, body string").collect()
+    assert {(r.page, r.body) for r in kept} == {(2, "{oops"), (3, "7"), (5, None)}
+    again = land_responses(frame.filter("page > 1"), str(tmp_path / "none"), RUN, rejects=str(tmp_path / "bad"))
+    assert (again.bodies, again.unreadable, again.records) == (4, 3, 0) and not (tmp_path / "none").exists()
+
+
+def test_landing_keeps_microseconds_and_long_decimals(spark, tmp_path):
+    frame = spark.sql("SELECT 1 id, TIMESTAMP_NTZ'2024-01-01 00:00:00.123456' at")
+    land_records(frame, str(tmp_path / "raw"), RUN, ["id", "at"], ["at"])
+    line = lines_below(tmp_path / "raw")[0][0]
+    assert line["payload"]["at"] == line["at"] == "2024-01-01T00:00:00.123456"
+    body = '{"n":12345678901234567890.1234567890}'
+    found = unnest_responses(spark.createDataFrame([(f"[{body}]",), (body,)], "body string")).collect()
+    assert [r.record for r in found] == ['{"n":12345678901234567890.123456789}', body]
+
+
 def test_records_of_a_body_stay_in_order(spark, tmp_path):
     bodies = [(k, json.dumps([{"id": k * 10 + i, "note": None} for i in range(3)])) for k in (3, 1, 2)]
     frame = spark.createDataFrame(bodies, "page int, body string")

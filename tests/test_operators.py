@@ -12,6 +12,7 @@ from lakelayers.operators.quality import parse_columns, split_rejects
 from lakelayers.scratch import scratch_folder, scratch_root
 from lakelayers.sinks.tables import create_managed_table
 from lakelayers.sources.files import file_manifest, list_files, read_csv_drop
+from lakelayers.sources.jsonl import is_corrupt
 
 
 def test_parse_columns_reports_rejects(spark):
@@ -93,6 +94,30 @@ def test_lineage(spark):
     ]
 
 
+def test_blank_databases_and_unknown_layers_are_invalid(spark):
+    steps = [
+        (" \u00a0", "raw_t", "bronze", "t", None, None), ("raw", "t", None, "t", None, "bronze"),
+        ("x", "t", "y", "t", "foo", "raw"), ("x", "t", "y", "t", "foo", "foo"), (" raw_zone ", "t", "bronze_zone", "t", None, None),
+    ]
+    frame = spark.createDataFrame(steps, LINEAGE_COLUMNS + ", source_layer string, target_layer string")
+    found = lineage_audit(frame).select("is_valid", "message", "source_full_name").collect()
+    refused = "Invalid pipeline: foo -> {}. Valid transitions from foo: []"
+    assert [(r.is_valid, r.message) for r in found] == [
+        (False, "Database name cannot be empty"), (False, "Database name cannot be empty"),
+        (False, refused.format("raw")), (False, refused.format("foo")), (True, None),
+    ]
+    assert found[4].source_full_name == "spark_catalog.raw_zone.t"
+
+
+def test_rows_without_a_key_are_not_merged(spark):
+    one = spark.createDataFrame([(None, "a"), (None, "b"), (1, "c")], "k int, v string")
+    two = spark.createDataFrame([(None, "z"), (1, "d")], "k int, v string")
+    found = survivorship_merge({"one": one, "two": two}, ["k"]).collect()
+    assert sorted(map(repr, ((r.k, r.v, r.v_source) for r in found))) == sorted(map(repr, [
+        (None, "a", "one"), (None, "b", "one"), (None, "z", "two"), (1, "c", "one"),
+    ]))
+
+
 def test_given_layers_win(spark):
     frame = spark.createDataFrame(
         [("raw", "t", "bronze", "t", "silver", None)], LINEAGE_COLUMNS + ", source_layer string, target_layer string"
@@ -156,6 +181,17 @@ def test_csv_drop(spark, drop):
         read_csv_drop(spark, drop, which="last")
 
 
+def test_malformed_csv_rows(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("k,v\n1,a\nx,b\n3,c,extra\n4\n")
+    kept = read_csv_drop(spark, f"{tmp_path}/", "k int, v string", keep_corrupt=True)
+    bad = is_corrupt(kept)
+    assert sorted(r._corrupt_record for r in kept.filter(bad).collect()) == ["3,c,extra", "4", "x,b"]
+    assert [(r.k, r.v) for r in kept.filter(~bad).collect()] == [(1, "a")]
+    assert read_csv_drop(spark, f"{tmp_path}/", "k int, v string", malformed="DROPMALFORMED").collect()[0].k == 1
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_csv_drop(spark, f"{tmp_path}/", "k int, v string", malformed="FAILFAST").collect()
+
+
 def test_csv_reader_options(spark, tmp_path):
     (tmp_path / "a.csv").write_text('k;v\n1;"x\ny"\n')
     found = read_csv_drop(spark, f"{tmp_path}/", "k int, v string", options={"sep": ";", "multiLine": "true"})
