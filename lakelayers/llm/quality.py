@@ -2,8 +2,8 @@
 
 Lines are normalised (lower case, every run of characters other than letters and digits one space,
 trimmed) and hashed. For each host and line the documents that have it are counted; a line is
-removed if they are more than ``max_docs`` and more than ``max_share`` of the host's documents. A
-document is depleted, and rejected, if fewer than ``min_words`` or ``min_share`` of its words stay.
+removed if they are more than ``max_docs`` and more than ``max_percent`` of the host's documents. A
+document is depleted, and rejected, if fewer than ``min_words`` or ``min_percent`` of its words stay.
 
 Per-document statistics stay in the row of the document: only line hashes are shuffled, after a
 partial count. Documents that share a hot line meet in an equi-join with the few lines over a limit,
@@ -20,9 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_DOCS = 10
-MAX_SHARE = 0.01
+MAX_PERCENT = 1
 MIN_WORDS = 5
-MIN_SHARE = 0.2
+MIN_PERCENT = 20
 WINDOW = 5
 
 _SPACE = r"[\\x20\\x09-\\x0D]+"
@@ -82,9 +82,9 @@ def quality_rules(
     text_col: str = "text",
     host_col: str = "source",
     max_docs: int = MAX_DOCS,
-    max_share: float = MAX_SHARE,
+    max_percent: int = MAX_PERCENT,
     min_words: int = MIN_WORDS,
-    min_share: float = MIN_SHARE,
+    min_percent: int = MIN_PERCENT,
 ) -> DataFrame:
     """One row per input row: doc_id, the base statistics, base_failed, kept, n_removed_words."""
     docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(host_col).alias("host"))
@@ -95,7 +95,7 @@ def quality_rules(
     over = (
         counts.filter(F.col("n_docs") > max_docs)
         .join(hosts, F.expr("host <=> counted_host"))
-        .filter(F.col("n_docs") > F.lit(max_share) * F.col("host_docs"))
+        .filter(100 * F.col("n_docs") > F.lit(max_percent) * F.col("host_docs"))
         .selectExpr("host over_host", "line over_line")
     )
     each = lines.selectExpr("doc_id", "text_key", "host", "inline(lines)")
@@ -113,5 +113,5 @@ def quality_rules(
     joined = base.join(removed, F.expr("doc_id <=> removed_id and text_key = removed_key and host <=> removed_host"), "left")
     judged = joined.withColumn("n_removed_words", F.expr("coalesce(all_removed div copies, 0L)"))
     left = F.col("n_words") - F.col("n_removed_words")
-    kept = ~F.col("base_failed") & (left >= min_words) & (left >= F.lit(min_share) * F.col("n_words"))
+    kept = ~F.col("base_failed") & (left >= min_words) & (100 * left >= F.lit(min_percent) * F.col("n_words"))
     return judged.select("doc_id", *values, kept.alias("kept"), "n_removed_words", F.expr("explode(sequence(1L, copies))").alias("_copy")).drop("_copy")

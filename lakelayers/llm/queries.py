@@ -10,7 +10,7 @@ from lakelayers.llm.brown import score
 from lakelayers.llm.decontaminate import contaminations
 from lakelayers.llm.langid import identify
 from lakelayers.llm.packing import pack
-from lakelayers.llm.quality import MAX_DOCS, MAX_SHARE, MIN_SHARE, MIN_WORDS, quality_rules
+from lakelayers.llm.quality import MAX_DOCS, MAX_PERCENT, MIN_PERCENT, MIN_WORDS, quality_rules
 from lakelayers.llm.sharding import assign_shards
 from lakelayers.llm.simhash import near_duplicates
 from lakelayers.llm.substrings import dedup_substrings
@@ -120,7 +120,7 @@ hosts AS (SELECT source, count(*) AS docs FROM documents GROUP BY source),
 over AS (
   SELECT j.source, normal FROM judged j JOIN hosts ON j.source = hosts.source WHERE normal <> ''
   GROUP BY j.source, normal, docs
-  HAVING count(DISTINCT doc_id) > {MAX_DOCS} AND count(DISTINCT doc_id) > {MAX_SHARE} * docs
+  HAVING count(DISTINCT doc_id) > {MAX_DOCS} AND 100 * count(DISTINCT doc_id) > {MAX_PERCENT} * docs
 ),
 removed AS (
   SELECT doc_id, sum(n) AS n FROM judged JOIN over ON judged.source = over.source AND judged.normal = over.normal
@@ -138,7 +138,7 @@ base AS (
 ),
 failed AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM base)
 SELECT *, NOT base_failed AND n_words - n_removed_words >= {MIN_WORDS}
-          AND n_words - n_removed_words >= {MIN_SHARE} * n_words AS kept
+          AND 100 * (n_words - n_removed_words) >= {MIN_PERCENT} * n_words AS kept
 FROM failed""",
     "op8_warc": f"""
 WITH payloads AS (

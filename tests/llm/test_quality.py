@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 from lakelayers.llm.quality import quality_rules
 
 
-def brute(rows, max_docs, max_share, min_words, min_share):
+def brute(rows, max_docs, max_percent, min_words, min_percent):
     """Rows of doc_id, text, host; every row counts as a document."""
     hosts, having, base = Counter(r[2] for r in rows), defaultdict(set), []
     for number, (_, text, host) in enumerate(rows):
@@ -27,14 +27,14 @@ def brute(rows, max_docs, max_share, min_words, min_share):
         base.append((len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), sum(covered), failed, normal))
     out = []
     for (doc, _, host), (n, chars, symbols, again, repeat, failed, normal) in zip(rows, base):
-        gone = sum(k for line, k in normal if len(having[host, line]) > max_docs and len(having[host, line]) > max_share * hosts[host])
-        out.append((doc, n, chars, symbols, again, repeat, failed, not failed and n - gone >= min_words and n - gone >= min_share * n, gone))
+        gone = sum(k for line, k in normal if len(having[host, line]) > max_docs and 100 * len(having[host, line]) > max_percent * hosts[host])
+        out.append((doc, n, chars, symbols, again, repeat, failed, not failed and n - gone >= min_words and 100 * (n - gone) >= min_percent * n, gone))
     return sorted(out, key=repr)
 
 
 def check(documents, rows, **limits):
     frame = documents([(d, t, None, h) for d, t, h in rows])
-    settings = dict(max_docs=3, max_share=0.1, min_words=5, min_share=0.2) | limits
+    settings = dict(max_docs=3, max_percent=10, min_words=5, min_percent=20) | limits
     got = sorted((tuple(r) for r in quality_rules(frame, **settings).collect()), key=repr)
     assert got == brute(rows, *settings.values())
 
@@ -48,7 +48,7 @@ def test_equals_brute_force(documents):
         lines += [footer] * rng.randint(0, 2) + lines[:1] * rng.randint(0, 1)
         rows.append((i, "\n".join(lines), rng.choice(["x", "x", "y", None])))
     check(documents, rows)
-    check(documents, rows, min_share=0.9, max_docs=1)
+    check(documents, rows, min_percent=90, max_docs=1)
 
 
 def test_nulls_empties_and_repeated_rows(documents):
