@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from lakelayers.llm.shipping import ship
 from lakelayers.llm.tables import is_remainder
-from lakelayers.llm.words import pieces
+from lakelayers.llm.words import pieces, with_text
 
 BUCKETS = 8192
 DIM = 16
@@ -156,11 +156,13 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return z / z.sum(axis=1, keepdims=True)
 
 
-def _predict(shared):
+def _predict(shared, field: str | None):
+    """``field``: where in the column row the text stands, if rows are carried along."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
         for batch in batches:
-            for piece in pieces(batch):
+            for piece in pieces(with_text(batch, field)):
                 buckets, bounds = subwords(piece.column("text").to_pylist())
                 counts = np.diff(bounds)
                 known = (counts > 0) & bool(model.langs)
@@ -183,10 +185,11 @@ def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """doc_id, lang_pred, score, rejected for every row; ``with_rows`` adds row, a struct of all
     columns."""
     ship(df.sparkSession)
-    row = [F.struct(*[df[c] for c in df.columns]).alias("row")] if with_rows else []
-    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), *row, F.col(text_col).alias("text"))
+    text = F.struct(*[df[c] for c in df.columns]).alias("row") if with_rows else F.col(text_col).alias("text")
+    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), text)
     kinds = docs.drop("text").schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
-    return docs.mapInArrow(_predict(df.sparkSession.sparkContext.broadcast(model)), kinds)
+    shared = df.sparkSession.sparkContext.broadcast(model)
+    return docs.mapInArrow(_predict(shared, text_col if with_rows else None), kinds)
 
 
 def held_out(id_column: Column) -> Column:

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakelayers.llm.shipping import ship
-from lakelayers.llm.words import Words, find_words, mixed, pieces, window_hashes, window_starts, word_hashes
+from lakelayers.llm.words import Words, find_words, mixed, pieces, window_hashes, window_starts, with_text, word_hashes
 
 WINDOW = 13
 DEPTH = 2
@@ -256,12 +256,13 @@ def repeated_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield close(stays, goes)
 
 
-def kept_words(width: int):
-    """Texts without the words that their windows at ``places`` cover."""
+def kept_words(width: int, field: str | None):
+    """Texts without the words that their windows at ``places`` cover. ``field``: where in the
+    column row the text stands, if rows are carried along."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch):
+            for piece in pieces(with_text(batch, field)):
                 words = find_words(piece.column("text"))
                 goes = np.zeros(len(words.starts) + 1, np.int64)
                 for row, places in enumerate(piece.column("places").to_pylist()):
@@ -280,7 +281,7 @@ def kept_words(width: int):
                     pa.array([hashlib.sha256(x).hexdigest() for x in texts], pa.string()),
                 ]
                 names = ["doc_id", "n_words", "n_removed", "kept_sha256"]
-                if "row" in piece.schema.names:
+                if field is not None:
                     columns += [pa.array([x.decode() if n else None for x, n in zip(texts, removed, strict=True)], pa.string()), piece.column("row")]
                     names += ["new_text", "row"]
                 yield pa.RecordBatch.from_arrays(columns, names)
@@ -339,11 +340,13 @@ def dedup_substrings(
     dealt = found.repartition(ranges, "range").sortWithinPartitions("range")
     goes = dealt.mapInArrow(repeated_places, _PLACES)
     places = goes.groupBy("doc_id", "text_key").agg(F.collect_list("places").alias("places"))
-    joined = keyed.join(places, ["doc_id", "text_key"], "left").select(*keyed.columns, "places")
+    # A text is shuffled once: as a column or within its row.
+    carried = keyed.select("doc_id", "text_key", "row" if with_rows else "text")
+    joined = carried.join(places, ["doc_id", "text_key"], "left").select(*carried.columns, "places")
     result = StructType.fromDDL("doc_id long, n_words long, n_removed long, kept_sha256 string")
     if with_rows:
         result = result.add("new_text", "string").add("row", docs.schema["row"].dataType)
-    return joined.mapInArrow(kept_words(width), result)
+    return joined.mapInArrow(kept_words(width, text_col if with_rows else None), result)
 
 
 def without_repeats(docs: DataFrame, width: int = WINDOW) -> DataFrame:

@@ -13,6 +13,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 PIECE_BYTES = 512 << 10
 
@@ -53,6 +54,13 @@ def pieces(batch: pa.RecordBatch, column: str = "text", limit: int = PIECE_BYTES
         at = to
 
 
+def with_text(batch: pa.RecordBatch, field: str | None) -> pa.RecordBatch:
+    """The batch with a column text, taken from a field of the struct column row if one is given."""
+    if field is None:
+        return batch
+    return batch.append_column("text", pc.struct_field(batch.column("row"), field))
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts and their bounds. A null is an empty text."""
     column = column.fill_null("").cast(pa.large_string())
