@@ -93,6 +93,9 @@ SELECT event_id, user_id, value, event_type FROM events WHERE event_type IN ('cl
     "partition_repair": """
 SELECT o_orderstatus, count(*) FILTER (o_orderstatus = 'O') AS rows_before, count(*) AS rows_after
 FROM orders GROUP BY o_orderstatus""",
+    "partition_register": """
+SELECT o_orderkey, o_orderpriority || '''' || 's' AS priority, o_orderstatus FROM orders
+WHERE o_orderstatus IN ('O', 'F')""",
     "unnest_responses": f"""
 WITH {BODIES}
 SELECT event_id, CAST(record AS VARCHAR) AS record FROM records WHERE json_type(record) = 'OBJECT'""",

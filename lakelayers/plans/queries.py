@@ -51,7 +51,7 @@ from lakelayers.sinks.tables import (
 )
 from lakelayers.sources.files import file_manifest, read_csv_drop
 from lakelayers.sources.jsonl import CORRUPT_COLUMN, is_corrupt, scan_jsonl
-from lakelayers.sources.tables import scan_external_table, scan_table
+from lakelayers.sources.tables import register_partitions, scan_external_table, scan_table
 from lakelayers.streaming.bronze import run_bronze_incremental
 
 RUN_TIME = datetime(2024, 5, 6, 7, 8, 9)
@@ -218,6 +218,23 @@ def partition_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def partition_register(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed partitions of a table are registered by value; its scan needs no repair."""
+    folder = scratch_folder(spark, "register")
+    orders = _read(spark, sf_dir, "orders").select(
+        "o_orderkey", F.concat(F.col("o_orderpriority"), F.lit("'s")).alias("priority"), "o_orderstatus"
+    )
+    ref = TableRef(_database(spark, "register"), "orders")
+    columns = "o_orderkey BIGINT, priority STRING, o_orderstatus STRING"
+    keys = ["o_orderstatus", "priority"]
+    for status in ("O", "F"):
+        landed = orders.filter(F.col("o_orderstatus") == status)
+        write_jsonl(landed, folder, keys, ROWS_PER_FILE)
+        create_external_json_table(spark, ref, columns, folder, keys, repair=False)
+        register_partitions(spark, ref, landed, keys)
+    return scan_external_table(spark, ref, {"o_orderstatus": ["O", "F"]}, is_partitioned=False)
+
+
 # --- landing -----------------------------------------------------------------------------
 
 
@@ -789,6 +806,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_scan_filtered": table_scan_filtered,
     "external_table_scan": external_table_scan,
     "partition_repair": partition_repair,
+    "partition_register": partition_register,
     "unnest_responses": unnest,
     "unreadable_responses": unreadable,
     "response_numbers": response_numbers,

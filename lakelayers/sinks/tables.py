@@ -89,10 +89,12 @@ def create_external_json_table(
     location: str,
     partition_by: Sequence[str] = (),
     replace: bool = False,
+    repair: bool = True,
 ) -> None:
     """A table over the JSON Lines at ``location``; ``replace`` drops only the definition.
 
-    ``columns`` includes the partition columns. Malformed lines read as rows of nulls.
+    ``columns`` includes the partition columns. Malformed lines read as rows of nulls. ``repair``
+    makes the catalog list the partitions already there.
     """
     if replace:
         spark.sql(f"DROP TABLE IF EXISTS {ref.sql}")
@@ -100,7 +102,7 @@ def create_external_json_table(
         f"CREATE TABLE IF NOT EXISTS {ref.sql} ({columns}) USING json "
         f"OPTIONS (mode 'PERMISSIVE'){_partition_clause(partition_by)} LOCATION {_text(location)}"
     )
-    if partition_by:
+    if partition_by and repair:
         repair_partitions(spark, ref)
 
 

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakelayers.functions.predicates import predicate
-from lakelayers.names import TableRef
+from lakelayers.names import TableRef, quote
+
+PARTITIONS_PER_STATEMENT = 500
 
 
 def repair_partitions(spark: SparkSession, ref: TableRef) -> None:
@@ -16,6 +19,27 @@ def repair_partitions(spark: SparkSession, ref: TableRef) -> None:
     spark.sql(f"MSCK REPAIR TABLE {ref.sql}")
 
 
+def register_partitions(spark: SparkSession, ref: TableRef, landed: DataFrame, columns: Sequence[str]) -> int:
+    """Make the catalog list the partitions of the rows just landed; returns their number.
+
+    Where :func:`repair_partitions` lists every folder of the table, this adds the values that
+    occur in ``landed`` and nothing else, so a scan needs no repair. Only the distinct values come
+    to the driver, as many as there are new folders. Null values are left to a repair.
+    """
+    values = landed.select(*[F.col(name).cast("string") for name in columns]).dropna().distinct().collect()
+    for at in range(0, len(values), PARTITIONS_PER_STATEMENT):
+        specs = " ".join(
+            "PARTITION (" + ", ".join(f"{quote(name)} = {_text(row[name])}" for name in columns) + ")"
+            for row in values[at : at + PARTITIONS_PER_STATEMENT]
+        )
+        spark.sql(f"ALTER TABLE {ref.sql} ADD IF NOT EXISTS {specs}")
+    return len(values)
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def scan_table(
     spark: SparkSession, ref: TableRef, filters: Mapping[str, Any] | None = None
 ) -> DataFrame:
@@ -30,7 +54,11 @@ def scan_external_table(
     filters: Mapping[str, Any] | None = None,
     is_partitioned: bool = True,
 ) -> DataFrame:
-    """Like :func:`scan_table`, after a partition repair where the table has partitions."""
+    """Like :func:`scan_table`, after a partition repair where the table has partitions.
+
+    The repair lists all folders of the table: pass ``is_partitioned=False`` where landed partitions
+    are registered by :func:`register_partitions`.
+    """
     if is_partitioned:
         repair_partitions(spark, ref)
     return scan_table(spark, ref, filters)
