@@ -337,7 +337,7 @@ def dedup_substrings(
     keyed = docs.withColumn("text_key", F.hash("text"))
     named = keyed.select("doc_id", "text_key", "text").filter("doc_id is not null")
     found = named.mapInArrow(candidate_windows(width, log2_cells, ranges, shared), _BUNDLE)
-    dealt = found.repartition(ranges, "range").sortWithinPartitions("range")
+    dealt = found.repartitionById(ranges, "range").sortWithinPartitions("range")
     goes = dealt.mapInArrow(repeated_places, _PLACES)
     places = goes.groupBy("doc_id", "text_key").agg(F.collect_list("places").alias("places"))
     # A text is shuffled once: as a column or within its row.
