@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 from lakelayers.names import SESSION_CATALOG
 from lakelayers.operators.landing import LandingRun
 from lakelayers.plans.chain import Entity, run_chain, run_layer, run_raw
+from lakelayers.scratch import scratch_space
 
 
 def parse_arguments(arguments: list[str] | None = None) -> argparse.Namespace:
@@ -46,12 +47,13 @@ def main(arguments: list[str] | None = None) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     run = LandingRun(spec.source, spec.entity, started=spec.run_ts, batch_size=batch_size)
     bodies = spark.read.option("wholetext", "true").text(folder).toDF("body") if folder else None
-    if layer == "chain":
-        runs = run_chain(spark, spec, bodies=bodies, run=run)
-    elif layer == "raw":
-        runs = [run_raw(spark, spec, bodies, run)]
-    else:
-        runs = [run_layer(spark, spec, layer)]
+    with scratch_space(spark):
+        if layer == "chain":
+            runs = run_chain(spark, spec, bodies=bodies, run=run)
+        elif layer == "raw":
+            runs = [run_raw(spark, spec, bodies, run)]
+        else:
+            runs = [run_layer(spark, spec, layer)]
     for run in runs:
         print(json.dumps({"layer": run.layer, **run.metrics}))
 

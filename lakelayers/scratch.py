@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
@@ -32,10 +34,28 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     """A new, unused folder, below the one folder this application uses.
 
     Results may read it until the application ends; after that the application's folder as a
-    whole can go.
+    whole can go, see :func:`clear_scratch`.
     """
-    application = spark.conf.get("spark.app.id", "application")
-    return f"{scratch_root(spark)}/lakelayers-{application}/{label}-{uuid.uuid4().hex}"
+    return f"{_application_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _application_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/lakelayers-{spark.conf.get('spark.app.id', 'application')}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete everything this application has staged. Frames that still read it become unusable."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scratch_space(spark: SparkSession) -> Iterator[None]:
+    """Clears what was staged once the block is left: write results inside it."""
+    try:
+        yield
+    finally:
+        clear_scratch(spark)
 
 
 def stage(

@@ -9,7 +9,7 @@ from lakelayers.operators.audit import METRIC_COLUMNS, classify_messages, lineag
 from lakelayers.operators.manifests import manifest_diff
 from lakelayers.operators.merge import survivorship_merge
 from lakelayers.operators.quality import parse_columns, split_rejects
-from lakelayers.scratch import scratch_folder, scratch_root
+from lakelayers.scratch import scratch_folder, scratch_root, scratch_space, stage
 from lakelayers.sinks.tables import create_managed_table
 from lakelayers.sources.files import file_manifest, list_files, read_csv_drop
 from lakelayers.sources.jsonl import is_corrupt
@@ -220,6 +220,14 @@ class FakeSession:
         return self.settings.get(name, default)
 
 
+def test_scratch_can_be_cleared(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr("lakelayers.scratch.scratch_root", lambda spark: str(tmp_path / "root"))
+    with scratch_space(spark):
+        assert stage(spark.range(3), "some").count() == 3
+        assert any((tmp_path / "root").rglob("*.parquet"))
+    assert not any((tmp_path / "root").rglob("*.parquet"))
+
+
 def test_cluster_needs_a_checkpoint_folder():
     with pytest.raises(RuntimeError):
         scratch_root(FakeSession(**{"spark.master": "spark://host:7077"}))
