@@ -10,9 +10,8 @@ and opens a bin otherwise.
 A hot source or cluster spreads over all groups; within one it costs one bit test for each bin.
 Only ids, sources, cluster hashes and lengths are shuffled.
 
-Defined cases: a document without words takes no room but a place in a bin of its own kind like any
-other. Nulls of source are a source, of cluster no cluster. Repeated rows are separate documents of
-one cluster.
+Defined cases: a document without words has a place in a bin but takes no room. Nulls of source are a
+source, of cluster no cluster. Repeated rows are separate documents of one cluster.
 """
 
 from __future__ import annotations
