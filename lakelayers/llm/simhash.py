@@ -5,7 +5,9 @@ less differ in at most one bit of some block. The anchors of a block are the wor
 Hamming code on 15 of its bits, all values on the other 6 or 7. Its covering radius is 1, so each
 fingerprint has a home anchor within 1 and is copied to every anchor within 1 + 1. If two
 fingerprints differ by one bit in the block, the home anchor of either also holds the other.
-Copies: about 14 a block, each with one of 2**17 (2**18) anchors.
+Copies: about 14 a block, each with one of 2**17 (2**18) anchors. ``WIDE_BLOCKS``, two blocks of 32
+bits that may differ in two, are for more than some 10**9 distinct fingerprints: about 300 copies a
+block, but 2**28 anchors. The result is the same.
 
 Distinct fingerprints alone are compared, at each anchor the ones at home with all. An anchor hands
 on a star for each of its local components, never its pairs. An anchor of more than ``CHUNK``
@@ -19,7 +21,9 @@ id; a component of null ids only has none.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
+from operator import xor
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +40,10 @@ SHINGLE = 4
 SEED = 42
 DISTANCE = 4
 BLOCKS = ((0, 21), (21, 21), (42, 22))
+WIDE_BLOCKS = ((0, 32), (32, 32))
 CODE_BITS = 15
 CHUNK = 16_384
+ANCHORED_ROWS = 2_000
 SMALL_GROUP = 256
 
 
@@ -98,27 +104,30 @@ def _syndromes() -> np.ndarray:
     return out
 
 
-def _flips(syndrome: int, rest: int) -> list[int]:
-    """What to flip in a block to reach each anchor within 2; the first gives the home anchor."""
-    extra = [0, *(1 << CODE_BITS + i for i in range(rest))]
-    if not syndrome:
-        return extra + [a | b for a, b in combinations(extra[1:], 2)]
-    home = 1 << syndrome - 1
-    pairs = [(i, i ^ syndrome) for i in range(1, CODE_BITS + 1) if i < i ^ syndrome]
-    return [home | x for x in extra] + [1 << i - 1 | 1 << j - 1 for i, j in pairs]
+def _flips(syndrome: int, rest: int, reach: int) -> list[int]:
+    """What to flip in a block to reach each anchor within ``reach``; the first gives the home
+    anchor. Flips in the code part must make up its syndrome."""
 
+    def sets(first: int, count: int, most: int):
+        for size in range(most + 1):
+            yield from combinations(range(first, first + count), size)
 
-def anchors_of(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    in_code = [c for c in sets(1, CODE_BITS, reach) if reduce(xor, c, 0) == syndrome]
+    found = [(c, r) for c in in_code for r in sets(CODE_BITS + 1, rest, reach - len(c))]
+    return [sum(1 << bit - 1 for bit in (*c, *r)) for c, r in sorted(found, key=lambda x: len(x[0]) + len(x[1]))]
+
+
+def anchors_of(fp: np.ndarray, blocks: tuple[tuple[int, int], ...] = BLOCKS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For uint64 fingerprints: anchor, number of the fingerprint, and whether it is at home."""
-    syndromes = _syndromes()
+    syndromes, reach = _syndromes(), 1 + DISTANCE // len(blocks)
     keys, owners, homes = [], [], []
-    for number, (shift, size) in enumerate(BLOCKS):
+    for number, (shift, size) in enumerate(blocks):
         block = (fp >> np.uint64(shift)).astype(np.int64) & ((1 << size) - 1)
         syndrome = syndromes[block & ((1 << CODE_BITS) - 1)]
         for s in np.unique(syndrome):
             rows = np.flatnonzero(syndrome == s)
-            flips = np.array(_flips(int(s), size - CODE_BITS), np.int64)
-            keys.append((block[rows][:, None] ^ flips | number << 22).ravel())
+            flips = np.array(_flips(int(s), size - CODE_BITS, reach), np.int64)
+            keys.append((block[rows][:, None] ^ flips | number << 32).ravel())
             owners.append(np.repeat(rows, len(flips)))
             homes.append(np.tile(np.arange(len(flips)) == 0, len(rows)))
     if not keys:
@@ -126,11 +135,16 @@ def anchors_of(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(keys), np.concatenate(owners), np.concatenate(homes)
 
 
-def _to_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        fp = batch.column("fp").to_numpy()
-        anchor, owner, home = anchors_of(fp.view(np.uint64))
-        yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(fp[owner]), pa.array(home)], ["anchor", "fp", "home"])
+def _to_anchors(blocks: tuple[tuple[int, int], ...]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, ANCHORED_ROWS):
+                fp = batch.column("fp").slice(at, ANCHORED_ROWS).to_numpy()
+                anchor, owner, home = anchors_of(fp.view(np.uint64), blocks)
+                columns = [pa.array(anchor), pa.array(fp[owner]), pa.array(home)]
+                yield pa.RecordBatch.from_arrays(columns, ["anchor", "fp", "home"])
+
+    return run
 
 
 def local_roots(fp: np.ndarray, home: np.ndarray, group: np.ndarray) -> np.ndarray:
@@ -200,11 +214,11 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield close(pa.Table.from_batches(held))
 
 
-def links(fps: DataFrame, chunk: int = CHUNK) -> DataFrame:
+def links(fps: DataFrame, chunk: int = CHUNK, blocks: tuple[tuple[int, int], ...] = BLOCKS) -> DataFrame:
     """a, b: links that connect all distinct fingerprints at distance 4 or less, with no claim to
     hold every pair."""
     ship(fps.sparkSession)
-    rows = fps.select("fp").mapInArrow(_to_anchors, "anchor long, fp long, home boolean")
+    rows = fps.select("fp").mapInArrow(_to_anchors(blocks), "anchor long, fp long, home boolean")
     hot = stage(rows.groupBy("anchor").count().filter(F.col("count") > chunk), "hot-anchors")
     if hot.isEmpty():
         tasks = rows.selectExpr("*", "0 i", "0 j")
@@ -218,12 +232,18 @@ def links(fps: DataFrame, chunk: int = CHUNK) -> DataFrame:
     return dealt.mapInArrow(_links, "a long, b long")
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
+def near_duplicates(
+    df: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    chunk: int = CHUNK,
+    blocks: tuple[tuple[int, int], ...] = BLOCKS,
+) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id for every row: the smallest id that links
     of at most 4 differing bits reach."""
     docs = stage(fingerprints(df, id_col, text_col), "fingerprints")
     fps = stage(docs.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "distinct-fingerprints")
-    roots = stage(component_roots(links(fps, chunk)), "roots")
+    roots = stage(component_roots(links(fps, chunk, blocks)), "roots")
     owned = fps.join(roots, fps["fp"] == roots["node"], "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
     least = owned.groupBy("root").agg(F.min("least_id").alias("component_id"))
     classes = owned.select("fp", "root").join(least, "root").select(F.col("fp").alias("own_fp"), "component_id")

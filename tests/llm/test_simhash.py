@@ -5,7 +5,7 @@ import numpy as np
 import xxhash
 
 from lakelayers.llm.components import component_roots
-from lakelayers.llm.simhash import BLOCKS, anchors_of, links, near_duplicates, one_of_each
+from lakelayers.llm.simhash import BLOCKS, WIDE_BLOCKS, anchors_of, links, near_duplicates, one_of_each
 
 
 def fingerprint(text):
@@ -27,15 +27,16 @@ def classes(fps):
 
 def test_anchors_cover_every_pair_at_distance_four():
     rng = np.random.default_rng(1)
-    for _ in range(300):
+    for _ in range(100):
         a = rng.integers(0, 2**63, dtype=np.uint64)
         b = a
         for bit in rng.choice(64, 4, replace=False):
             b ^= np.uint64(1) << np.uint64(bit)
-        key, owner, home = anchors_of(np.array([a, b]))
-        of = [set(key[owner == i]) for i in (0, 1)]
-        assert set(key[(owner == 0) & home]) & of[1] or set(key[(owner == 1) & home]) & of[0]
-        assert home.sum() == 2 * len(BLOCKS)
+        for blocks in (BLOCKS, WIDE_BLOCKS):
+            key, owner, home = anchors_of(np.array([a, b]), blocks)
+            of = [set(key[owner == i]) for i in (0, 1)]
+            assert set(key[(owner == 0) & home]) & of[1] or set(key[(owner == 1) & home]) & of[0]
+            assert home.sum() == 2 * len(blocks) and len(key) == sum(map(len, of))
 
 
 def test_links_connect_what_brute_force_connects(spark):
@@ -51,8 +52,8 @@ def test_links_connect_what_brute_force_connects(spark):
     signed = [int(np.uint64(x).astype(np.int64)) for x in fps]
     frame = spark.createDataFrame([(x,) for x in signed], "fp long")
     want = classes(fps)
-    for chunk in (16_384, 10):
-        roots = {r.node: r.root for r in component_roots(links(frame, chunk)).collect()}
+    for chunk, blocks in ((16_384, BLOCKS), (10, BLOCKS), (16_384, WIDE_BLOCKS)):
+        roots = {r.node: r.root for r in component_roots(links(frame, chunk, blocks)).collect()}
         got = [roots.get(x, x) for x in signed]
         assert [got.index(g) for g in got] == [want.index(w) for w in want]
 
