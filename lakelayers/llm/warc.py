@@ -2,7 +2,8 @@
 
 Writing: captures of equal payloads of at least ``MIN_REVISIT`` bytes have one response record, that
 of the smallest page_id; the others are revisit records without payload. Each task writes archives
-of its own, through Spark's text writer with the blank lines between records as line separator.
+of its own, through Spark's text writer with the blank lines between records as line separator,
+compressed as a whole: offsets in the index are those of the uncompressed archive.
 
 Index: every archive read back gives a run of captures sorted by URL key, timestamp and id, written
 as a table. Ranges of URL keys are then merged, each by a loser tree over the pieces of all runs that
@@ -16,6 +17,7 @@ the smallest page_id are all responses if it is repeated.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 from collections.abc import Iterator
 from typing import Any
@@ -34,6 +36,7 @@ FIRST_DAY = "2024-01-01"
 
 _VERSION = b"WARC/1.1"
 _END = b"\r\n\r\n"
+_GZIP = b"\x1f\x8b"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _FIELDS = [
     ("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()),
@@ -75,9 +78,11 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", pay
     )
 
 
-def write_archives(pages: DataFrame, folder: str, rows_per_file: int = ROWS_PER_FILE, **columns: str) -> None:
+def write_archives(
+    pages: DataFrame, folder: str, rows_per_file: int = ROWS_PER_FILE, compression: str = "gzip", **columns: str
+) -> None:
     writer = records(pages, **columns).write.option("lineSep", _END.decode()).option("maxRecordsPerFile", rows_per_file)
-    writer.text(folder)
+    writer.option("compression", compression).text(folder)
 
 
 def url_key(url: str | None) -> str:
@@ -94,7 +99,9 @@ def url_key(url: str | None) -> str:
 
 
 def parse_archive(content: bytes, archive: str) -> Iterator[dict[str, Any]]:
-    """The captures of an archive. Raises ValueError for a damaged record."""
+    """The captures of an archive, compressed or not. Raises ValueError for a damaged record."""
+    if content.startswith(_GZIP):
+        content = gzip.decompress(content)
     at = 0
     while at < len(content):
         split = content.find(_END, at)

@@ -1,3 +1,4 @@
+import gzip
 import hashlib
 import random
 
@@ -60,7 +61,8 @@ def test_empty_table(spark):
 def test_archives_are_bounded_and_damage_is_noticed(spark, tmp_path):
     write_archives(pages(spark, [(i, "http://a", f"page {i} " * 20) for i in range(30)]), str(tmp_path / "w"), rows_per_file=7)
     files = sorted((tmp_path / "w").glob("part-*"))
-    content = [f.read_bytes() for f in files]
+    content = [gzip.decompress(f.read_bytes()) for f in files]
+    assert [len(list(parse_archive(f.read_bytes(), "f"))) for f in files] == [len(list(parse_archive(c, "f"))) for c in content]
     assert sum(len(list(parse_archive(c, "f"))) for c in content) == 30
     assert max(len(list(parse_archive(c, "f"))) for c in content) <= 7
     for broken in (content[0].replace(b"page", b"pagE", 1), content[0][:-3], b"junk" + content[0]):
