@@ -239,15 +239,14 @@ def land_responses(
     """The raw layer run: unnest bodies, fill in defaults, wrap and land the records.
 
     With ``order_by`` the records of bodies that sort equally stay in their order of arrival;
-    ``unique`` says that these columns identify a record, not only a body. A column ``ordinal``
-    must number records likewise.
+    ``unique`` says that these columns identify a body: bodies are then sorted before they are
+    parsed, in as many tasks as there are ranges. A column ``ordinal`` must number records.
 
     Bodies and records are counted while they are landed. Bodies that can give no records are
     appended as JSON Lines, with all columns of ``df``, to the folder ``rejects``, by default the
     landing folder's name with ``_unreadable`` behind it; only if there are any are the bodies
     read once more for it.
     """
-    parsed = df.withColumn(RECORDS, response_records(body))
     found = F.size(F.coalesce(F.col(RECORDS), F.array().cast("array<string>")))
     totals = (
         F.count(F.lit(1)).alias("bodies"),
@@ -259,10 +258,15 @@ def land_responses(
     def records_of(frame: DataFrame) -> DataFrame:
         return frame.select(*rest, F.explode(RECORDS).alias("record"))
 
+    parsed = df.withColumn(RECORDS, response_records(body))
     if skip_empty and records_of(parsed).isEmpty():
         counts = parsed.agg(*totals).first().asDict()
     else:
         seen = Observation()
+        if order_by and unique and not ordinal:
+            ranges = [partitions] if partitions else []
+            placed = df.repartitionByRange(*ranges, *order_by).sortWithinPartitions(*order_by)
+            parsed, order_by = placed.withColumn(RECORDS, response_records(body)), None
         records = enrich_records(records_of(parsed.observe(seen, *totals)), run)
         land_records(
             records, path, run, "record", partition_by, order_by, unique, request, ordinal, False, partitions

@@ -180,10 +180,11 @@ def test_landing_keeps_microseconds_and_long_decimals(spark, tmp_path):
     assert [r.record for r in found] == ['{"n":12345678901234567890.123456789}', body]
 
 
-def test_records_of_a_body_stay_in_order(spark, tmp_path):
+@pytest.mark.parametrize("unique", [False, True])
+def test_records_of_a_body_stay_in_order(spark, tmp_path, unique):
     bodies = [(k, json.dumps([{"id": k * 10 + i, "note": None} for i in range(3)])) for k in (3, 1, 2)]
     frame = spark.createDataFrame(bodies, "page int, body string")
-    land_responses(frame, str(tmp_path / "raw"), RUN, order_by=["page"])
+    land_responses(frame, str(tmp_path / "raw"), RUN, order_by=["page"], unique=unique, partitions=2)
     schema = f"payload struct<id: int, source: string>, metadata {METADATA_SCHEMA}"
     rows = scan_jsonl(spark, str(tmp_path / "raw"), schema).orderBy("metadata.record_id").collect()
     assert [row["payload"]["id"] for row in rows] == [10, 11, 12, 20, 21, 22, 30, 31, 32]
