@@ -14,7 +14,10 @@ _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Adds the package to the application's Python files, once, as ``--py-files`` would do."""
+    """Adds the package to the application's Python files, once, as ``--py-files`` would do.
+
+    The driver serves the archive to the executors; nothing else reads its temporary folder.
+    """
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
