@@ -183,3 +183,80 @@ def test_language_model_edge_cases(documents):
     got = brown.score(documents(rows).selectExpr("*", "1 word", "2 n", "3 score"), head_words=2, clustered=1).collect()
     assert sorted((r.n_tokens, r.n_known, round(r.base_score, 9)) for r in got) == sorted((a, b, round(c, 9)) for a, b, c in want)
     assert brown.score(documents([])).count() == 0
+
+
+def test_gains_are_differences_of_the_likelihood():
+    rng = np.random.default_rng(5)
+    classes, size = 4, 4 + brown.SHAPES
+    text, owner = rng.integers(0, 30, 600), rng.integers(0, size, 30)
+    words = np.zeros((30, 30))
+    np.add.at(words, (text, np.roll(text, -1)), 1)  # the text is a ring: as many words begin a pair as end one
+
+    def likelihood(of):
+        member = np.eye(size)[of]
+        joint = member.T @ words @ member
+        return brown._entropy(joint).sum() - 2 * brown._entropy(joint.sum(0)).sum()
+
+    member = np.eye(size)[owner]
+    own = np.diag(words)
+    before, after = words.T @ member, words @ member
+    before[np.arange(30), owner] -= own
+    after[np.arange(30), owner] -= own
+    gain = brown.gains(member.T @ words @ member, owner, before, after, own, classes)
+    for w in range(30):
+        moved = [likelihood(np.where(np.arange(30) == w, c, owner)) for c in range(classes)]
+        assert np.allclose(gain[w] - gain[w, 0], np.array(moved) - moved[0])
+
+
+def test_every_training_word_has_a_class_and_scores_equal_brute_force(spark, documents):
+    rng = random.Random(4)
+    names, verbs = [f"n{i}" for i in range(60)], [f"v{i}." for i in range(60)]
+    rows = [(i, " ".join(w for _ in range(8) for w in ("the", rng.choice(names), "will", rng.choice(verbs)))) for i in range(80)]
+    rows += [(80, "once twice"), (81, "n1 n2 n2 v3. v4. zz"), (82, ""), (83, None), (84, "n5 n6"), (84, "n5 n6")]
+    rows += [(i, "new n7 n8 words, n9") for i in range(85, 120)]
+    train = [r for r in rows if rest(r[0], 7) != 2]
+    ship(spark)
+    frame = documents(train).select("text")
+    summed = frame.mapInArrow(brown._counted, brown._COUNTS).groupBy("word")
+    counts = stage(summed.agg(F.min("shape").alias("shape"), F.sum("n").alias("n")), "counts")
+    seed = brown.fit(frame, counts, clustered=40, classes=6, head_words=60)
+    classed = brown.classify(frame, counts, seed, 6)
+    found = {r["word"]: r for r in classed.collect()}
+    every = {r.word: r for r in counts.collect()}
+    clustered = {int(w): int(seed.unit_class[u]) for w, u in zip(seed.head.words.view(np.int64), seed.head.units) if u >= 0}
+    assert set(found) | set(clustered) == set(every) and not set(found) & set(clustered)
+    assert all((r["n"], r["shape"]) == (every[w].n, every[w]["shape"]) and 0 <= r["class"] < 6 for w, r in found.items())
+
+    def hashed(text):
+        hashes, kinds, _ = brown.tokens(documents([(0, text)]).select("text").toArrow().to_batches()[0])
+        return list(zip(hashes.view(np.int64).tolist(), kinds.tolist()))
+
+    size, end = 6 + brown.SHAPES, int(np.array([brown.END]).view(np.int64)[0])
+    kind = {w: r["class"] for w, r in found.items()} | clustered
+    of = [{kind[w] for w, _ in hashed(" ".join(group))[:-1] if w in found} for group in (names[10:], verbs)]
+    assert of[0] and of[1] and not of[0] & of[1]  # words with other neighbours are in other classes
+    again = {w: 6 + r["shape"] for w, r in found.items() if r["n"] == 1 and w != end}
+    pair = np.zeros((size, size))
+    for _, text in train:
+        line = [end, *[w for w, _ in hashed(text)]]
+        for a, b in zip(line, line[1:]):
+            for x in {kind[a], again.get(a, kind[a])}:
+                for y in {kind[b], again.get(b, kind[b])}:
+                    pair[x, y] += 1
+    prior = (pair.sum(0) + 1) / (pair.sum() + size)
+    transition = (pair + brown.STRENGTH * prior) / (pair.sum(1, keepdims=True) + brown.STRENGTH)
+    often = Counter()
+    for w, r in every.items():
+        often[kind[w]] += r.n
+        often[6 + r["shape"]] += 1
+    want = []
+    for d, text in rows:
+        total, last = 0.0, kind[end]
+        for w, shape in hashed(text):
+            now = kind.get(w, 6 + shape)
+            total += math.log10(transition[last, now]) + (math.log10(every[w].n / often[now]) if w in every else -math.log10(often[now] + 1))
+            last = now
+        want.append((d, round(total, 6)))
+    for head_words in (60, 1000):
+        got = brown.score(documents(rows), head_words=head_words, clustered=40, classes=6).collect()
+        assert sorted((r.doc_id, round(r.score, 6)) for r in got) == sorted(want)
