@@ -13,7 +13,7 @@ SF_DIR = "/root/testdata/sf0.001"
 def test_registered():
     assert set(QUERIES) | {"pipeline"} <= set(queries())
     assert set(ORACLES) <= set(oracle_sql())
-    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 11))
+    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
