@@ -19,7 +19,7 @@ def component_roots(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     seen = None
     while True:
         now = stage(_small_star(_large_star(now)), "components")
-        mark = now.agg(F.count("*"), F.bit_xor(F.xxhash64("v", "m")), F.sum(F.crc32(F.concat_ws(",", "v", "m").cast("binary")))).first()
+        mark = now.agg(F.count("*"), F.bit_xor(F.xxhash64("v", "m")), F.sum(F.crc32(F.concat_ws(",", "v", "m").cast("binary")).cast("decimal(38,0)"))).first()
         if mark == seen:
             break
         seen = mark

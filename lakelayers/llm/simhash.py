@@ -86,14 +86,14 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 spaced[stop - 1] = 32
             hashes, counts = shingle_hashes((spaced.tobytes(), stop - lengths - 1, stop - 1), words.first, SHINGLE)
             fp = majority_bits(hashes, counts).view(np.int64)
-            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(fp)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("text_key"), pa.array(fp)], ["doc_id", "text_key", "fp"])
 
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp for every row."""
+    """doc_id, text_key (a 64-bit hash of the text), fp for every row."""
     ship(df.sparkSession)
-    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return docs.mapInArrow(_fingerprints, "doc_id long, fp long")
+    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
+    return docs.mapInArrow(_fingerprints, "doc_id long, text_key long, fp long")
 
 
 def _syndromes() -> np.ndarray:
@@ -232,6 +232,15 @@ def links(fps: DataFrame, chunk: int = CHUNK, blocks: tuple[tuple[int, int], ...
     return dealt.mapInArrow(_links, "a long, b long")
 
 
+def _components(docs: DataFrame, chunk: int, blocks: tuple[tuple[int, int], ...]) -> DataFrame:
+    """fp, root, and ``least``: the smallest id of the fingerprint, with the least text key it has; ids
+    that are null are no ids."""
+    named = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_key"))
+    fps = stage(docs.groupBy("fp").agg(F.min(named).alias("least")), "distinct-fingerprints")
+    roots = stage(component_roots(links(fps, chunk, blocks)), "roots")
+    return fps.join(roots, fps["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(
     df: DataFrame,
     id_col: str = "doc_id",
@@ -242,20 +251,26 @@ def near_duplicates(
     """doc_id, fingerprint (16 hex digits), component_id for every row: the smallest id that links
     of at most 4 differing bits reach."""
     docs = stage(fingerprints(df, id_col, text_col), "fingerprints")
-    fps = stage(docs.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "distinct-fingerprints")
-    roots = stage(component_roots(links(fps, chunk, blocks)), "roots")
-    owned = fps.join(roots, fps["fp"] == roots["node"], "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
-    least = owned.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    owned = _components(docs, chunk, blocks)
+    least = owned.groupBy("root").agg(F.min("least.doc_id").alias("component_id"))
     classes = owned.select("fp", "root").join(least, "root").select(F.col("fp").alias("own_fp"), "component_id")
     joined = docs.join(classes, docs["fp"] == classes["own_fp"])
     return joined.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """The document of smallest id of each component, in the columns of ``docs``.
+def one_of_each(docs: DataFrame, chunk: int = CHUNK, blocks: tuple[tuple[int, int], ...] = BLOCKS) -> DataFrame:
+    """One row of each component, in the columns of ``docs``, whatever the order of the rows.
 
-    Rows of equal id count as one document. Documents without an id stay.
+    It is the row of the smallest id. Where rows of that id differ, the fingerprint, a hash of the text
+    and one of the row decide in turn; a row of equal id in another component stays for that one.
+    Documents without an id stay.
     """
-    kept = near_duplicates(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
-    named = docs.join(kept, docs["doc_id"] == kept["_kept_id"]).dropDuplicates(["doc_id"]).select(*[docs[c] for c in docs.columns])
-    return named.unionByName(docs.filter("doc_id is null"))
+    owned = _components(stage(fingerprints(docs), "fingerprints"), chunk, blocks)
+    first = F.min(F.when(F.col("least").isNotNull(), F.struct("least.doc_id", "fp", "least.text_key"))).alias("first")
+    kept = owned.groupBy("root").agg(first).filter("first is not null")
+    kept = kept.selectExpr("first.doc_id _kept_id", "first.text_key _kept_key").distinct()
+    same = (docs["doc_id"] == kept["_kept_id"]) & (F.xxhash64(docs["text"]) == kept["_kept_key"])
+    rows = docs.join(kept, same).select(*[docs[c] for c in docs.columns])
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    named = rows.groupBy("doc_id", "text").agg(F.min_by(whole, F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])).alias("_row"))
+    return named.select("_row.*").unionByName(docs.filter("doc_id is null"))

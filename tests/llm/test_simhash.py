@@ -82,3 +82,43 @@ def test_empty_table_and_null_ids(documents):
     assert near_duplicates(documents([])).count() == 0
     only = near_duplicates(documents([(None, "a"), (None, "a")])).collect()
     assert [r.component_id for r in only] == [None, None]
+
+
+def test_one_of_each_does_not_depend_on_order(spark):
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=40)) for _ in range(4)]
+    a, b, c, d = texts
+    rows = [(1, a, "x"), (5, a, "y"), (5, b, "z"), (5, b, "y"), (6, b, "z"), (7, c, "p"), (7, d, "q"), (7, c, "r"), (8, None, "n"), (9, "", "n"), (None, a, "u"), (None, None, "v")]
+    seen = set()
+    for _ in range(6):
+        rng.shuffle(rows)
+        frame = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+        seen.add(tuple(sorted(map(tuple, one_of_each(frame).collect()), key=repr)))
+    (kept,) = seen
+    assert {(r[0], r[1]) for r in kept} == {(1, a), (5, b), (7, c), (7, d), (8, None), (None, a), (None, None)}
+    assert len(kept) == 7
+
+
+def test_one_of_each_keeps_one_row_of_each_component(spark):
+    """Repeated ids, copies and near copies against components found pair by pair."""
+    rng = random.Random(12)
+    base = ["".join(rng.choices("abcdefgh ", k=120)) for _ in range(12)]
+    rows = []
+    for i in range(90):
+        text = list(rng.choice(base))
+        for _ in range(rng.randint(0, 2)):
+            text[rng.randrange(len(text))] = rng.choice("xyz")
+        rows.append((rng.randint(0, 40), "".join(text)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    marked = {}
+    for text in {t for _, t in rows}:
+        marked[text] = None
+    ordered = sorted(marked)
+    for row in near_duplicates(spark.createDataFrame(list(enumerate(ordered)), "doc_id long, text string")).collect():
+        marked[ordered[row.doc_id]] = row.component_id
+    least = {}
+    for i, text in rows:
+        least[marked[text]] = min(i, least.get(marked[text], i))
+    kept = one_of_each(frame).collect()
+    assert sorted((marked[r.text], r.doc_id) for r in kept) == sorted(least.items())
+    assert {tuple(r) for r in kept} <= set(rows)
