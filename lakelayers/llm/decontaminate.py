@@ -301,7 +301,11 @@ def contaminations(
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Documents that hold no item, in the columns of ``docs``. Documents without an id stay: nothing
-    could name them."""
-    bad = contaminations(docs, items).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"] == bad["_bad"], "left_anti")
+    """Documents that hold no item, in the columns of ``docs``.
+
+    Rows are judged one by one, by a 64-bit hash of id and text: of rows of equal or null id only those
+    that hold an item go.
+    """
+    key = F.xxhash64("doc_id", "text")
+    bad = contaminations(docs.select(key.alias("key"), "text"), items, "key").select(F.col("doc_id").alias("_bad")).distinct()
+    return docs.join(bad, F.xxhash64(docs["doc_id"], docs["text"]) == bad["_bad"], "left_anti")

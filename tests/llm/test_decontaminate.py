@@ -89,3 +89,12 @@ def test_edge_cases(spark, documents):
     assert contaminations(docs, items(spark, [])).count() == 0
     assert contaminations(documents([]), bench).count() == 0
     assert clean(docs, items(spark, [])).count() == 3
+
+
+def test_clean_judges_every_row(spark, documents):
+    rng = random.Random(17)
+    item = sentence(rng, 40)
+    dirty, fine = f"{sentence(rng, 9)} {item} {sentence(rng, 9)}", sentence(rng, 60, "uvwxyz")
+    rows = [(None, dirty), (None, fine), (None, None), (3, fine), (3, dirty), (4, dirty), (5, ""), (6, fine)]
+    kept = clean(documents(rows), items(spark, [(1, item), (None, None)]))
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted([r for r in rows if r[1] != dirty], key=repr)
