@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from lakelayers.functions.json_text import EXACT_TIMES, fill_absent_keys, response_records
 from lakelayers.names import quote
 from lakelayers.operators.ordinals import with_ordinal
+from lakelayers.scratch import stage
 from lakelayers.sinks.jsonl import LINE_COLUMN, ROWS_PER_FILE, write_jsonl, write_lines
 
 # The request facts of the metadata struct with type and default.
@@ -218,6 +219,17 @@ def land_records(
     if skip_empty and df.isEmpty():
         return False
     numbered = with_batch_ids(df, run, order_by, unique, ordinal, partitions)
+    return _land_numbered(numbered, path, run, payload, partition_by, request)
+
+
+def _land_numbered(
+    numbered: DataFrame,
+    path: str,
+    run: LandingRun,
+    payload: str | Sequence[str],
+    partition_by: Sequence[str],
+    request: Mapping[str, object] | None,
+) -> bool:
     lines = landing_lines(envelope(numbered, run, payload, partition_by, request), partition_by)
     return write_lines(lines, path, partition_by, run.rows_per_file, skip_empty=False)
 
@@ -242,10 +254,11 @@ def land_responses(
     ``unique`` says that these columns identify a body: bodies are then sorted before they are
     parsed, in as many tasks as there are ranges. A column ``ordinal`` must number records.
 
-    Bodies and records are counted while they are landed. Bodies that can give no records are
-    appended as JSON Lines, with all columns of ``df``, to the folder ``rejects``, by default the
-    landing folder's name with ``_unreadable`` behind it; only if there are any are the bodies
-    read once more for it.
+    Bodies that can give no records are appended as JSON Lines, with all columns of ``df``, to the
+    folder ``rejects``, by default the landing folder's name with ``_unreadable`` behind it; only if
+    there are any are the bodies read once more for it. Landed records and kept bodies are counted in
+    the tables they are landed from, which tasks that ran twice do not change. All bodies are counted
+    while they are read: such tasks may count some twice.
     """
     found = F.size(F.coalesce(F.col(RECORDS), F.array().cast("array<string>")))
     totals = (
@@ -268,12 +281,16 @@ def land_responses(
             placed = df.repartitionByRange(*ranges, *order_by).sortWithinPartitions(*order_by)
             parsed, order_by = placed.withColumn(RECORDS, response_records(body)), None
         records = enrich_records(records_of(parsed.observe(seen, *totals)), run)
-        land_records(
-            records, path, run, "record", partition_by, order_by, unique, request, ordinal, False, partitions
-        )
-        counts = seen.get
+        if ordinal:
+            land_records(records, path, run, "record", partition_by, None, unique, request, ordinal, False)
+            counts = dict(seen.get)
+        else:
+            numbered = with_batch_ids(records, run, order_by, unique, None, partitions)
+            _land_numbered(numbered, path, run, "record", partition_by, request)
+            counts = dict(seen.get, records=numbered.count())  # reads one column of the staged rows
     if counts["unreadable"]:
         folder = rejects or f"{path.rstrip('/')}_unreadable/"
-        unreadable = unreadable_responses(df, body)
-        write_jsonl(unreadable, folder, rows_per_file=run.rows_per_file, skip_empty=False)
+        kept = stage(unreadable_responses(df, body), "unreadable")
+        write_jsonl(kept, folder, rows_per_file=run.rows_per_file, skip_empty=False)
+        counts["unreadable"] = kept.count()
     return LandingCounts(counts["bodies"], counts["unreadable"], counts["records"])

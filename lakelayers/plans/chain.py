@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from lakelayers.names import SESSION_CATALOG, TableRef, layer_database, layer_table, raw_folder
 from lakelayers.operators.landing import LandingRun, land_responses
 from lakelayers.operators.layers import count_records, normalize, standardize
+from lakelayers.sinks.loads import has_loads, land_load, scan_loads
 from lakelayers.sinks.tables import (
     LOAD_COLUMN,
     create_databases_for,
@@ -29,7 +30,9 @@ class Entity:
     """One source entity and where its layers live; every source runs through the same code.
 
     With a ``load_id`` every layer table has a partition for each load. A run writes its own only,
-    replacing it if the load is repeated, and reads only its own from the layer below.
+    replacing it if the load is repeated, and reads only its own from the layer below. Bodies are then
+    landed as that load, see :mod:`lakelayers.sinks.loads`. A raw folder that holds loads is read load
+    by load, any other as a whole.
     """
 
     source: str
@@ -68,7 +71,7 @@ class Entity:
 
 @dataclass(frozen=True)
 class LayerRun:
-    """Row counts of one layer run, taken while the rows were written."""
+    """Row counts of one layer run: of a load from its tables, else taken while the rows were written."""
 
     layer: str
     target: TableRef
@@ -88,6 +91,8 @@ class LayerRun:
 def extract(spark: SparkSession, spec: Entity, layer: str) -> DataFrame:
     if layer == "bronze":
         schema = f"payload {spec.payload_schema}" if spec.payload_schema else None
+        if has_loads(spark, spec.raw_path):
+            return scan_loads(spark, spec.raw_path, schema, [spec.load_id] if spec.load_id else None, keep_corrupt=True)
         return scan_jsonl(spark, spec.raw_path, schema, keep_corrupt=True)
     below = scan_table(
         spark, spec.table("bronze" if layer == "silver" else "silver"),
@@ -142,9 +147,30 @@ def run_layer(
         counts, rows_out = read.get, written.get["rows"]
     if counts["malformed"] and spec.quarantine:
         save_malformed(spark, spec, extracted)
+    if spec.load_id and custom_transform is None:
+        return committed_counts(spark, spec, layer, counts["malformed"])
     return LayerRun(layer, target, counts["rows"], rows_out, counts["malformed"])
 
 
+def committed_counts(spark: SparkSession, spec: Entity, layer: str, observed_malformed: int) -> LayerRun:
+    """The counts of a load's run, from the rows that are in its tables.
+
+    Parquet and ORC tables know them from their footers. Tasks that ran twice do not change them, as
+    they may change what is counted while rows are written. Only malformed lines left in bronze are
+    taken as observed.
+    """
+    def rows(ref: TableRef) -> int:
+        return scan_table(spark, ref, {LOAD_COLUMN: spec.load_id}).count()
+
+    out = rows(spec.table(layer))
+    if layer != "bronze":
+        return LayerRun(layer, spec.table(layer), rows(spec.table("bronze" if layer == "silver" else "silver")), out)
+    if not spec.quarantine:
+        return LayerRun(layer, spec.table(layer), out, out, observed_malformed)
+    malformed = rows(spec.malformed_table) if observed_malformed else 0
+    return LayerRun(layer, spec.table(layer), out + malformed, out, malformed)
+
+
 def save_malformed(spark: SparkSession, spec: Entity, lines: DataFrame) -> None:
     """Append the malformed ones of the scanned lines, or replace those of the same load."""
     rejected, columns = malformed_lines(lines, spec.run_ts), MALFORMED_COLUMNS
@@ -162,11 +188,15 @@ def run_raw(
 ) -> LayerRun:
     """Land the records of response bodies (column ``body``) in the raw folder of the entity.
 
-    ``landing`` goes to :func:`lakelayers.operators.landing.land_responses`. Landing always adds
-    files: repeat a chain without ``bodies`` if its landing was complete.
+    ``landing`` goes to :func:`lakelayers.operators.landing.land_responses`. With a ``load_id`` a repeated
+    landing replaces the one before and a broken one leaves nothing that is read; without it landing
+    always adds files: repeat a chain without ``bodies`` if its landing was complete.
     """
     run = run or LandingRun(spec.source, spec.entity)
-    counts = land_responses(bodies, spec.raw_path, run, **landing)
+    if spec.load_id:
+        counts = land_load(bodies, spec.raw_path, run, spec.load_id, **landing)
+    else:
+        counts = land_responses(bodies, spec.raw_path, run, **landing)
     return LayerRun("raw", spec.table("raw"), counts.bodies, counts.records, counts.unreadable)
 
 

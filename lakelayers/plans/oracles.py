@@ -16,6 +16,7 @@ INFERRED_JSON = (
     f"to_json({{'event_type': event_type, 'id': event_id, 'props': props, 'ts': {EVENT_TIME}, "
     "'user_id': user_id, 'value': value})"
 )
+AUDIT = ", '2024-05-06 07:08:09' AS processed_at"
 LINE_JSON = (
     "to_json({'l_orderkey': l_orderkey, 'l_partkey': l_partkey, 'l_suppkey': l_suppkey, "
     "'l_linenumber': l_linenumber, 'l_quantity': l_quantity, 'l_extendedprice': l_extendedprice, "
@@ -183,7 +184,7 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
        'raw_orders' AS ingestion_job, CAST(0 AS INTEGER) AS response_status_code
 FROM numbered""",
     "land_jsonl_partitioned": "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders",
-    "bronze_normalize": _layered(EVENT_JSON),
+    "bronze_normalize": _layered(EVENT_JSON, AUDIT),
     "bronze_inferred": _layered(INFERRED_JSON),
     "bronze_text_payload": _layered(EVENT_JSON),
     "silver_standardize": """
@@ -205,14 +206,14 @@ SELECT CASE WHEN event_id % 100 > 1 THEN CAST(event_id AS VARCHAR) END AS record
             WHEN 1 THEN '{"payload":{"id":"' || event_id || '","user_id":"none"}}' END AS line,
        CASE event_id % 100 WHEN 0 THEN false WHEN 1 THEN true END AS partly_read
 FROM events""",
-    "bronze_layer": _layered(LANDED_JSON),
+    "bronze_layer": _layered(LANDED_JSON, AUDIT),
     "silver_layer": _layered(
         LANDED_JSON,
-        f""",
+        f"""{AUDIT}, '2024-05-06 07:08:09' AS standardized_at,
        CAST(length(CAST({LANDED_JSON} AS VARCHAR)) AS INTEGER) AS payload_size,
        sha256(CAST({LANDED_JSON} AS VARCHAR)) AS payload_hash""",
     ),
-    "gold_layer": "SELECT count(event_id) AS records_total, 'events' AS entity_type FROM events",
+    "gold_layer": "SELECT count(event_id) AS records_total, 'events' AS entity_type, '2024-05-06 07:08:09' AS computed_at FROM events",
     "full_chain": f"""
 WITH {BODIES}
 SELECT count(json_extract(record, '$.id')) AS records_total, 'events' AS entity_type
@@ -224,6 +225,31 @@ FROM records WHERE json_type(record) = 'OBJECT'""",
        sha256(CAST({LANDED_JSON} AS VARCHAR)) AS payload_hash, '2024-05-06' AS load_id,
        (SELECT count(*) FROM events) AS records_total""",
     ),
+    "landing_rerun": f"""
+WITH {BODIES},
+kept AS (SELECT event_id, json_extract_string(record, '$.id') AS record_id FROM records WHERE json_type(record) = 'OBJECT'),
+totals AS (SELECT event_id % 2 AS odd, count(*) AS records FROM kept GROUP BY event_id % 2),
+lost AS (SELECT event_id % 2 AS side, count(*) FILTER (event_id % 8 IN (3, 4, 5)) AS unreadable FROM events GROUP BY event_id % 2)
+SELECT CASE odd WHEN 1 THEN 'a/b c' ELSE '2024-05-06' END AS load_id, record_id, records, unreadable
+FROM kept JOIN totals ON event_id % 2 = odd JOIN lost ON side = odd""",
+    "load_metrics": """
+WITH bronze AS (SELECT event_id % 100 = 0 AS bad, event_id % 7 > 0 AS named FROM events),
+counts AS (
+  SELECT count(*) AS lines, count(*) FILTER (bad) AS bad, count(*) FILTER (NOT bad) AS good,
+         count(*) FILTER (NOT bad AND named) AS named
+  FROM bronze
+)
+SELECT '2024-05-06' AS run_id, step, metric, CAST(value AS BIGINT) AS value FROM (
+  SELECT 'bronze' AS step, 'rows_in' AS metric, lines AS value FROM counts
+  UNION ALL SELECT 'bronze', 'rows_out', good FROM counts
+  UNION ALL SELECT 'bronze', 'rows_malformed', bad FROM counts
+  UNION ALL SELECT 'silver', 'rows_in', good FROM counts
+  UNION ALL SELECT 'silver', 'rows_out', named FROM counts
+  UNION ALL SELECT 'silver', 'rows_malformed', 0 FROM counts
+  UNION ALL SELECT 'gold', 'rows_in', named FROM counts
+  UNION ALL SELECT 'gold', 'rows_out', 1 FROM counts
+  UNION ALL SELECT 'gold', 'rows_malformed', 0 FROM counts
+)""",
     "lineitem_silver": f"""
 WITH bronze AS (
   SELECT CAST(l_orderkey AS VARCHAR) AS record_id, CAST({LINE_JSON} AS VARCHAR) AS payload_json

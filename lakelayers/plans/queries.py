@@ -42,6 +42,7 @@ from lakelayers.operators.quality import parse_columns, split_rejects, validate
 from lakelayers.plans.chain import Entity, run_chain, run_layer
 from lakelayers.scratch import scratch_folder, stage
 from lakelayers.sinks.jsonl import write_jsonl, write_lines
+from lakelayers.sinks.loads import committed_loads, new_attempt
 from lakelayers.sinks.tables import (
     create_database,
     create_external_json_table,
@@ -55,6 +56,7 @@ from lakelayers.sources.tables import register_partitions, scan_external_table,
 from lakelayers.streaming.bronze import run_bronze_incremental
 
 RUN_TIME = datetime(2024, 5, 6, 7, 8, 9)
+RUN_TEXT = "2024-05-06 07:08:09"
 EVENT_PAYLOAD = (
     "struct<id: string, user_id: bigint, event_type: string, value: double, props: string, ts: string>"
 )
@@ -110,10 +112,16 @@ def _event_entity(spark: SparkSession, label: str, raw_root: str, schema: str |
     }
     return Entity(
         "shop", "events", raw_root, payload_schema=schema, databases=databases,
-        database_root=folder, run_ts=RUN_TIME,
+        database_root=folder, run_ts=RUN_TEXT,
     )
 
 
+def _audited(df: DataFrame) -> DataFrame:
+    """The audit timestamps of a layer as text."""
+    times = [name for name, kind in df.dtypes if kind == "timestamp"]
+    return df.withColumns({name: F.date_format(name, "yyyy-MM-dd HH:mm:ss") for name in times})
+
+
 def _chain(spark: SparkSession, sf_dir: str, until: str) -> DataFrame:
     raw_root = scratch_folder(spark, "raw")
     _land_events(spark, sf_dir, raw_root)
@@ -401,7 +409,7 @@ def land_jsonl_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normalize(_event_payloads(spark, sf_dir)).drop("processed_at")
+    return _audited(normalize(_event_payloads(spark, sf_dir), run_ts=RUN_TEXT))
 
 
 def bronze_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -455,15 +463,15 @@ def bronze_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _chain(spark, sf_dir, "bronze").drop("processed_at")
+    return _audited(_chain(spark, sf_dir, "bronze"))
 
 
 def silver_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _chain(spark, sf_dir, "silver").drop("processed_at", "standardized_at")
+    return _audited(_chain(spark, sf_dir, "silver"))
 
 
 def gold_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _chain(spark, sf_dir, "gold").drop("computed_at")
+    return _audited(_chain(spark, sf_dir, "gold"))
 
 
 def full_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -486,6 +494,41 @@ def chain_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.join(gold, F.col("load_id") == F.col("gold_load")).drop("gold_load")
 
 
+def landing_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze of a load that broke off once and was then landed twice, next to another load."""
+    spec = replace(_event_entity(spark, "landing_rerun", scratch_folder(spark, "raw"), "string"), load_id="2024-05-06")
+    run = LandingRun("shop", "events", "raw_events", RUN_TIME, ROWS_PER_FILE)
+    bodies = _bodies(_read(spark, sf_dir, "events"))
+    odd = F.col("event_id") % 2 == 1
+    # Files without a record: what an attempt leaves that broke off on the way.
+    land_responses(bodies.filter(odd), f"{spec.raw_path}{new_attempt(spec.load_id)}/", run)
+    for _ in range(2):
+        run_chain(spark, spec, "bronze", bodies.filter(~odd), run)
+    other = replace(spec, load_id="a/b c")
+    run_chain(spark, other, "bronze", bodies.filter(odd), run)
+    records = committed_loads(spark, spec.raw_path).select(F.col("load_id").alias("load"), "records", "unreadable")
+    bronze = scan_table(spark, spec.table("bronze"))
+    return bronze.join(records, F.col("load") == F.col("load_id")).select("load_id", "record_id", "records", "unreadable")
+
+
+def load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of a load's runs, taken from its tables, after it ran twice."""
+    raw_root = scratch_folder(spark, "raw")
+    events = _read(spark, sf_dir, "events")
+    key = F.col("event_id").cast("string")
+    payload = F.to_json(F.struct(F.struct(F.when(F.col("event_id") % 7 > 0, key).alias("id"), "user_id").alias("payload")))
+    line = F.when(F.col("event_id") % 100 == 0, F.concat(F.lit("{"), key)).otherwise(payload)
+    write_lines(events.select(line.alias("line")), f"{raw_root}/shop/events/", rows_per_file=ROWS_PER_FILE)
+    schema = "struct<id: string, user_id: bigint>"
+    spec = replace(_event_entity(spark, "load_metrics", raw_root, schema), load_id="2024-05-06")
+    metrics = TableRef(_database(spark, "load_metrics"), "run_metrics")
+    create_managed_table(spark, metrics, METRIC_COLUMNS)
+    run_chain(spark, spec)
+    for run in run_chain(spark, spec):
+        record_metrics(spark, metrics, spec.load_id, run.layer, run.metrics, RUN_TIME)
+    return scan_table(spark, metrics).drop("run_ts")
+
+
 def lineitem_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All columns of the lines packed, standardized and written in one observed pass."""
     lines = _read(spark, sf_dir, "lineitem")
@@ -830,6 +873,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_layer": gold_layer,
     "full_chain": full_chain,
     "chain_rerun": chain_rerun,
+    "landing_rerun": landing_rerun,
+    "load_metrics": load_metrics,
     "lineitem_silver": lineitem_silver,
     "bronze_incremental": bronze_incremental,
     "append_by_name": append_by_name,

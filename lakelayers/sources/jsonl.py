@@ -19,12 +19,12 @@ def as_schema(schema: str | T.StructType) -> T.StructType:
 
 def scan_jsonl(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     schema: str | T.StructType | None = None,
     malformed: str = "PERMISSIVE",
     keep_corrupt: bool = False,
 ) -> DataFrame:
-    """All JSON lines below ``path``.
+    """All JSON lines below ``path``, a folder or a list of them.
 
     With a schema only the named fields are parsed and no inference pass runs. A malformed line
     becomes a row of nulls (``PERMISSIVE``), is dropped (``DROPMALFORMED``) or fails the query
