@@ -52,6 +52,17 @@ records AS (
 """
 
 
+DOCUMENT_FILES = """
+WITH lines AS (
+  SELECT doc_id, source, doc_id // 5000 AS block,
+         CAST(to_json({'doc_id': doc_id, 'text': text, 'source': source}) AS VARCHAR) || chr(10) AS line
+  FROM documents
+)
+SELECT source, block, CAST(sum(strlen(line)) AS BIGINT) AS size,
+       sha256(string_agg(line, '' ORDER BY doc_id)) AS sha256
+FROM lines GROUP BY source, block"""
+
+
 def _layered(expression: str, columns: str = "") -> str:
     return f"""
 SELECT CAST(event_id AS VARCHAR) AS record_id, CAST({expression} AS VARCHAR) AS payload_json{columns}
@@ -95,8 +106,14 @@ SELECT event_id, user_id, value, event_type FROM events WHERE event_type IN ('cl
 SELECT o_orderstatus, count(*) FILTER (o_orderstatus = 'O') AS rows_before, count(*) AS rows_after
 FROM orders GROUP BY o_orderstatus""",
     "partition_register": """
-SELECT o_orderkey, o_orderpriority || '''' || 's' AS priority, o_orderstatus FROM orders
-WHERE o_orderstatus IN ('O', 'F')""",
+WITH landed AS (
+  SELECT o_orderkey, o_orderpriority || '''' || 's 5%/é=' AS priority,
+         CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS o_orderstatus
+  FROM orders
+)
+SELECT *, (SELECT count(DISTINCT priority) FROM landed WHERE o_orderstatus = 'O') AS added_0,
+       (SELECT count(DISTINCT (coalesce(o_orderstatus, ''), priority)) FROM landed WHERE coalesce(o_orderstatus, '') <> 'O') AS added_1
+FROM landed""",
     "unnest_responses": f"""
 WITH {BODIES}
 SELECT event_id, CAST(record AS VARCHAR) AS record FROM records WHERE json_type(record) = 'OBJECT'""",
@@ -271,21 +288,29 @@ SELECT s_suppkey, s_name, s_acctbal, NULL FROM supplier""",
 SELECT o_orderkey, o_totalprice,
        CAST(CASE WHEN o_orderstatus = 'F' THEN 2 ELSE 1 END AS INTEGER) AS version, o_orderstatus
 FROM orders""",
+    "merge_upsert": """
+WITH target AS (SELECT * FROM orders WHERE o_orderkey % 4 <> 3),
+changes AS (
+  SELECT CASE WHEN o_orderkey % 35 <> 0 THEN o_orderkey END AS o_orderkey, o_totalprice * 2 AS o_totalprice,
+         CASE WHEN o_orderkey % 3 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus
+  FROM orders WHERE o_orderkey % 5 = 0
+)
+SELECT t.o_orderkey, coalesce(c.o_totalprice, t.o_totalprice) AS o_totalprice, 1 AS version,
+       coalesce(c.o_orderstatus, t.o_orderstatus) AS o_orderstatus
+FROM target t LEFT JOIN changes c ON t.o_orderkey = c.o_orderkey
+WHERE c.o_orderkey IS NULL OR c.o_orderkey % 10 <> 0
+UNION ALL
+SELECT o_orderkey, o_totalprice, NULL, o_orderstatus FROM changes
+WHERE o_orderkey IS NULL OR (o_orderkey % 10 <> 0 AND o_orderkey % 4 = 3)""",
     "skip_empty_write": """
 SELECT o_orderkey, o_totalprice, CAST(1 AS INTEGER) AS version, o_orderstatus, false AS written
 FROM orders""",
     "create_external_json": "SELECT event_id, value, event_type FROM events",
     "create_managed": "SELECT p_partkey, p_name, p_size, p_brand FROM part",
     "content_sha256": "SELECT doc_id, sha256(text) AS sha256 FROM documents",
-    "file_manifest": """
-WITH lines AS (
-  SELECT doc_id, source,
-         CAST(to_json({'doc_id': doc_id, 'text': text, 'source': source}) AS VARCHAR) || chr(10) AS line
-  FROM documents
-)
-SELECT source, CAST(sum(strlen(line)) AS BIGINT) AS size,
-       sha256(string_agg(line, '' ORDER BY doc_id)) AS sha256
-FROM lines GROUP BY source""",
+    "file_manifest": DOCUMENT_FILES,
+    "file_digest_stream": DOCUMENT_FILES,
+    "list_files": f"SELECT source, block, size FROM ({DOCUMENT_FILES})",
     "manifest_diff": """
 WITH previous AS (
   SELECT 'pages/' || page_id || '.html' AS path, sha256(html) AS h FROM pages

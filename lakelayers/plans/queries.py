@@ -50,7 +50,8 @@ from lakelayers.sinks.tables import (
     create_managed_table,
     write_table,
 )
-from lakelayers.sources.files import file_manifest, read_csv_drop
+from lakelayers.sinks.upsert import merge_into
+from lakelayers.sources.files import file_manifest, list_files, read_csv_drop
 from lakelayers.sources.jsonl import CORRUPT_COLUMN, is_corrupt, scan_jsonl
 from lakelayers.sources.tables import register_partitions, scan_external_table, scan_table
 from lakelayers.streaming.bronze import run_bronze_incremental
@@ -62,6 +63,7 @@ EVENT_PAYLOAD = (
 )
 EXACT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 ROWS_PER_FILE = 100_000
+FILE_IDS = 5_000
 
 # Words that split the conversations; the error keywords do not occur in them.
 TEXT_KEYWORDS = (("first", ("ment",)), ("second", ("ent", "tion")), ("third", ("the", "der")))
@@ -227,20 +229,22 @@ def partition_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def partition_register(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed partitions of a table are registered by value; its scan needs no repair."""
+    """Landed partitions of a table are found and registered after each landing; scans repair nothing."""
     folder = scratch_folder(spark, "register")
     orders = _read(spark, sf_dir, "orders").select(
-        "o_orderkey", F.concat(F.col("o_orderpriority"), F.lit("'s")).alias("priority"), "o_orderstatus"
+        "o_orderkey", F.concat(F.col("o_orderpriority"), F.lit("'s 5%/é=")).alias("priority"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("o_orderstatus"),
     )
     ref = TableRef(_database(spark, "register"), "orders")
     columns = "o_orderkey BIGINT, priority STRING, o_orderstatus STRING"
     keys = ["o_orderstatus", "priority"]
-    for status in ("O", "F"):
-        landed = orders.filter(F.col("o_orderstatus") == status)
-        write_jsonl(landed, folder, keys, ROWS_PER_FILE)
+    added = []
+    for part in (F.col("o_orderstatus") == "O", ~F.col("o_orderstatus").eqNullSafe("O")):
+        write_jsonl(orders.filter(part), folder, keys, ROWS_PER_FILE)
         create_external_json_table(spark, ref, columns, folder, keys, repair=False)
-        register_partitions(spark, ref, landed, keys)
-    return scan_external_table(spark, ref, {"o_orderstatus": ["O", "F"]}, is_partitioned=False)
+        added.append(register_partitions(spark, ref))
+    landed = scan_external_table(spark, ref, is_partitioned=False)
+    return landed.withColumns({f"added_{i}": F.lit(n).cast("long") for i, n in enumerate(added)})
 
 
 # --- landing -----------------------------------------------------------------------------
@@ -611,6 +615,24 @@ def overwrite_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_table(spark, ref)
 
 
+def merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders merged into a table of orders: some changed, some moved to another status, some deleted,
+    some new, and some of no key at all."""
+    orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    ref = TableRef(_database(spark, "merge"), "orders")
+    create_managed_table(
+        spark, ref, "o_orderkey BIGINT, o_totalprice DOUBLE, version INT, o_orderstatus STRING", ["o_orderstatus"]
+    )
+    key = F.col("o_orderkey")
+    write_table(orders.filter(key % 4 != 3).withColumn("version", F.lit(1)), ref, rebalance_by=["o_orderstatus"])
+    changes = orders.filter(key % 5 == 0).select(
+        F.when(key % 35 != 0, key).alias("o_orderkey"), (F.col("o_totalprice") * 2).alias("o_totalprice"),
+        F.when(key % 3 == 0, F.lit("X")).otherwise(F.col("o_orderstatus")).alias("o_orderstatus"),
+    )
+    merge_into(spark, ref, changes, ["o_orderkey"], delete=key % 10 == 0)
+    return scan_table(spark, ref)
+
+
 def skip_empty_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, ref = _orders_table(spark, sf_dir, "skip_empty")
     written = write_table(orders.filter(F.col("o_orderkey") < 0), ref, "overwrite")
@@ -650,16 +672,40 @@ def content_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.select("doc_id", content_sha256("text").alias("sha256"))
 
 
-def file_manifest_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Size and digest of the files of all documents, one file for each source."""
-    folder = scratch_folder(spark, "manifest")
+def _document_files(spark: SparkSession, sf_dir: str, label: str) -> str:
+    """The documents in order as text files, one for every ``FILE_IDS`` ids of a source."""
+    folder = scratch_folder(spark, label)
     documents = _read(spark, sf_dir, "documents")
     line = F.to_json(F.struct("doc_id", "text", "source"))
-    lines = documents.select("doc_id", line.alias("line"), "source").repartition("source")
-    lines = lines.sortWithinPartitions("source", "doc_id").select("line", "source")
-    lines.write.partitionBy("source").text(folder)
-    manifest = file_manifest(spark, folder, "*.txt")
-    return manifest.select(F.regexp_extract("path", "source=([^/]*)/", 1).alias("source"), "size", "sha256")
+    lines = documents.select("doc_id", line.alias("line"), "source", F.expr(f"doc_id div {FILE_IDS}").alias("block"))
+    lines = lines.repartition("source", "block").sortWithinPartitions("source", "block", "doc_id")
+    lines.select("line", "source", "block").write.partitionBy("source", "block").text(folder)
+    return folder
+
+
+def _of_document_files(files: DataFrame) -> DataFrame:
+    return files.withColumns({
+        "source": F.regexp_extract("path", "source=([^/]*)/", 1),
+        "block": F.regexp_extract("path", "block=([^/]*)/", 1).cast("bigint"),
+    }).drop("path", "name", "mtime")
+
+
+def file_manifest_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size and digest of the files of all documents."""
+    return _of_document_files(file_manifest(spark, _document_files(spark, sf_dir, "manifest"), "*.txt"))
+
+
+def file_digest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same where the larger files are streamed."""
+    folder = _document_files(spark, sf_dir, "digests")
+    return _of_document_files(file_manifest(spark, folder, "*.txt", whole_bytes=64 << 10))
+
+
+def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes of the files of all documents, without reading them; others are not listed."""
+    folder = _document_files(spark, sf_dir, "listing")
+    _read(spark, sf_dir, "nation").write.mode("append").parquet(folder)
+    return _of_document_files(list_files(spark, folder, "*.txt"))
 
 
 def manifest_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -879,11 +925,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_incremental": bronze_incremental,
     "append_by_name": append_by_name,
     "overwrite_partitions": overwrite_partitions,
+    "merge_upsert": merge_upsert,
     "skip_empty_write": skip_empty_write,
     "create_external_json": create_external_json,
     "create_managed": create_managed,
     "content_sha256": content_fingerprint,
     "file_manifest": file_manifest_totals,
+    "file_digest_stream": file_digest_stream,
+    "list_files": listing,
     "manifest_diff": manifest_changes,
     "mask_full": mask_full_columns,
     "mask_partial": mask_partial_columns,

@@ -9,10 +9,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakelayers.sources.digests import with_digest
 from lakelayers.sources.jsonl import CORRUPT_COLUMN, as_schema
 
 logger = logging.getLogger(__name__)
 
+# Files that one task may hold whole.
+WHOLE_BYTES = 256 << 20
+
 CSV_GLOB = "*.[cC][sS][vV]"
 
 
@@ -38,14 +42,21 @@ def list_files(spark: SparkSession, folder: str, pattern: str | None = None) ->
     return _described(_binary_scan(spark, folder, pattern))
 
 
-def file_manifest(spark: SparkSession, folder: str, pattern: str | None = None) -> DataFrame:
+def file_manifest(
+    spark: SparkSession, folder: str, pattern: str | None = None, whole_bytes: int = WHOLE_BYTES
+) -> DataFrame:
     """``path, name, size, mtime, sha256`` of every file below a folder.
 
-    All files are read by the scan itself, with the session's own file systems and keys, one in
-    memory at a time in each task; a file of over 2 GB, the limit of a binary value, fails the
-    query. Files whose name starts with ``_`` or ``.`` are not listed, as in every Spark scan.
+    Files of up to ``whole_bytes`` are read by the scan itself, with the session's own file systems and
+    keys, one in memory at a time in each task. Larger ones, if there are any, are streamed block by
+    block, see :mod:`lakelayers.sources.digests`. Empty files, and files whose name starts with ``_``
+    or ``.``, are not listed, as in every Spark scan.
     """
-    return _described(_binary_scan(spark, folder, pattern), F.sha2("content", 256).alias("sha256"))
+    scan = _binary_scan(spark, folder, pattern)
+    small = F.col("length") <= whole_bytes  # pushed down: no content of other files is read
+    whole = _described(scan.filter(small), F.sha2("content", 256).alias("sha256"))
+    large = _described(scan.filter(~small))
+    return whole if large.isEmpty() else whole.unionByName(with_digest(large))
 
 
 def read_csv_drop(
