@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -20,13 +20,14 @@ def normalize(
     payload: str = "payload",
     run_ts: datetime | str | None = None,
     json_options: Mapping[str, str] | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Bronze: ``record_id``, ``payload_json`` and ``processed_at`` from a payload.
 
     The payload is a struct, whose null fields are left out of the text, or was read without
     schema as JSON text or variant, which are kept whole. A payload without the id field has a
     null ``record_id``. ``json_options`` go to the JSON writer; timestamps keep their microseconds
-    unless they say otherwise.
+    unless they say otherwise. The columns in ``keep`` come after the three.
     """
     options = {**EXACT_TIMES, **(json_options or {})}
     kind = df.schema[payload].dataType
@@ -44,6 +45,7 @@ def normalize(
         record_id.alias("record_id"),
         text.alias("payload_json"),
         run_time(run_ts).alias("processed_at"),
+        *keep,
     )
 
 

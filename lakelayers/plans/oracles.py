@@ -63,6 +63,25 @@ SELECT source, block, CAST(sum(strlen(line)) AS BIGINT) AS size,
 FROM lines GROUP BY source, block"""
 
 
+LINE_BAGS = [
+    "SELECT CASE WHEN l_linenumber <> 3 THEN l_returnflag END AS flag, l_linenumber AS number, l_partkey % 10 AS part FROM lineitem",
+    "SELECT CASE WHEN l_linenumber <> 3 THEN l_returnflag END AS flag, l_linenumber AS number, l_suppkey % 10 AS part "
+    "FROM lineitem WHERE l_orderkey % 3 <> 0",
+]
+
+
+def _sessions(key: str, minutes: int) -> str:
+    """Gaps and islands."""
+    return f"""
+WITH gaps AS (
+  SELECT {key}, ts, ts - lag(ts) OVER w > INTERVAL {minutes} MINUTE AS begins FROM events WINDOW w AS (PARTITION BY {key} ORDER BY ts)
+),
+islands AS (SELECT {key}, ts, count(*) FILTER (begins) OVER (PARTITION BY {key} ORDER BY ts) AS island FROM gaps)
+SELECT {key}, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS session_start, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS session_end,
+       count(*) AS events
+FROM islands GROUP BY {key}, island"""
+
+
 def _layered(expression: str, columns: str = "") -> str:
     return f"""
 SELECT CAST(event_id AS VARCHAR) AS record_id, CAST({expression} AS VARCHAR) AS payload_json{columns}
@@ -499,4 +518,72 @@ WITH counts AS (
 SELECT 'run-1' AS run_id, 'silver' AS step, 'rows_in' AS metric, rows_in AS value FROM counts
 UNION ALL SELECT 'run-1', 'silver', 'rows_out', rows_out FROM counts
 UNION ALL SELECT 'run-1', 'silver', 'rows_rejected', rows_in - rows_out FROM counts""",
+    "stream_silver": """
+WITH bounds AS (SELECT epoch_us(min(ts)) AS a, (epoch_us(max(ts)) - epoch_us(min(ts))) // 3 AS third FROM events),
+owned AS (SELECT e.*, least((epoch_us(ts) - a) // third, 2) AS own FROM events e, bounds),
+placed AS (SELECT *, own + CASE WHEN event_id % 50 = 1 AND own < 2 THEN 1 ELSE 0 END AS arrives FROM owned),
+batches AS (
+  SELECT event_id, event_type, ts, arrives AS batch FROM placed
+  UNION ALL SELECT event_id, event_type, ts, least(arrives + 1, 2) FROM placed WHERE event_id % 10 = 0
+),
+marks AS (
+  SELECT b.batch, (SELECT epoch_ms(max(ts)) - 3600000 FROM batches x WHERE x.batch < b.batch) AS mark
+  FROM (SELECT DISTINCT batch FROM batches) b
+),
+judged AS (
+  SELECT b.*, mark IS NOT NULL AND epoch_us(ts) <= mark * 1000 AS is_late
+  FROM batches b JOIN marks ON b.batch = marks.batch
+),
+kept AS (
+  SELECT DISTINCT event_id, event_type, ts, 'silver' AS part FROM judged WHERE NOT is_late
+  UNION ALL SELECT event_id, event_type, ts, 'late' FROM judged WHERE is_late
+),
+shown AS (
+  SELECT part, CAST(event_id AS VARCHAR) AS record_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS event_time,
+         CAST(to_json({'id': CAST(event_id AS VARCHAR), 'event_type': event_type,
+                       'at': strftime(ts, '%Y-%m-%d %H:%M:%S.%f')}) AS VARCHAR) AS payload_json
+  FROM kept
+)
+SELECT *, CAST(length(payload_json) AS INTEGER) AS payload_size, sha256(payload_json) AS payload_hash FROM shown""",
+    "event_sessions": _sessions("user_id", 30),
+    "type_sessions": _sessions("event_type", 20),
+    "stream_sessions": _sessions("user_id", 30),
+    "gold_cube": """
+SELECT CAST(GROUPING(l_returnflag, l_linestatus, l_linenumber) AS INTEGER) AS "grouping", l_returnflag, l_linestatus,
+       l_linenumber, count(*) AS lines, CAST(sum(CAST(l_quantity AS DECIMAL(18, 2))) AS DOUBLE) AS quantity,
+       min(l_partkey) AS first_part, max(l_partkey) AS last_part
+FROM (SELECT * REPLACE (CASE WHEN l_orderkey % 5 <> 0 THEN l_linestatus END AS l_linestatus) FROM lineitem)
+GROUP BY CUBE (l_returnflag, l_linestatus, l_linenumber)""",
+    "gold_rollup": """
+SELECT CAST(GROUPING(o_orderstatus, o_orderpriority) AS INTEGER) AS "grouping", o_orderstatus, o_orderpriority,
+       count(*) AS orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS price
+FROM orders
+GROUP BY GROUPING SETS ((o_orderstatus, o_orderpriority), (o_orderstatus), (), (o_orderpriority))""",
+    "gold_sketches": """
+SELECT coalesce(l_linestatus, 'all') AS status, count(*) AS lines, true AS distinct_kept, true AS median_kept, true AS high_kept
+FROM lineitem GROUP BY ROLLUP (l_linestatus)""",
+    "top_k_groups": """
+SELECT * FROM (
+  SELECT l_returnflag, l_orderkey, l_linenumber, l_extendedprice,
+         CAST(row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS INTEGER) AS rank
+  FROM lineitem
+) WHERE rank <= 10""",
+    "top_k_overall": """
+SELECT o_orderkey, o_totalprice, CAST(row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS INTEGER) AS rank
+FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100""",
+    "asof_join": """
+WITH owned AS (
+  SELECT event_id, ts, event_type, value,
+         CASE WHEN event_id % 97 <> 0 THEN CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END END AS user_id
+  FROM events
+),
+clicks AS (
+  SELECT user_id, ts, max(event_id) AS click_id, arg_max(value, event_id) AS click_value
+  FROM owned WHERE event_type = 'click' GROUP BY user_id, ts
+)
+SELECT o.event_id, o.user_id, strftime(o.ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, click_id, click_value
+FROM (SELECT * FROM owned WHERE event_type IN ('purchase', 'signup')) o
+ASOF LEFT JOIN clicks c ON o.user_id = c.user_id AND o.ts >= c.ts""",
+    "except_all": f"SELECT * FROM ({LINE_BAGS[0]}) EXCEPT ALL SELECT * FROM ({LINE_BAGS[1]})",
+    "intersect_all": f"SELECT * FROM ({LINE_BAGS[0]}) INTERSECT ALL SELECT * FROM ({LINE_BAGS[1]})",
 }

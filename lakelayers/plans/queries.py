@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +23,8 @@ from lakelayers.functions.masking import (
     preview_by_key,
 )
 from lakelayers.names import TableRef
+from lakelayers.operators import cubes
+from lakelayers.operators.asof import asof_join
 from lakelayers.operators.audit import METRIC_COLUMNS, classify_messages, lineage_audit, record_metrics
 from lakelayers.operators.landing import (
     METADATA_SCHEMA,
@@ -37,8 +39,11 @@ from lakelayers.operators.landing import (
 from lakelayers.operators.layers import count_records, normalize, standardize
 from lakelayers.operators.manifests import manifest_diff
 from lakelayers.operators.merge import survivorship_merge
+from lakelayers.operators.multisets import multiset_difference, multiset_intersection
 from lakelayers.operators.ordinals import parquet_with_ordinal, with_ordinal
 from lakelayers.operators.quality import parse_columns, split_rejects, validate
+from lakelayers.operators.ranking import top_k
+from lakelayers.operators.sessions import sessions
 from lakelayers.plans.chain import Entity, run_chain, run_layer
 from lakelayers.scratch import scratch_folder, stage
 from lakelayers.sinks.jsonl import write_jsonl, write_lines
@@ -55,6 +60,7 @@ from lakelayers.sources.files import file_manifest, list_files, read_csv_drop
 from lakelayers.sources.jsonl import CORRUPT_COLUMN, is_corrupt, scan_jsonl
 from lakelayers.sources.tables import register_partitions, scan_external_table, scan_table
 from lakelayers.streaming.bronze import run_bronze_incremental
+from lakelayers.streaming.silver import run_silver_incremental
 
 RUN_TIME = datetime(2024, 5, 6, 7, 8, 9)
 RUN_TEXT = "2024-05-06 07:08:09"
@@ -887,6 +893,172 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_table(spark, metrics).drop("run_ts")
 
 
+# --- grouped, ranked and joined ----------------------------------------------------------
+
+
+def _timed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _shown_times(df: DataFrame) -> DataFrame:
+    times = [name for name, kind in df.dtypes if kind == "timestamp"]
+    return df.withColumns({name: F.date_format(name, EXACT) for name in times})
+
+
+def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that arrive in three batches, with replays and late rows: silver and the late table."""
+    folder = scratch_folder(spark, "stream_silver_raw")
+    events = _timed_events(spark, sf_dir)
+    bounds = events.agg(F.unix_micros(F.min("ts")).alias("first"), F.unix_micros(F.max("ts")).alias("last")).first()
+    third = (bounds["last"] - bounds["first"]) // 3
+    own = F.least(F.floor((F.unix_micros("ts") - bounds["first"]) / third), F.lit(2))
+    key = F.col("event_id")
+    arrives = own + F.when((key % 50 == 1) & (own < 2), 1).otherwise(0)  # a batch too late
+    again = F.when(key % 10 == 0, F.least(arrives + 1, F.lit(2)))  # once more in the next batch
+    database = _database(spark, "stream_silver")
+    silver, late = TableRef(database, "silver"), TableRef(database, "late")
+    checkpoint = scratch_folder(spark, "stream_silver_checkpoint")
+    payload = F.struct(key.cast("string").alias("id"), "event_type", F.date_format("ts", EXACT).alias("at"))
+    batch_of = events.select(payload.alias("payload"), F.explode(F.array_compact(F.array(arrives, again))).alias("batch"))
+    for number in range(3):
+        write_jsonl(batch_of.filter(F.col("batch") == number).select("payload"), folder, rows_per_file=ROWS_PER_FILE)
+        run_silver_incremental(
+            spark, folder, "payload struct<id: string, event_type: string, at: string>", silver, late, checkpoint, "at",
+            timedelta(hours=1), run_ts=RUN_TEXT,
+        )
+    both = scan_table(spark, silver).withColumn("part", F.lit("silver")).unionByName(scan_table(spark, late).withColumn("part", F.lit("late")))
+    return _shown_times(both.drop("load_id", "processed_at", "standardized_at"))
+
+
+GAP = timedelta(minutes=30)
+
+
+def event_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of each user."""
+    return _shown_times(sessions(_timed_events(spark, sf_dir), ["user_id"], "ts", GAP))
+
+
+def type_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of each type of event: few hot keys, whose sessions go on over spans."""
+    return _shown_times(sessions(_timed_events(spark, sf_dir), ["event_type"], "ts", timedelta(minutes=20), timedelta(hours=6)))
+
+
+def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same sessions of users from a stream over the events, closed by a last row long after them."""
+    folder, shown, checkpoint = (scratch_folder(spark, f"stream_sessions_{name}") for name in ("raw", "out", "state"))
+    events = _timed_events(spark, sf_dir).select("user_id", "ts")
+    last = events.agg((F.max("ts") + F.expr("interval 10 days")).alias("ts")).select(F.lit(-1).cast("long").alias("user_id"), "ts")
+    for rows in (events, last):
+        rows.write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(events.schema).parquet(folder).withWatermark("ts", "1 hour")
+        found = sessions(stream, ["user_id"], "ts", GAP)
+        writer = found.writeStream.option("checkpointLocation", checkpoint).option("path", shown).trigger(availableNow=True)
+        writer.format("parquet").outputMode("append").start().awaitTermination()
+    return _shown_times(spark.read.schema(found.schema).parquet(shown))
+
+
+CUBE_DIMENSIONS = {"l_returnflag": "STRING", "l_linestatus": "STRING", "l_linenumber": "INT"}
+
+
+def _cube_measures() -> list[cubes.Measure]:
+    return [
+        cubes.rows("lines"), cubes.total("quantity", "l_quantity", "DECIMAL(38,2)"),
+        cubes.least("first_part", "l_partkey", "BIGINT"), cubes.greatest("last_part", "l_partkey", "BIGINT"),
+    ]
+
+
+def gold_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A cube of lines written in three loads, of which one is repeated."""
+    ref = TableRef(_database(spark, "cube"), "lines")
+    lines = _read(spark, sf_dir, "lineitem").withColumn(
+        "l_linestatus", F.when(F.col("l_orderkey") % 5 != 0, F.col("l_linestatus"))
+    )
+    for load in (0, 1, 2, 1):
+        part = lines.filter(F.col("l_orderkey") % 3 == load)
+        cubes.write_cube(part, ref, f"load-{load}", CUBE_DIMENSIONS, _cube_measures())
+    return cubes.read_cube(spark, ref, list(CUBE_DIMENSIONS), _cube_measures()).withColumn("quantity", F.col("quantity").cast("double"))
+
+
+def gold_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Subtotals of orders by status and priority, and one more grouping, of one load."""
+    ref = TableRef(_database(spark, "rollup"), "orders")
+    dimensions = {"o_orderstatus": "STRING", "o_orderpriority": "STRING"}
+    measures = [cubes.rows("orders"), cubes.total("price", "o_totalprice", "DECIMAL(38,2)")]
+    sets = [*cubes.rollup_sets(list(dimensions)), ("o_orderpriority",)]
+    cubes.write_cube(_read(spark, sf_dir, "orders"), ref, "all", dimensions, measures, sets)
+    return cubes.read_cube(spark, ref, list(dimensions), measures).withColumn("price", F.col("price").cast("double"))
+
+
+def gold_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct orders and the median and 90 % quantile of prices by line status and in all, from sketches
+    of three loads: whether they keep their bounds, against the exact figures."""
+    ref = TableRef(_database(spark, "sketches"), "lines")
+    lines = _read(spark, sf_dir, "lineitem")
+    measures = [
+        cubes.rows("lines"), cubes.distinct("orders", "l_orderkey"), cubes.quantile("median", "l_extendedprice", 0.5),
+        cubes.quantile("high", "l_extendedprice", 0.9),
+    ]
+    for load in range(3):
+        part = lines.filter(F.col("l_orderkey") % 3 == load)
+        cubes.write_cube(part, ref, f"load-{load}", {"l_linestatus": "STRING"}, measures)
+    shown = cubes.read_cube(spark, ref, ["l_linestatus"], measures)
+    # Exact ranks of the estimates; a total has every line.
+    spread = lines.select(F.explode(F.array(F.col("l_linestatus"), F.lit("all"))).alias("status"), "l_orderkey", "l_extendedprice")
+    shown = shown.withColumn("status", F.when(F.col("grouping") == 0, F.col("l_linestatus")).otherwise("all")).drop("l_linestatus")
+    met = spread.join(shown, "status")
+    ranks = met.groupBy("status", "lines").agg(
+        F.count_distinct("l_orderkey").alias("exact"), F.first("orders").alias("orders"),
+        *[F.avg((F.col("l_extendedprice") <= F.col(name)).cast("double")).alias(name) for name in ("median", "high")],
+    )
+    return ranks.select(
+        "status", "lines", (F.abs(F.col("orders") - F.col("exact")) <= F.col("exact") * 0.03).alias("distinct_kept"),
+        (F.abs(F.col("median") - 0.5) <= 0.01).alias("median_kept"), (F.abs(F.col("high") - 0.9) <= 0.01).alias("high_kept"),
+    )
+
+
+def top_k_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten dearest lines of each return flag."""
+    lines = _read(spark, sf_dir, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_extendedprice")
+    order = [F.col("l_extendedprice").desc(), F.col("l_orderkey").asc(), F.col("l_linenumber").asc()]
+    return top_k(lines, 10, order, ["l_returnflag"])
+
+
+def top_k_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hundred dearest orders."""
+    orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return top_k(orders, 100, [F.col("o_totalprice").desc(), F.col("o_orderkey").asc()])
+
+
+def asof_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each purchase and signup the latest click of its user before; a third of all rows belong to one user."""
+    events = _timed_events(spark, sf_dir)
+    user = F.when(F.col("event_id") % 3 == 0, F.lit(0).cast("long")).otherwise(F.col("user_id"))
+    events = events.withColumn("user_id", F.when(F.col("event_id") % 97 != 0, user))
+    ours = events.filter(F.col("event_type").isin("purchase", "signup")).select("event_id", "user_id", "ts")
+    clicks = events.filter(F.col("event_type") == "click").select(
+        "user_id", "ts", F.col("event_id").alias("click_id"), F.col("value").alias("click_value")
+    )
+    return _shown_times(asof_join(ours, clicks, ["user_id"], "ts", ["click_id", "click_value"]))
+
+
+def _line_bags(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    lines = _read(spark, sf_dir, "lineitem")
+    flag = F.when(F.col("l_linenumber") != 3, F.col("l_returnflag")).alias("flag")
+    one = lines.select(flag, F.col("l_linenumber").alias("number"), (F.col("l_partkey") % 10).alias("part"))
+    two = lines.filter(F.col("l_orderkey") % 3 != 0).select(
+        (F.col("l_suppkey") % 10).alias("part"), flag, F.col("l_linenumber").alias("number")
+    )
+    return one, two
+
+
+def except_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiset_difference(*_line_bags(spark, sf_dir))
+
+
+def intersect_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiset_intersection(*_line_bags(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_scan": json_scan,
     "json_scan_permissive": json_scan_permissive,
@@ -945,4 +1117,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "classify_errors": classify_errors,
     "lineage_audit": lineage,
     "run_metrics": run_metrics,
+    "stream_silver": stream_silver,
+    "event_sessions": event_sessions,
+    "type_sessions": type_sessions,
+    "stream_sessions": stream_sessions,
+    "gold_cube": gold_cube,
+    "gold_rollup": gold_rollup,
+    "gold_sketches": gold_sketches,
+    "top_k_groups": top_k_groups,
+    "top_k_overall": top_k_overall,
+    "asof_join": asof_purchases,
+    "except_all": except_all,
+    "intersect_all": intersect_all,
 }
