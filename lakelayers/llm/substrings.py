@@ -5,10 +5,14 @@
    least the true one, so a cell of one proves a window unique.
 2. A second pass hands on only windows with two or more in every cell, as 96-bit hashes of their
    words, and these alone are grouped exactly. Windows that collide in the sketch merely travel
-   in vain; none is lost. They travel in bundles, one for each range of hashes and some 100,000 windows
-   of a task, in which a window stands once, for its smallest document.
+   in vain; none is lost. They travel in bundles, one for each range of hashes and ``FLUSH_ROWS``
+   windows of a task, in which a window stands for its smallest document only. Its other places are
+   known to go: they are dealt by document, not by window. A range merges what it holds whenever that
+   has doubled, so it holds its distinct windows and not their copies.
 3. Positions return to their documents, which lose the covered words.
 
+Windows are told apart by these 96 bits, never by their words.
+
 Only one bit a cell ("two or more") is broadcast: ``depth * 2**log2_cells / 8`` bytes at most,
 64 MB by default, chosen from the size of the texts below that. On a corpus for which the bound is
 too small the filter lets more windows through and the exact grouping carries the load; the result
@@ -40,6 +44,7 @@ BLOCK_BITS = 18
 MAX_LOG2_CELLS = 28
 RANGE_WINDOWS = 4_000_000
 FLUSH_ROWS = 400_000
+HELD_ROWS = 1_000_000
 
 _HASHES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 _PARTIAL = "row int, block int, cells binary"
@@ -149,7 +154,7 @@ def estimated_repeated(hashes: np.ndarray, bits: list[np.ndarray], log2_cells: i
     return good
 
 
-_PART = np.dtype([("h1", np.uint64), ("h2", np.uint32), ("doc", np.int64), ("key", np.int32), ("at", np.int32)])
+_PART = np.dtype([("h1", np.uint64), ("h2", np.uint32), ("doc", np.int64), ("key", np.int64), ("at", np.int32)])
 _BUNDLE = "range int, h1 binary, h2 binary, doc binary, at binary, docs binary, keys binary, local boolean"
 
 
@@ -163,8 +168,10 @@ def without_larger(every: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def bundles(every: np.ndarray, local: bool, ranges: int) -> pa.RecordBatch:
-    """One row for each range of first hashes; a window names its text by number."""
-    owner = (every["h1"] >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
+    """One row for each range of first hashes, or of documents if the places are ``local``; a window
+    names its text by number."""
+    dealt_by = mixed(every["doc"].view(np.uint64)) if local else every["h1"]
+    owner = (dealt_by >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
     order = np.argsort(owner, kind="stable")
     every, owner = every[order], owner[order]
     numbers, begin = np.unique(owner, return_index=True)
@@ -172,7 +179,8 @@ def bundles(every: np.ndarray, local: bool, ranges: int) -> pa.RecordBatch:
     for number, low, high in zip(numbers, begin, np.append(begin, len(every))[1:], strict=True):
         part = every[low:high]
         texts, name = np.unique(np.rec.fromarrays([part["doc"], part["key"]], names="doc,key"), return_inverse=True)
-        row = [int(number), pack(part["h1"]), pack(part["h2"]), pack(name.astype(np.uint32)), pack(part["at"]), pack(texts["doc"]), pack(texts["key"]), local]
+        names = (None, None) if local else (pack(part["h1"]), pack(part["h2"]))
+        row = [int(number), *names, pack(name.astype(np.uint32)), pack(part["at"]), pack(texts["doc"]), pack(texts["key"]), local]
         for column, value in zip(columns, row, strict=True):
             column.append(value)
     kinds = [pa.int32(), *[pa.binary()] * 6, pa.bool_()]
@@ -183,8 +191,10 @@ def bundles(every: np.ndarray, local: bool, ranges: int) -> pa.RecordBatch:
 def unbundle(row: dict) -> np.ndarray:
     name = unpack(row["doc"], np.uint32)
     part = np.empty(len(name), _PART)
-    part["h1"], part["h2"], part["at"] = unpack(row["h1"], np.uint64), unpack(row["h2"], np.uint32), unpack(row["at"], np.int32)
-    part["doc"], part["key"] = unpack(row["docs"], np.int64)[name], unpack(row["keys"], np.int32)[name]
+    if not row["local"]:
+        part["h1"], part["h2"] = unpack(row["h1"], np.uint64), unpack(row["h2"], np.uint32)
+    part["at"] = unpack(row["at"], np.int32)
+    part["doc"], part["key"] = unpack(row["docs"], np.int64)[name], unpack(row["keys"], np.int64)[name]
     return part
 
 
@@ -225,35 +235,44 @@ def candidate_windows(width: int, log2_cells: int, ranges: int, shared):
     return run
 
 
-_PLACES = "doc_id long, text_key int, places binary"
+_PLACES = "doc_id long, text_key long, places binary"
+
+
+def placed(gone: np.ndarray) -> pa.RecordBatch:
+    """Starts of windows that go, a row for each document."""
+    gone = gone[np.lexsort((gone["at"], gone["key"], gone["doc"]))]
+    new = np.ones(len(gone), bool)
+    new[1:] = (gone["doc"][1:] != gone["doc"][:-1]) | (gone["key"][1:] != gone["key"][:-1])
+    begin = np.flatnonzero(new)
+    places = np.ascontiguousarray(gone["at"]).view(np.uint8)
+    bounds = (np.append(begin, len(gone)) * 4).astype(np.int32)
+    binary = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(bounds), pa.py_buffer(places)])
+    columns = [pa.array(np.ascontiguousarray(gone[c][begin])) for c in ("doc", "key")]
+    return pa.RecordBatch.from_arrays([*columns, binary], ["doc_id", "text_key", "places"])
 
 
 def repeated_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The starts of windows that go, by document, from bundles sorted by range."""
-
-    def close(stays: list[np.ndarray], goes: list[np.ndarray]) -> pa.RecordBatch:
-        gone = np.concatenate([*goes, *([without_larger(np.concatenate(stays))[1]] if stays else [])])
-        gone = gone[np.lexsort((gone["at"], gone["key"], gone["doc"]))]
-        new = np.ones(len(gone), bool)
-        new[1:] = (gone["doc"][1:] != gone["doc"][:-1]) | (gone["key"][1:] != gone["key"][:-1])
-        begin = np.flatnonzero(new)
-        places = np.ascontiguousarray(gone["at"]).view(np.uint8)
-        bounds = (np.append(begin, len(gone)) * 4).astype(np.int32)
-        binary = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(bounds), pa.py_buffer(places)])
-        columns = [pa.array(np.ascontiguousarray(gone[c][begin])) for c in ("doc", "key")]
-        return pa.RecordBatch.from_arrays([*columns, binary], ["doc_id", "text_key", "places"])
-
-    at, stays, goes = None, [], []
+    at, held, rows, limit = None, [], 0, HELD_ROWS
     for batch in batches:
         for i in range(batch.num_rows):
             row = batch.slice(i, 1).to_pylist()[0]
+            if row["local"]:
+                yield placed(unbundle(row))
+                continue
             if row["range"] != at:
-                if stays or goes:
-                    yield close(stays, goes)
-                at, stays, goes = row["range"], [], []
-            (goes if row["local"] else stays).append(unbundle(row))
-    if stays or goes:
-        yield close(stays, goes)
+                if held:
+                    yield placed(without_larger(np.concatenate(held))[1])
+                at, held, rows, limit = row["range"], [], 0, HELD_ROWS
+            held.append(unbundle(row))
+            rows += len(held[-1])
+            if rows >= limit:
+                stays, goes = without_larger(np.concatenate(held))
+                yield placed(goes)
+                held, rows = [stays], len(stays)
+                limit = max(HELD_ROWS, 2 * rows)
+    if held:
+        yield placed(without_larger(np.concatenate(held))[1])
 
 
 def kept_words(width: int, field: str | None):
@@ -334,7 +353,7 @@ def dedup_substrings(
     log2_cells = log2_cells_for(size, max_log2_cells)
     ranges = 12 + size // (6 * RANGE_WINDOWS)
     shared = df.sparkSession.sparkContext.broadcast(repeated_bits(docs, width, log2_cells, depth))
-    keyed = docs.withColumn("text_key", F.hash("text"))
+    keyed = docs.withColumn("text_key", F.xxhash64("text"))
     named = keyed.select("doc_id", "text_key", "text").filter("doc_id is not null")
     found = named.mapInArrow(candidate_windows(width, log2_cells, ranges, shared), _BUNDLE)
     dealt = found.repartitionById(ranges, "range").sortWithinPartitions("range")

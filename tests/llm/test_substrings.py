@@ -1,8 +1,13 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
-from lakelayers.llm.substrings import dedup_substrings, without_repeats
+import numpy as np
+import pyarrow as pa
+
+from lakelayers.llm import substrings
+from lakelayers.llm.substrings import candidate_windows, dedup_substrings, repeated_places, unbundle, without_repeats
 
 
 def brute(rows, width):
@@ -66,3 +71,37 @@ def test_clashing_columns_and_stage(documents):
     assert {(r.doc_id, r.text, r.n_words, r.row, r.n_chars) for r in out.collect()} == {
         (1, "a b c d", 1, "k", 5), (2, "x y", 1, "k", 3), (4, "", 1, "k", 5),
     }
+
+
+def test_a_hot_window_sends_one_place_a_flush(monkeypatch):
+    """A passage in all documents: its range gets one standing place a flush and window, and holds no more
+    than its distinct windows; the other places go by document."""
+    rng = random.Random(11)
+    passage = " ".join(f"p{i}" for i in range(20))
+    rows = [(i, f"{rng.random()} {passage} {rng.random()}") for i in range(3000)]
+    rng.shuffle(rows)
+    monkeypatch.setattr(substrings, "FLUSH_ROWS", 500)
+    monkeypatch.setattr(substrings, "HELD_ROWS", 40)
+    batch = pa.RecordBatch.from_pydict({"doc_id": [d for d, _ in rows], "text_key": [d * 7 for d, _ in rows], "text": [t for _, t in rows]})
+    every = [np.full(1 << 13, 255, np.uint8)] * 2
+    shared = type("Shared", (), {"value": every})
+    bundled = [row for i in range(0, 3000, 50) for out in candidate_windows(13, 16, 4, shared)(iter([batch.slice(i, 50)])) for row in out.to_pylist()]
+    standing = [unbundle(row) for row in bundled if not row["local"]]
+    hashes = Counter(h for part in standing for h in part["h1"].tolist())
+    assert sum(n > 1 for n in hashes.values()) == 8 and max(hashes.values()) <= 60
+    by_document = Counter(row["range"] for row in bundled if row["local"])
+    assert len(by_document) == 4
+    bundled.sort(key=lambda row: row["range"])
+    sizes, merge = [], substrings.without_larger
+    monkeypatch.setattr(substrings, "without_larger", lambda every: sizes.append(len(every)) or merge(every))
+    kinds = {n: k for n, k in (x.split() for x in substrings._BUNDLE.split(", "))}
+    arrow = {"int": pa.int32(), "binary": pa.binary(), "boolean": pa.bool_()}
+    given = pa.Table.from_pylist(bundled, pa.schema([(n, arrow[k]) for n, k in kinds.items()])).to_batches()
+    gone = {}
+    for out in repeated_places(iter(given)):
+        for row in out.to_pylist():
+            assert row["text_key"] == row["doc_id"] * 7
+            gone.setdefault(row["doc_id"], []).extend(np.frombuffer(row["places"], np.int32).tolist())
+    assert {d: sorted(set(p)) for d, p in gone.items()} == {d: list(range(1, 9)) for d in range(1, 3000)}
+    distinct = 3000 * 10
+    assert max(sizes) <= distinct
