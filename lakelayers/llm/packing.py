@@ -1,7 +1,8 @@
 """Conflict-constrained best-fit packing of documents into bins of ``capacity`` words.
 
 Documents are dealt by a hash of their id to groups of about ``GROUP_ROWS``, and each group is packed
-on its own, longest piece first. A longer document is cut into full pieces, a bin each, and a rest.
+on its own, longest piece first. Rows that are equal in id, source, cluster and length are counted before
+they are shuffled and then dealt one by one, so they spread over all groups too. A longer document is cut into full pieces, a bin each, and a rest.
 Open bins are ordered by residual; each carries bitmaps of the sources and of the duplicate clusters
 it holds. A piece goes to the tightest bin with room that does not hold its cluster, and holds its
 source fewer than ``per_source`` times: the search takes the next larger residual until a bin agrees,
@@ -24,10 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakelayers.llm.shipping import ship
+from lakelayers.scratch import stage
 
 CAPACITY = 2048
 PER_SOURCE = 2
 GROUP_ROWS = 4096
+COPIES = 10_000
 
 PLACED = "doc_id long, piece int, start long, n_words long, group_id long, bin int, bin_words long"
 
@@ -114,11 +117,19 @@ def pack(
     the group), bin_words (words in that bin). Without ``cluster_col`` equal texts are a cluster."""
     ship(df.sparkSession)
     cluster = F.col(cluster_col).cast("long") if cluster_col else F.xxhash64(text_col)
-    groups = 1 + df.count() // group_rows
     rows = df.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("n_words"),
         F.col(source_col).cast("string").alias("source"),
         cluster.alias("cluster"),
-    ).withColumn("group_id", F.pmod(F.xxhash64("doc_id", "cluster"), F.lit(groups)))
-    return rows.groupBy("group_id").applyInPandas(pack_group(capacity, per_source), PLACED)
+    )
+    columns = rows.columns
+    counted = stage(rows.groupBy(*columns).agg(F.count("*").alias("copies")), "packing-lengths")
+    groups = 1 + (counted.agg(F.sum("copies")).first()[0] or 0) // group_rows
+    few = counted.filter(F.col("copies") <= COPIES).selectExpr(*columns, "explode(sequence(1L, copies)) copy")
+    many = counted.filter(F.col("copies") > COPIES).selectExpr("*", f"explode(sequence(0L, (copies - 1) div {COPIES})) portion")
+    many = many.repartition(*columns, "portion").selectExpr(
+        *columns, f"explode(sequence(portion * {COPIES} + 1, least(copies, (portion + 1) * {COPIES}))) copy"
+    )
+    dealt = few.unionByName(many).withColumn("group_id", F.pmod(F.xxhash64("doc_id", "cluster", "copy"), F.lit(groups)))
+    return dealt.drop("copy").groupBy("group_id").applyInPandas(pack_group(capacity, per_source), PLACED)

@@ -65,3 +65,40 @@ def test_copies_and_nulls(documents):
 
 def test_empty_table(documents):
     assert pack(documents([])).count() == 0
+
+
+def test_every_put_takes_the_tightest_compatible_bin():
+    """Against a plain scan of all bins."""
+    rng = random.Random(21)
+    for per_source in (1, 2, 3):
+        bins, held = Bins(40, per_source), []
+        for _ in range(900):
+            size, source, cluster = rng.randint(0, 40), 1 << rng.randint(0, 5), rng.choice([0, 0, 1 << rng.randint(0, 30)])
+            fits = [
+                40 - sum(s for s, _, _ in b) for b in held
+                if sum(s for s, _, _ in b) + size <= 40
+                and sum(o == source for _, o, _ in b) < per_source
+                and not any(cluster and c == cluster for _, _, c in b)
+            ]
+            before = [40 - sum(s for s, _, _ in b) for b in held]
+            number = bins.put(size, source, cluster)
+            if number == len(held):
+                assert not fits
+                held.append([])
+            else:
+                assert before[number] == min(fits)
+            held[number].append((size, source, cluster))
+        assert [40 - sum(s for s, _, _ in b) for b in held] == bins.residual
+
+
+def test_equal_rows_and_null_ids_spread_over_groups(documents, monkeypatch):
+    import lakelayers.llm.packing as packing
+
+    monkeypatch.setattr(packing, "COPIES", 70)
+    rows = [(7, "a b c", None, "s")] * 600 + [(None, "d e", None, "t")] * 300 + [(1000 + i, "x", None, None) for i in range(100)]
+    placed = pack(documents(rows), capacity=10, group_rows=100).collect()
+    assert len(placed) == 1000 and sum(r.n_words for r in placed) == 2500
+    groups = Counter(r.group_id for r in placed if r.doc_id == 7)
+    assert len(groups) == 11 and max(groups.values()) < 120
+    bins = Counter((r.group_id, r.bin) for r in placed if r.doc_id == 7)
+    assert max(bins.values()) == 1  # one cluster: never twice in a bin
