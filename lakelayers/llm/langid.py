@@ -2,8 +2,8 @@
 
 A text is the mean of the embeddings of its letter bigrams and trigrams (words in lower case, one
 space around each), hashed to ``BUCKETS`` rows. Embeddings and softmax are trained by stochastic
-gradient descent in numpy on a sample of at most about ``SAMPLE_DOCS`` labelled rows, the same number
-of each language; what is collected of a row is its bucket counts. A temperature, fitted on a fifth
+gradient descent in numpy on a sample of about ``SAMPLE_DOCS`` labelled rows at most, the same number
+of each language and one of each id; what is collected of a row is its bucket counts. A temperature, fitted on a fifth
 of the sample, calibrates the probabilities; a text is rejected below a probability that
 all but ``REJECT_SHARE`` of the rightly labelled rows of that fifth exceed.
 
@@ -104,7 +104,9 @@ def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
     for lang in langs:
         share = F.when(F.col("lang") == lang, min(1.0, sample_docs / len(langs) / sizes[lang])).otherwise(share)
     drawn = F.pmod(F.xxhash64("doc_id", F.lit("language sample")), F.lit(1_000_003)) < share * 1_000_003
-    rows = named.filter(drawn).select("lang", "text").mapInArrow(_features, "lang string, buckets binary, weights binary").collect()
+    # Rows of one id are drawn together: one of them stands for all, so that the sample keeps its bound.
+    one = named.filter(drawn).groupBy("doc_id", "lang").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    rows = one.select("lang", "text").mapInArrow(_features, "lang string, buckets binary, weights binary").collect()
     x = np.zeros((len(rows), BUCKETS), np.float32)
     for i, row in enumerate(rows):
         x[i, np.frombuffer(row["buckets"], np.uint16)] = np.frombuffer(row["weights"], np.float32)

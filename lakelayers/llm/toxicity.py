@@ -7,8 +7,9 @@ votes: by expectation maximisation it estimates how often each votes under eithe
 residual correlations of voters how much of its evidence is its own. A logistic regression on counts
 and patterns is trained on the posterior labels and calibrated on the given ones.
 
-Mining and training use a sample of at most about ``SAMPLE_ROWS`` labelled rows, drawn by a hash of
-the id. Scores are computed from whole texts alone.
+Mining and training use a sample of about ``SAMPLE_ROWS`` labelled rows at most, drawn by a hash of
+the id, one row of each id; the model has ``MINED`` mined voters at most, those that speak most for the
+label. Scores are computed from whole texts alone.
 
 Defined cases: null and empty texts get the score of a text without any vote. Of several labels of an
 id the largest counts, null labels do not. Without labels every score is 0.
@@ -228,7 +229,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, mine
     share = sample_rows / max(1, named.count())
     drawn = named.filter(F.pmod(F.xxhash64("doc_id", F.lit("toxicity sample")), F.lit(1_000_003)) < share * 1_000_003)
     sample = drawn.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))  # bounded by ``sample_rows``
-    rows = docs.join(F.broadcast(sample.withColumnRenamed("doc_id", "_id")), F.expr("doc_id = _id")).select("doc_id", "text", "toxic")
+    rows = docs.join(F.broadcast(sample.withColumnRenamed("doc_id", "_id")), F.expr("doc_id = _id"))
+    # Of rows of one id one stands for all, so that the sample keeps its bound.
+    rows = rows.groupBy("doc_id").agg(F.min_by(F.struct("text"), F.xxhash64("text")).alias("_row"), F.max("toxic").alias("toxic")).select("doc_id", "_row.text", "toxic")
     size = sample.groupBy("toxic").count().collect()
     toxic = sum(r["count"] for r in size if r["toxic"])
     other = sum(r["count"] for r in size if not r["toxic"])
