@@ -7,8 +7,9 @@ compressed as a whole: offsets in the index are those of the uncompressed archiv
 
 Index: every archive read back gives a run of captures sorted by URL key, timestamp and id, written
 as a table. Ranges of URL keys are then merged, each by a loser tree over the pieces of all runs that
-fall in the range, into capture histories in global order. A range also splits one key's captures, by
-timestamp.
+fall in the range, into capture histories in global order. The number of ranges follows from the number
+of captures: a range has about ``MERGE_ROWS`` of them, held as one Arrow table, whose rows the tree
+orders by their numbers. A range also splits one key's captures, by timestamp, id and place.
 
 Defined cases: a null payload is empty; a null url gives a record without target and the key ''; a
 null page_id gives a record id without number, read back as null, and is never referred to. Rows of
@@ -20,9 +21,11 @@ from __future__ import annotations
 import gzip
 import hashlib
 from collections.abc import Iterator
+from itertools import islice
 from typing import Any
 from urllib.parse import urlsplit
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +35,7 @@ from lakelayers.scratch import scratch_folder, stage
 
 MIN_REVISIT = 100
 ROWS_PER_FILE = 10_000
+MERGE_ROWS = 250_000
 FIRST_DAY = "2024-01-01"
 
 _VERSION = b"WARC/1.1"
@@ -156,7 +160,7 @@ class LoserTree:
     """Merges sorted lists; an inner node holds the loser of the match below it, so that the next
     winner costs one match a level."""
 
-    def __init__(self, runs: list[list], key) -> None:
+    def __init__(self, runs: list, key) -> None:
         self.runs, self.key = runs, key
         self.at = [0] * len(runs)
         self.heads = [self._head(i) for i in range(len(runs))]
@@ -185,39 +189,40 @@ class LoserTree:
             node //= 2
         self.losers[0] = winner
 
-    def __iter__(self) -> Iterator:
-        while self.runs:
-            winner = self.losers[0]
-            if self.heads[winner] is None:
-                return
-            yield self.runs[winner][self.at[winner]]
-            self.at[winner] += 1
-            self.heads[winner] = self._head(winner)
-            self._play(winner)
+    def __iter__(self) -> LoserTree:
+        return self
+
+    def __next__(self):
+        winner = self.losers[0]
+        if not self.runs or self.heads[winner] is None:
+            raise StopIteration
+        row = self.runs[winner][self.at[winner]]
+        self.at[winner] += 1
+        self.heads[winner] = self._head(winner)
+        self._play(winner)
+        return row
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One range of keys; rows come sorted by archive and place."""
-    runs: dict[str, list] = {}
-    for batch in batches:
-        for row in batch.to_pylist():
-            runs.setdefault(row["archive"], []).append(row)
-    out = []
-    for row in LoserTree(list(runs.values()), capture_order):
-        out.append(row)
-        if len(out) == 10_000:
-            yield pa.RecordBatch.from_pylist(out, pa.schema(_FIELDS))
-            out = []
-    if out:
-        yield pa.RecordBatch.from_pylist(out, pa.schema(_FIELDS))
-
-
-def capture_histories(runs: DataFrame) -> DataFrame:
+    table = pa.Table.from_batches(list(batches) or [pa.RecordBatch.from_pylist([], pa.schema([*_FIELDS, ("place", pa.int64())]))])
+    table = table.select([name for name, _ in _FIELDS]).combine_chunks()
+    order = {c: table.column(c) for c in ("url_key", "captured_at", "page_id", "archive", "offset")}
+    archives = table.column("archive").to_numpy()
+    begins = np.flatnonzero(np.append(True, archives[1:] != archives[:-1])) if len(archives) else np.zeros(0, int)
+    runs = [range(a, b) for a, b in zip(begins, np.append(begins, len(archives))[1:], strict=True)]
+    merged = LoserTree(runs, lambda row: capture_order({c: column[row].as_py() for c, column in order.items()}))
+    while rows := list(islice(merged, 10_000)):
+        yield from table.take(pa.array(rows, pa.int64())).to_batches()
+
+
+def capture_histories(runs: DataFrame, merge_rows: int = MERGE_ROWS) -> DataFrame:
     """The captures of sorted runs in global order of URL key, timestamp and id: the partitions of
     the result are consecutive ranges."""
     ship(runs.sparkSession)
-    ranges = runs.repartitionByRange("url_key", "captured_at", "page_id").sortWithinPartitions("archive", "place")
-    return ranges.mapInArrow(_merge, INDEX)
+    ranges = 1 + runs.count() // merge_rows
+    ranged = runs.repartitionByRange(ranges, "url_key", "captured_at", "page_id", "archive", "offset")
+    return ranged.sortWithinPartitions("archive", "place").mapInArrow(_merge, INDEX)
 
 
 def archived_captures(pages: DataFrame, **columns: str) -> DataFrame:

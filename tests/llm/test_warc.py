@@ -1,10 +1,11 @@
 import gzip
 import hashlib
 import random
+from collections import Counter
 
 import pytest
 
-from lakelayers.llm.warc import LoserTree, archived_captures, parse_archive, url_key, write_archives
+from lakelayers.llm.warc import RUN, LoserTree, archived_captures, capture_histories, capture_order, parse_archive, url_key, write_archives
 
 
 def pages(spark, rows):
@@ -68,3 +69,22 @@ def test_archives_are_bounded_and_damage_is_noticed(spark, tmp_path):
     for broken in (content[0].replace(b"page", b"pagE", 1), content[0][:-3], b"junk" + content[0]):
         with pytest.raises(ValueError):
             list(parse_archive(broken, "f"))
+
+
+def test_ranges_follow_the_captures(spark):
+    """Many runs and one hot key: ranges of a bounded size, whose merge is the sorted order of all."""
+    rng = random.Random(31)
+    rows = []
+    for archive in range(12):
+        run = [
+            {"page_id": rng.choice([None, rng.randint(0, 9)]), "payload_bytes": 1, "payload_digest": "", "record_type": "response", "refers_to": None,
+             "url_key": rng.choice(["hot"] * 4 + ["a", "z"]), "captured_at": str(rng.randint(0, 3)), "archive": f"part-{archive}", "offset": i, "length": 1}
+            for i in range(100)
+        ]
+        rows += [row | {"place": i} for i, row in enumerate(sorted(run, key=capture_order))]
+    histories = capture_histories(spark.createDataFrame(rows, RUN).repartition(5), merge_rows=100)
+    got = histories.selectExpr("*", "spark_partition_id() part").collect()
+    assert [capture_order(r.asDict()) for r in got] == sorted(capture_order(r) for r in rows)
+    sizes = Counter(r.part for r in got)
+    assert len(sizes) >= 8 and max(sizes.values()) <= 400
+    assert capture_histories(spark.createDataFrame([], RUN)).count() == 0
