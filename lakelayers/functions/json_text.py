@@ -50,18 +50,40 @@ def response_records(body: ColumnOrName) -> Column:
     text = as_column(body)
     trimmed = _trimmed(text)
     wrapped = _inside_array(text)
-    exact = F.try_parse_json(wrapped)
-    of_array = F.coalesce(_elements(exact, "$[0]"), F.from_json(wrapped, "array<array<string>>")[0])
-    of_data = F.coalesce(_elements(exact, "$[0].data"), F.from_json(wrapped, OBJECT_SCHEMA)[0]["data"])
-    objects = F.from_json(wrapped, "array<string>")
-    of_object = F.when(F.size(objects) == 1, F.array(trimmed)).otherwise(objects)
+
+    def records(parsed: Column) -> Column:
+        by_text = _text_records(wrapped, trimmed, text)  # for what a variant cannot hold
+        return F.when(parsed.isNotNull(), _variant_records(parsed, trimmed)).otherwise(by_text)
+
+    # A lambda's variable is computed once, where an expression named several times is not.
+    return F.get(F.transform(F.array(F.try_parse_json(wrapped)), records), F.lit(0))
+
+
+def _variant_records(parsed: Column, trimmed: Column) -> Column:
+    data = F.try_variant_get(parsed, "$[0].data", "variant")
+    alone = F.try_variant_get(parsed, "$[1]", "variant").isNull()
+    is_object = trimmed.startswith("{")
+    found = (
+        F.when(trimmed.startswith("["), _elements(parsed, "$[0]"))
+        .when(is_object & data.isNotNull(), _elements(parsed, "$[0].data"))
+        .when(is_object, F.array(trimmed))
+    )
+    return F.when(alone, F.filter(found, _is_object))
+
+
+def _text_records(wrapped: Column, trimmed: Column, text: Column) -> Column:
+    arrays, objects = F.from_json(wrapped, "array<array<string>>"), F.from_json(wrapped, "array<string>")
     has_data = F.array_contains(F.json_object_keys(text), "data")
-    records = (
-        F.when(trimmed.startswith("["), of_array)
-        .when(trimmed.startswith("{") & has_data, of_data)
-        .when(trimmed.startswith("{"), of_object)
+    found = (
+        F.when(trimmed.startswith("["), F.when(F.size(arrays) == 1, arrays[0]))
+        .when(trimmed.startswith("{") & has_data, F.from_json(wrapped, OBJECT_SCHEMA)[0]["data"])
+        .when(trimmed.startswith("{"), F.when(F.size(objects) == 1, F.array(trimmed)))
     )
-    return F.filter(records, lambda record: record.startswith("{"))
+    return F.filter(found, _is_object)
+
+
+def _is_object(record: Column) -> Column:
+    return record.startswith("{")
 
 
 def fill_absent_keys(record: ColumnOrName, defaults: Mapping[str, object]) -> Column:

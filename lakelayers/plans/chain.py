@@ -147,7 +147,7 @@ def run_layer(
         counts, rows_out = read.get, written.get["rows"]
     if counts["malformed"] and spec.quarantine:
         save_malformed(spark, spec, extracted)
-    if spec.load_id and custom_transform is None:
+    if spec.load_id and (custom_transform is None or layer != "bronze"):
         return committed_counts(spark, spec, layer, counts["malformed"])
     return LayerRun(layer, target, counts["rows"], rows_out, counts["malformed"])
 

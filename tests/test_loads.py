@@ -1,6 +1,8 @@
 """Landings that break off and are repeated."""
 
 import json
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -86,3 +88,38 @@ def test_chain_of_loads(spark, tmp_path):
         run_layer(spark, Entity(**{**spec.__dict__, "load_id": "two"}), "bronze")
     every = Entity(**{**spec.__dict__, "load_id": None, "tables": {"bronze": "all_bronze"}})
     assert run_layer(spark, every, "bronze").rows_out == 3
+
+
+FAILING_ONCE = """
+import json, os, sys
+from pyspark.sql import SparkSession, functions as F
+from lakelayers.plans.chain import Entity, run_chain, run_layer
+folder = sys.argv[1]
+spark = (SparkSession.builder.master("local[2,3]").config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC")
+         .config("spark.checkpoint.dir", folder + "/scratch").config("spark.sql.warehouse.dir", folder + "/warehouse").getOrCreate())
+os.makedirs(folder + "/raw/api/posts")
+for part in range(4):
+    with open(f"{folder}/raw/api/posts/{part}.json", "w") as f:
+        f.writelines(json.dumps({"payload": {"id": None if i % 10 == 0 else str(i)}}) + "\\n" for i in range(part * 100, part * 100 + 100))
+
+@F.udf("string")
+def once(text, mark):
+    if text == mark and not os.path.exists(f"{folder}/{mark}.failed"):
+        open(f"{folder}/{mark}.failed", "w").close()
+        raise RuntimeError("lost once")
+    return text
+
+spec = Entity("api", "posts", folder + "/raw", payload_schema="struct<id: string>", load_id="one", database_root=folder + "/db")
+runs = [run_layer(spark, spec, "bronze")]
+from lakelayers.plans.chain import transform
+runs.append(run_layer(spark, spec, "silver", lambda df: transform(df.withColumn("record_id", once("record_id", F.lit("155"))), spec, "silver")))
+runs.append(run_layer(spark, spec, "gold"))
+assert os.path.exists(folder + "/155.failed")
+print(json.dumps([[r.layer, r.rows_in, r.rows_out] for r in runs]))
+"""
+
+
+def test_a_task_that_failed_once_changes_no_count(tmp_path):
+    done = subprocess.run([sys.executable, "-c", FAILING_ONCE, str(tmp_path)], capture_output=True, text=True, check=False)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert json.loads(done.stdout.strip().splitlines()[-1]) == [["bronze", 400, 400], ["silver", 400, 360], ["gold", 360, 1]]
