@@ -21,7 +21,8 @@ The index of at most about ``SHARD_BYTES`` of items is sent to the tasks; more i
 many indexes as needed, each with a pass of its own. Document frequencies are those of all items.
 
 Defined cases: null or wordless items and texts match nothing; items of equal text each match; items
-of equal id count as one in the result.
+of equal id count as one in the result. A text of over ``PIECE_BYTES`` is judged in parts, which overlap
+by more than twice the longest item: question and answer must then be found in one part.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakelayers.llm.shipping import ship
-from lakelayers.llm.words import Words, find_words, pieces, word_hashes
+from lakelayers.llm.words import PIECE_BYTES, Words, find_words, is_long, long_parts, pieces, word_hashes
 
 SEGMENT = 64
 BLOCK = 8
@@ -246,12 +247,27 @@ def search(index: Index, words: Words) -> Iterator[tuple[int, int, int, float, f
             yield number, item_id, first * SEGMENT, max(s for _, s in places), question, answer
 
 
+def search_long(index: Index, column: pa.Array, limit: int = PIECE_BYTES) -> Iterator[tuple[int, int, int, float, float, float]]:
+    """The same for a single text, in parts that share twice the words of the longest item and a passage.
+    What parts have in common may be found in both."""
+    shared = 2 * max((len(hashes) for _, hashes in index.items), default=0) + 2 * SEGMENT
+    before, begin, held = 0, 0, None
+    for at, part in long_parts(column, shared, limit):
+        if held is not None:
+            before += int((held < at - begin).sum())
+        words = normal_words(part)
+        begin, held = at, words.starts
+        for number, item, word, *figures in search(index, words):
+            yield number, item, before + word, *figures
+
+
 def _searched(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         for batch in batches:
             for piece in pieces(batch):
-                rows = list(search(index, normal_words(piece.column("text"))))
+                text = piece.column("text")
+                rows = list(search_long(index, text) if is_long(piece) else search(index, normal_words(text)))
                 ids = piece.column("doc_id")
                 columns: list[Any] = [ids.take(pa.array([r[0] for r in rows], pa.int64()))]
                 kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]

@@ -14,7 +14,8 @@ on a star for each of its local components, never its pairs. An anchor of more t
 fingerprints is cut into chunks and compared chunk pair by chunk pair, in tasks of their own.
 
 Defined cases: null and empty texts and texts without words have the fingerprint zero and are linked
-like any other. A text of fewer words than a shingle is one shingle. A null id never is a component
+like any other. A text of fewer words than a shingle is one shingle. A text of over ``PIECE_BYTES`` is
+read in parts. A null id never is a component
 id; a component of null ids only has none.
 """
 
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from lakelayers.llm.components import component_roots
 from lakelayers.llm.shipping import ship
-from lakelayers.llm.words import find_words, pieces
+from lakelayers.llm.words import PIECE_BYTES, Words, find_words, is_long, long_parts, pieces
 from lakelayers.scratch import stage
 
 SHINGLE = 4
@@ -73,20 +74,38 @@ def majority_bits(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out
 
 
+def _word_shingles(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the shingles of all texts, the words of a shingle joined by one space."""
+    lengths = words.ends - words.starts
+    stop = np.cumsum(lengths + 1)
+    place = np.arange(int(stop[-1]) if len(stop) else 0) - np.repeat(stop - lengths - 1, lengths + 1)
+    source = np.minimum(place + np.repeat(words.starts, lengths + 1), max(0, len(words.data) - 1))
+    spaced = words.data[source] if len(source) else np.zeros(0, np.uint8)
+    if len(stop):
+        spaced[stop - 1] = 32
+    return shingle_hashes((spaced.tobytes(), stop - lengths - 1, stop - 1), words.first, SHINGLE)
+
+
+def long_fingerprint(column: pa.Array, limit: int = PIECE_BYTES) -> np.ndarray:
+    """The fingerprint of a single text, read in parts that share no shingle."""
+    sums, total = np.zeros(64, np.int64), 0
+    for _, part in long_parts(column, SHINGLE - 1, limit):
+        words = find_words(part, lower=True)
+        if words.counts[0] >= SHINGLE:
+            hashes, _ = _word_shingles(words)
+            sums += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+            total += len(hashes)
+    if not total:  # a few long words
+        return majority_bits(*_word_shingles(find_words(column, lower=True)))
+    return np.packbits((2 * sums > total).astype(np.uint8), bitorder="little").view(np.uint64)
+
+
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in pieces(batch):
-            words = find_words(piece.column("text"), lower=True)
-            lengths = words.ends - words.starts
-            stop = np.cumsum(lengths + 1)
-            place = np.arange(int(stop[-1]) if len(stop) else 0) - np.repeat(stop - lengths - 1, lengths + 1)
-            source = np.minimum(place + np.repeat(words.starts, lengths + 1), max(0, len(words.data) - 1))
-            spaced = words.data[source] if len(source) else np.zeros(0, np.uint8)
-            if len(stop):
-                spaced[stop - 1] = 32
-            hashes, counts = shingle_hashes((spaced.tobytes(), stop - lengths - 1, stop - 1), words.first, SHINGLE)
-            fp = majority_bits(hashes, counts).view(np.int64)
-            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("text_key"), pa.array(fp)], ["doc_id", "text_key", "fp"])
+            text = piece.column("text")
+            fp = long_fingerprint(text) if is_long(piece) else majority_bits(*_word_shingles(find_words(text, lower=True)))
+            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("text_key"), pa.array(fp.view(np.int64))], ["doc_id", "text_key", "fp"])
 
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

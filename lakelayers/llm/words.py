@@ -2,7 +2,7 @@
 
 A word is a maximal run of bytes other than space, tab, line feed, vertical tab, form feed and
 carriage return. Texts are handled in pieces of half a megabyte; one longer text is a piece of
-its own.
+its own, which :func:`long_parts` cuts.
 """
 
 from __future__ import annotations
@@ -54,6 +54,37 @@ def pieces(batch: pa.RecordBatch, column: str = "text", limit: int = PIECE_BYTES
         at = to
 
 
+def is_long(piece: pa.RecordBatch, column: str = "text") -> bool:
+    """Whether a piece is one text of over ``PIECE_BYTES``."""
+    return piece.num_rows == 1 and len(text_bytes(piece.column(column))[0]) > PIECE_BYTES
+
+
+def long_parts(column: pa.Array, overlap: int, limit: int = PIECE_BYTES) -> Iterator[tuple[int, pa.Array]]:
+    """Parts of about ``limit`` bytes of a single text, and the byte each begins at.
+
+    No word is cut. Each part begins ``overlap`` words before the end of the one before, so that every
+    window of ``overlap`` + 1 words lies whole in one part and in no other.
+    """
+    data, _ = text_bytes(column)
+    at, size = 0, limit
+    while True:
+        to = min(at + size, len(data))
+        while to < len(data) and _WORD_BYTE[data[to]]:
+            out = np.flatnonzero(~_WORD_BYTE[data[to : to + limit]])
+            to = to + int(out[0]) if len(out) else min(to + limit, len(data))
+        part = data[at:to]
+        inside = _WORD_BYTE[part]
+        starts = np.flatnonzero(inside & ~np.append(False, inside[:-1]))
+        if to < len(data) and len(starts) <= overlap:
+            size *= 2
+            continue
+        bounds = np.array([0, len(part)], np.int64)
+        yield at, pa.LargeStringArray.from_buffers(1, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(part)))
+        if to == len(data):
+            return
+        at, size = (at + int(starts[-overlap]) if overlap else to), limit
+
+
 def with_text(batch: pa.RecordBatch, field: str | None) -> pa.RecordBatch:
     """The batch with a column text, taken from a field of the struct column row if one is given."""
     if field is None:

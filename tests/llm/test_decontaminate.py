@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 
 from lakelayers.llm.decontaminate import BLOCK, Index, clean, contaminations, normal_words
-from lakelayers.llm.words import word_hashes
+from lakelayers.llm.words import PIECE_BYTES, word_hashes
 
 
 def items(spark, rows):
@@ -98,3 +98,18 @@ def test_clean_judges_every_row(spark, documents):
     rows = [(None, dirty), (None, fine), (None, None), (3, fine), (3, dirty), (4, dirty), (5, ""), (6, fine)]
     kept = clean(documents(rows), items(spark, [(1, item), (None, None)]))
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted([r for r in rows if r[1] != dirty], key=repr)
+
+
+def test_a_long_text_is_searched_in_parts(spark, documents):
+    """Items anywhere in a text of megabytes, at the words they begin at; memory is that of a part."""
+    rng = random.Random(23)
+    bench = [(i, sentence(rng, rng.choice([20, 60, 150]))) for i in range(12)]
+    filler = [sentence(rng, 40_000, "uvwxyz") for _ in range(13)]
+    text, begins = filler[0], {}
+    for (i, item), more in zip(bench, filler[1:], strict=True):
+        begins[i] = len(text.split())
+        text += f" {item}. {more}"
+    assert len(text) > 2 * PIECE_BYTES
+    found = contaminations(documents([(1, text), (2, filler[3])]), items(spark, bench)).collect()
+    assert {r.item_id for r in found} == set(begins) and {r.doc_id for r in found} == {1}
+    assert all(abs(r.word - begins[r.item_id]) <= 2 * 64 for r in found)

@@ -2,10 +2,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 from lakelayers.llm.components import component_roots
-from lakelayers.llm.simhash import BLOCKS, WIDE_BLOCKS, anchors_of, links, near_duplicates, one_of_each
+from lakelayers.llm.simhash import BLOCKS, WIDE_BLOCKS, anchors_of, links, long_fingerprint, near_duplicates, one_of_each
 
 
 def fingerprint(text):
@@ -122,3 +123,11 @@ def test_one_of_each_keeps_one_row_of_each_component(spark):
     kept = one_of_each(frame).collect()
     assert sorted((marked[r.text], r.doc_id) for r in kept) == sorted(least.items())
     assert {tuple(r) for r in kept} <= set(rows)
+
+
+def test_long_texts_are_read_in_parts():
+    rng = random.Random(14)
+    texts = ["".join(rng.choices(["Ab", "c", " ", "\t", "d é"], k=rng.randint(1, 400))) for _ in range(40)] + ["", " ", "one two", "x" * 500]
+    for text in texts:
+        for limit in (16, 100):
+            assert int(long_fingerprint(pa.array([text]), limit)[0]) == fingerprint(text)

@@ -1,3 +1,4 @@
+import random
 import re
 
 import numpy as np
@@ -5,7 +6,7 @@ import pyarrow as pa
 from hypothesis import given
 from hypothesis import strategies as st
 
-from lakelayers.llm.words import find_words, pieces, window_hashes, window_starts, word_hashes
+from lakelayers.llm.words import find_words, long_parts, pieces, window_hashes, window_starts, word_hashes
 
 TEXTS = st.lists(st.one_of(st.none(), st.text(alphabet="ab é\t\n\x0b\x1c ", max_size=30)), max_size=6)
 
@@ -50,3 +51,19 @@ def test_lower_case_is_ascii_only():
     words = find_words(pa.array(["AbÉ"]), lower=True)
     assert bytes(words.data).decode() == "abÉ"
     assert np.diff(words.first).tolist() == [1]
+
+
+def test_parts_of_a_long_text_share_no_window():
+    rng = random.Random(9)
+    for _ in range(60):
+        text = "".join(rng.choices(["a", "bé", " ", "\n", "cccccccccccc", "  "], k=rng.randint(0, 300)))
+        raw = text.encode()
+        whole = re.findall(rb"[^\x20\x09-\x0D]+", raw)
+        for overlap, limit in ((0, 7), (1, 3), (3, 10), (5, 64)):
+            windows = []
+            for at, part in long_parts(pa.array([text]), overlap, limit):
+                data = part.cast(pa.large_binary())[0].as_py()
+                assert raw[at : at + len(data)] == data
+                words = re.findall(rb"[^\x20\x09-\x0D]+", data)
+                windows += [tuple(words[i : i + overlap + 1]) for i in range(len(words) - overlap)]
+            assert windows == [tuple(whole[i : i + overlap + 1]) for i in range(len(whole) - overlap)]
