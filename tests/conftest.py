@@ -1,11 +1,16 @@
 import uuid
 
+import hypothesis
 import pytest
 from pyspark.sql import SparkSession
 
 from lakelayers.names import TableRef
 from lakelayers.sinks.tables import create_database
 
+# A first Spark job or a busy machine makes single examples slow.
+hypothesis.settings.register_profile("patient", deadline=None)
+hypothesis.settings.load_profile("patient")
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
