@@ -41,7 +41,7 @@ from lakelayers.scratch import stage
 MIN_DOCS = 3
 SCALE = 1_000_000_000
 TOP_TERMS = 200
-HELD = 200_000
+HELD = 600_000
 PART_BYTES = 1 << 20
 PASS_BYTES = 32 << 20
 SALTS = 16
@@ -115,7 +115,16 @@ def term_counts(df: DataFrame, text_col: str = "text", lang_col: str = "lang", s
     columns = ((text_col, "text"), (lang_col, "lang"), (source_col, "source"))
     docs = df.select(*[F.coalesce(F.col(old).cast("string"), F.lit("")).alias(new) for old, new in columns])
     parts = docs.mapInArrow(_counted, "lang string, source string, term string, n long, docs long")
-    return parts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    # Counted in tasks already: one shuffle serves this grouping and that of term_rows.
+    dealt = parts.repartition("lang", "term")
+    return dealt.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+
+
+def term_rows(counts: DataFrame) -> DataFrame:
+    """lang, term, docs, total, counts (source and n, in order of source) from :func:`term_counts`; the row
+    of the empty term has all sources of its language."""
+    pairs = F.sort_array(F.collect_list(F.struct("source", "n")))
+    return counts.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("total"), pairs.alias("counts"))
 
 
 class PatternTree:
@@ -215,18 +224,15 @@ def source_divergence(
     top_terms: int = TOP_TERMS,
 ) -> DataFrame:
     """lang, source, part (``pair`` or ``term``), item, value, rank."""
-    counts = stage(term_counts(df, text_col, lang_col, source_col), "term-counts")
-    named = counts.filter("term <> ''")
-    kept = named.groupBy("lang", "term").agg(
-        F.sum("docs").alias("docs"), F.sum("n").alias("total"), F.sort_array(F.collect_list(F.struct("source", "n"))).alias("counts")
-    )
-    kept = stage(kept.filter(F.col("docs") >= min_docs).drop("docs"), "kept-terms")
+    rows = term_rows(term_counts(df, text_col, lang_col, source_col))
+    rows = stage(rows.filter((F.col("docs") >= min_docs) | (F.col("term") == "")).drop("docs"), "term-rows")
+    kept = rows.filter("term <> ''")
     each = kept.select("lang", "term", "total", F.inline("counts"))
 
-    langs = counts.select("lang").distinct()
+    langs = rows.filter("term = ''").select("lang")
     sizes = kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("total").alias("lang_n"))
     langs = langs.join(sizes, "lang", "left").na.fill(0, ["v", "lang_n"])
-    groups = counts.filter("term = ''").select("lang", "source")
+    groups = rows.filter("term = ''").select("lang", F.explode("counts.source").alias("source"))
     groups = groups.join(each.groupBy("lang", "source").agg(F.sum("n").alias("group_n")), ["lang", "source"], "left")
     groups = groups.na.fill(0, ["group_n"]).join(langs, "lang").withColumn("room", F.col("group_n") + F.col("v"))
     zero = F.when(F.col("v") > 0, share(F.lit(0), F.col("room")))
