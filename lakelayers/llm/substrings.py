@@ -30,6 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -167,10 +168,20 @@ def without_larger(every: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return every[~goes], every[goes]
 
 
+def distinct_places(every: np.ndarray) -> np.ndarray:
+    """In order of document, text and place."""
+    every = every[np.lexsort((every["at"], every["key"], every["doc"]))]
+    new = np.ones(len(every), bool)
+    new[1:] = (every["doc"][1:] != every["doc"][:-1]) | (every["key"][1:] != every["key"][:-1]) | (every["at"][1:] != every["at"][:-1])
+    return every[new]
+
+
 def bundles(every: np.ndarray, local: bool, ranges: int) -> pa.RecordBatch:
     """One row for each range of first hashes, or of documents if the places are ``local``; a window
     names its text by number."""
-    dealt_by = mixed(every["doc"].view(np.uint64)) if local else every["h1"]
+    if local:  # copies of a row have the same places
+        every = distinct_places(every)
+    dealt_by = mixed(every["doc"].view(np.uint64) ^ mixed(every["key"].view(np.uint64))) if local else every["h1"]
     owner = (dealt_by >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
     order = np.argsort(owner, kind="stable")
     every, owner = every[order], owner[order]
@@ -238,41 +249,67 @@ def candidate_windows(width: int, log2_cells: int, ranges: int, shared):
 _PLACES = "doc_id long, text_key long, places binary"
 
 
-def placed(gone: np.ndarray) -> pa.RecordBatch:
-    """Starts of windows that go, a row for each document."""
-    gone = gone[np.lexsort((gone["at"], gone["key"], gone["doc"]))]
-    new = np.ones(len(gone), bool)
-    new[1:] = (gone["doc"][1:] != gone["doc"][:-1]) | (gone["key"][1:] != gone["key"][:-1])
-    begin = np.flatnonzero(new)
-    places = np.ascontiguousarray(gone["at"]).view(np.uint8)
-    bounds = (np.append(begin, len(gone)) * 4).astype(np.int32)
-    binary = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(bounds), pa.py_buffer(places)])
-    columns = [pa.array(np.ascontiguousarray(gone[c][begin])) for c in ("doc", "key")]
-    return pa.RecordBatch.from_arrays([*columns, binary], ["doc_id", "text_key", "places"])
+class RangeMerge:
+    """Takes bundles sorted by range. ``merge`` parts the rows of a range into those held on and those
+    handed out; it is called whenever the rows held have doubled, and at the end of the range."""
 
+    def __init__(self, merge) -> None:
+        self.merge, self.at, self.held, self.rows, self.limit = merge, None, [], 0, HELD_ROWS
 
-def repeated_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The starts of windows that go, by document, from bundles sorted by range."""
-    at, held, rows, limit = None, [], 0, HELD_ROWS
-    for batch in batches:
+    def add(self, batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for i in range(batch.num_rows):
             row = batch.slice(i, 1).to_pylist()[0]
-            if row["local"]:
-                yield placed(unbundle(row))
-                continue
-            if row["range"] != at:
-                if held:
-                    yield placed(without_larger(np.concatenate(held))[1])
-                at, held, rows, limit = row["range"], [], 0, HELD_ROWS
-            held.append(unbundle(row))
-            rows += len(held[-1])
-            if rows >= limit:
-                stays, goes = without_larger(np.concatenate(held))
-                yield placed(goes)
-                held, rows = [stays], len(stays)
-                limit = max(HELD_ROWS, 2 * rows)
-    if held:
-        yield placed(without_larger(np.concatenate(held))[1])
+            if row["range"] != self.at:
+                yield from self.close()
+                self.at = row["range"]
+            self.held.append(unbundle(row))
+            self.rows += len(self.held[-1])
+            if self.rows >= self.limit:
+                stays, out = self.merge(np.concatenate(self.held), False)
+                yield out
+                self.held, self.rows, self.limit = [stays], len(stays), max(HELD_ROWS, 2 * len(stays))
+
+    def close(self) -> Iterator[np.ndarray]:
+        if self.held:
+            yield self.merge(np.concatenate(self.held), True)[1]
+        self.held, self.rows, self.limit = [], 0, HELD_ROWS
+
+
+def repeated_places(ranges: int):
+    """From bundles sorted by range, bundles of the places that go, dealt by document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        standing = RangeMerge(lambda every, done: without_larger(every))
+        for batch in batches:
+            known = batch.column("local")
+            yield batch.filter(known)
+            yield from (bundles(goes, True, ranges) for goes in standing.add(batch.filter(pc.invert(known))))
+        yield from (bundles(goes, True, ranges) for goes in standing.close())
+
+    return run
+
+
+def places_of_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each document of which words go, from bundles sorted by their range of documents."""
+
+    def merge(every: np.ndarray, done: bool) -> tuple[np.ndarray, np.ndarray]:
+        every = distinct_places(every)
+        return (every[:0], every) if done else (every, every[:0])
+
+    def placed(gone: np.ndarray) -> pa.RecordBatch:
+        new = np.ones(len(gone), bool)
+        new[1:] = (gone["doc"][1:] != gone["doc"][:-1]) | (gone["key"][1:] != gone["key"][:-1])
+        begin = np.flatnonzero(new)
+        places = np.ascontiguousarray(gone["at"]).view(np.uint8)
+        bounds = (np.append(begin, len(gone)) * 4).astype(np.int32)
+        binary = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(bounds), pa.py_buffer(places)])
+        columns = [pa.array(np.ascontiguousarray(gone[c][begin])) for c in ("doc", "key")]
+        return pa.RecordBatch.from_arrays([*columns, binary], ["doc_id", "text_key", "places"])
+
+    ranges = RangeMerge(merge)
+    for batch in batches:
+        yield from (placed(gone) for gone in ranges.add(batch))
+    yield from (placed(gone) for gone in ranges.close())
 
 
 def kept_words(width: int, field: str | None):
@@ -286,7 +323,7 @@ def kept_words(width: int, field: str | None):
                 goes = np.zeros(len(words.starts) + 1, np.int64)
                 for row, places in enumerate(piece.column("places").to_pylist()):
                     if places:
-                        at = np.unique(np.frombuffer(b"".join(places), np.int32)) + words.first[row]
+                        at = np.frombuffer(places, np.int32) + words.first[row]
                         goes[at] += 1
                         goes[at + width] -= 1
                 stays = np.cumsum(goes[:-1]) == 0
@@ -357,8 +394,8 @@ def dedup_substrings(
     named = keyed.select("doc_id", "text_key", "text").filter("doc_id is not null")
     found = named.mapInArrow(candidate_windows(width, log2_cells, ranges, shared), _BUNDLE)
     dealt = found.repartitionById(ranges, "range").sortWithinPartitions("range")
-    goes = dealt.mapInArrow(repeated_places, _PLACES)
-    places = goes.groupBy("doc_id", "text_key").agg(F.collect_list("places").alias("places"))
+    goes = dealt.mapInArrow(repeated_places(ranges), _BUNDLE)
+    places = goes.repartitionById(ranges, "range").sortWithinPartitions("range").mapInArrow(places_of_documents, _PLACES)
     # A text is shuffled once: as a column or within its row.
     carried = keyed.select("doc_id", "text_key", "row" if with_rows else "text")
     joined = carried.join(places, ["doc_id", "text_key"], "left").select(*carried.columns, "places")

@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 
 from lakelayers.llm import substrings
-from lakelayers.llm.substrings import candidate_windows, dedup_substrings, repeated_places, unbundle, without_repeats
+from lakelayers.llm.substrings import candidate_windows, dedup_substrings, places_of_documents, repeated_places, unbundle, without_repeats
 
 
 def brute(rows, width):
@@ -97,11 +97,14 @@ def test_a_hot_window_sends_one_place_a_flush(monkeypatch):
     kinds = {n: k for n, k in (x.split() for x in substrings._BUNDLE.split(", "))}
     arrow = {"int": pa.int32(), "binary": pa.binary(), "boolean": pa.bool_()}
     given = pa.Table.from_pylist(bundled, pa.schema([(n, arrow[k]) for n, k in kinds.items()])).to_batches()
-    gone = {}
-    for out in repeated_places(iter(given)):
-        for row in out.to_pylist():
-            assert row["text_key"] == row["doc_id"] * 7
-            gone.setdefault(row["doc_id"], []).extend(np.frombuffer(row["places"], np.int32).tolist())
-    assert {d: sorted(set(p)) for d, p in gone.items()} == {d: list(range(1, 9)) for d in range(1, 3000)}
+    dealt = [row for out in repeated_places(4)(iter(given)) for row in out.to_pylist()]
     distinct = 3000 * 10
     assert max(sizes) <= distinct
+    assert all(row["local"] for row in dealt)
+    dealt.sort(key=lambda row: row["range"])
+    gone = {}
+    for out in places_of_documents(iter(pa.Table.from_pylist(dealt, given[0].schema).to_batches(5))):
+        for row in out.to_pylist():
+            assert row["text_key"] == row["doc_id"] * 7 and row["doc_id"] not in gone
+            gone[row["doc_id"]] = np.frombuffer(row["places"], np.int32).tolist()
+    assert gone == {d: list(range(1, 9)) for d in range(1, 3000)}
