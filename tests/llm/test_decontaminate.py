@@ -1,4 +1,8 @@
+import itertools
+import math
 import random
+import string
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -113,3 +117,86 @@ def test_a_long_text_is_searched_in_parts(spark, documents):
     found = contaminations(documents([(1, text), (2, filler[3])]), items(spark, bench)).collect()
     assert {r.item_id for r in found} == set(begins) and {r.doc_id for r in found} == {1}
     assert all(abs(r.word - begins[r.item_id]) <= 2 * 64 for r in found)
+
+
+def plain_contaminations(docs, bench):
+    """Pairs of document and item by whole BM25 scores of every passage and sets of shingles, in loops."""
+
+    def normal(text):
+        return [w for w in (x.strip(string.punctuation) for x in (text or "").lower().split()) if w]
+
+    def cut(words):
+        n = -(-len(words) // 64)
+        size, more = divmod(len(words), n)
+        ends = list(itertools.accumulate([size + 1] * more + [size] * (n - more), initial=0))
+        return [words[a:b] for a, b in itertools.pairwise(ends)]
+
+    def shingled(words):
+        width = min(5, len(words))
+        return {tuple(words[i : i + width]) for i in range(len(words) - width + 1)} if width else set()
+
+    items_words = {i: normal(text) for i, text in bench}
+    entries = [(i, part) for i, words in items_words.items() if words for part in cut(words)]
+    mean = sum(len(part) for _, part in entries) / len(entries)
+    df = Counter(w for _, part in entries for w in set(part))
+
+    def impacts(part):
+        tf = Counter(part)
+        raw = {w: math.log(1 + (len(entries) - df[w] + 0.5) / (df[w] + 0.5)) * k * 2.2 / (k + 1.2 * (0.25 + 0.75 * len(part) / mean)) for w, k in tf.items()}
+        return {w: x / sum(raw.values()) for w, x in raw.items()}
+
+    scored = [(i, impacts(part)) for i, part in entries]
+    out = set()
+    for doc, text in docs:
+        words = normal(text)
+        hits = {}
+        for p in range(max(1, -(-len(words) // 64) - 1)):
+            held = set(words[64 * p : 64 * (p + 2)])
+            for i, impact in scored:
+                if sum(x for w, x in impact.items() if w in held) >= 0.6:
+                    hits.setdefault(i, []).append(p)
+        for i, places in hits.items():
+            own = words[64 * min(places) : 64 * (max(places) + 2)]
+            third = -(-2 * len(items_words[i]) // 3)
+            shares = []
+            for part in (items_words[i][:third], items_words[i][third:]):
+                want = shingled(part)
+                width = len(next(iter(want))) if want else 0
+                have = {tuple(own[k : k + width]) for k in range(len(own) - width + 1)} if want else set()
+                shares.append(len(want & have) / len(want) if want else 1.0)
+            if min(shares) >= 0.8:
+                out.add((doc, i))
+    return out
+
+
+def test_equals_whole_scores_in_loops(spark, documents):
+    """Items copied whole, edited, cut and put together, in texts of words that items have too."""
+    rng = random.Random(29)
+    bench = [(i, sentence(rng, rng.choice([1, 4, 15, 40, 70, 140]), "abcde")) for i in range(25)]
+    docs = []
+    for d in range(90):
+        text = [sentence(rng, rng.randint(0, 150), "abcde")]
+        for _, item in rng.sample(bench, rng.choice([1, 2])):
+            words = item.split()
+            for _ in range(rng.choice([0, 0, 1, 2, 5])):
+                words[rng.randrange(len(words))] = rng.choice(["zz", "", "a", "Bc!"])
+            text += [" ".join(words[: rng.choice([len(words), len(words), len(words) * 3 // 4])]), sentence(rng, rng.randint(0, 90), "abcde")]
+        docs.append((d, " ".join(text)))
+    found = {(r.doc_id, r.item_id) for r in contaminations(documents(docs), items(spark, bench)).collect()}
+    assert found == plain_contaminations(docs, bench) and 30 < len(found) < 500
+
+
+def test_recall_of_edited_items(spark, documents):
+    """One word in ten changed breaks half of the shingles and hides an item; one word in sixty does not."""
+    rng = random.Random(31)
+    bench = [(i, sentence(rng, 60)) for i in range(60)]
+
+    def planted(every, at):
+        rows = []
+        for i, item in bench:
+            words = item.split()
+            words[at::every] = ["changed"] * len(words[at::every])
+            rows.append((i, f"{sentence(rng, 30)} {' '.join(words)} {sentence(rng, 30)}"))
+        return {r.doc_id for r in contaminations(documents(rows), items(spark, bench)).collect()}
+
+    assert len(planted(60, 20)) == 60 and not planted(10, 5)
