@@ -16,6 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 PIECE_BYTES = 512 << 10
+LONG_WORD = 1 << 16
 
 _WORD_BYTE = np.ones(256, bool)
 _WORD_BYTE[[9, 10, 11, 12, 13, 32]] = False
@@ -134,14 +135,36 @@ def word_hashes(words: Words) -> np.ndarray:
     if not len(words.starts):
         return np.zeros(0, np.uint64)
     lengths = words.ends - words.starts
-    total = int(lengths.sum())
+    if lengths.max() > LONG_WORD:
+        return _hashes_with_long(words, lengths)
     offsets = np.cumsum(lengths) - lengths
-    place = np.arange(total) - np.repeat(offsets, lengths)
+    place = np.arange(int(lengths.sum())) - np.repeat(offsets, lengths)
     longest = 1 << int(max(64, lengths.max()) - 1).bit_length()
     terms = _BYTE_KEYS[words.data[place + np.repeat(words.starts, lengths)]] * _powers(longest)[place]
     return mixed(np.add.reduceat(terms, offsets) + lengths.astype(np.uint64))
 
 
+def _hashes_with_long(words: Words, lengths: np.ndarray) -> np.ndarray:
+    """The same hashes where some words are very long: these are summed block by block."""
+    short = lengths <= LONG_WORD
+    hashes = np.zeros(len(lengths), np.uint64)
+    hashes[short] = word_hashes(Words(words.data, words.starts[short], words.ends[short], np.array([0, int(short.sum())])))
+    for word in np.flatnonzero(~short):
+        total = _long_sum(words.data[words.starts[word] : words.ends[word]])
+        hashes[word] = mixed(np.array([total + np.uint64(lengths[word])]))[0]
+    return hashes
+
+
+def _long_sum(data: np.ndarray) -> np.uint64:
+    """The same sum for one word, block by block."""
+    total, lead = np.zeros(1, np.uint64), np.ones(1, np.uint64)
+    for at in range(0, len(data), LONG_WORD):
+        block = _BYTE_KEYS[data[at : at + LONG_WORD]] * _powers(LONG_WORD)[: len(data) - at]
+        total += block.sum(keepdims=True, dtype=np.uint64) * lead
+        lead *= _powers(LONG_WORD)[-1:] * _STEP
+    return total[0]
+
+
 def window_starts(words: Words, width: int) -> np.ndarray:
     """The numbers of the words at which a window of ``width`` words of one text starts."""
     room = words.counts - width + 1

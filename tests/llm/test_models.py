@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,16 +94,144 @@ def test_held_out_labels_change_nothing(documents, spark):
     assert {r.doc_id for r in one if r.predicted} == {i for i, y in labels if y}
 
 
-def test_label_model_finds_accuracies_and_shares_evidence():
+def simulated(voters, rows=4000):
+    """Votes of voters given as (copied voter or -1, chance under class 1, under class 0), with labels."""
     rng = np.random.default_rng(0)
-    truth = rng.random(4000) < 0.2
-    good = rng.random(4000) < np.where(truth, 0.9, 0.05)
-    poor = rng.random(4000) < np.where(truth, 0.3, 0.2)
-    label = truth ^ (rng.random(4000) < 0.05)
-    posterior, rates, keep = toxicity.label_model(np.stack([good, good, poor], axis=1).astype(float), label.astype(int))
-    assert rates[1, 0] > 0.7 and rates[0, 0] < 0.1 and rates[1, 2] - rates[0, 2] < 0.2
-    assert keep[0] < 0.7 and keep[1] < 0.7 < keep[2]
-    assert ((posterior > 0.5) == truth).mean() > 0.93
+    truth = rng.random(rows) < 0.2
+    votes = np.zeros((rows, len(voters)), bool)
+    for j, (of, yes, no) in enumerate(voters):
+        votes[:, j] = votes[:, of] if of >= 0 else rng.random(rows) < np.where(truth, yes, no)
+    label = (truth ^ (rng.random(rows) < 0.05)).astype(int)
+    return truth, votes, label, toxicity.label_model(*np.nonzero(votes), len(voters), label)
+
+
+def test_label_model_finds_accuracies_and_copies():
+    truth, votes, label, model = simulated([(-1, 0.9, 0.05), (0, 0, 0), (0, 0, 0), (-1, 0.3, 0.2), (-1, 0.6, 0.1)])
+    assert ((model.posterior > 0.5) == truth).mean() > 0.95
+    chain = model.parent[:3]
+    assert (chain >= 0).sum() == 2 and set(chain[chain >= 0]) <= {0, 1, 2}  # copies hang together
+    for j in np.flatnonzero(chain >= 0):
+        assert (model.chance[:, j, 1] > 0.95).all() and (model.chance[:, j, 0] < 0.05).all()  # smoothed by STRENGTH
+    assert model.chance[1, 4].max() > 0.5 and model.chance[0, 4].max() < 0.25
+    lone = simulated([(-1, 0.9, 0.05), (-1, 0.3, 0.2), (-1, 0.6, 0.1)])[3]
+    twice = simulated([(-1, 0.9, 0.05), (-1, 0.3, 0.2), (-1, 0.6, 0.1), (0, 0, 0), (0, 0, 0)])[3]
+    assert np.abs(lone.posterior - twice.posterior).mean() < 0.01  # a copy adds no evidence
+
+
+def test_posteriors_equal_a_plain_loop():
+    _, votes, label, model = simulated([(-1, 0.9, 0.05), (0, 0, 0), (-1, 0.3, 0.2), (-1, 0.6, 0.1)], 300)
+    posterior = [0.9 if y else 0.03 for y in label]
+    pairs, size = toxicity.pair_counts, votes.shape[1]
+    first = np.concatenate([[0], np.cumsum(votes.sum(axis=1))])
+    for weight in (np.ones(300), np.arange(300) / 300):
+        got = pairs(np.nonzero(votes)[1], first, weight, size, limit=7)
+        assert np.allclose(got, [[sum(w for w, v in zip(weight, votes) if v[i] and v[j]) for j in range(size)] for i in range(size)])
+    for step in range(toxicity.ROUNDS):
+        chance = {}
+        if step in toxicity.RELINKED:
+            joint = np.stack([pairs(np.nonzero(votes)[1], first, np.array([1 - p for p in posterior]), size), pairs(np.nonzero(votes)[1], first, np.array(posterior), size)])
+            parent = toxicity.linked(joint, np.array([300 - sum(posterior), sum(posterior)]))
+        for c in (0, 1):
+            weight = [p if c else 1 - p for p in posterior]
+            for j in range(size):
+                usual = (sum(w for w, v in zip(weight, votes) if v[j]) + 0.5) / (sum(weight) + 1)
+                for given in (0, 1):
+                    rows = [(w, v[j]) for w, v in zip(weight, votes) if (parent[j] >= 0 and v[parent[j]]) == given]
+                    x = (sum(w for w, y in rows if y) + toxicity.STRENGTH * usual) / (sum(w for w, _ in rows) + toxicity.STRENGTH)
+                    chance[c, j, given] = min(max(x, 1e-6), 1 - 1e-6)
+        evidence = []
+        for v in votes:
+            total = 0.0
+            for j in range(size):
+                given = int(parent[j] >= 0 and v[parent[j]])
+                yes, no = chance[1, j, given], chance[0, j, given]
+                total += math.log(yes / no) if v[j] else math.log((1 - yes) / (1 - no))
+            evidence.append(total)
+        slope, shift = dense_logistic(np.array(evidence)[:, None], label, 1e-3)
+        said = [(sum(w for w, y in zip(weight, label) if y) + 0.5) / (sum(weight) + 1) for weight in ([1 - p for p in posterior], posterior)]
+        posterior = [
+            1 / (1 + math.exp(-(slope * e + shift + (math.log(said[1] / said[0]) if y else math.log((1 - said[1]) / (1 - said[0]))))))
+            for e, y in zip(evidence, label)
+        ]
+    assert np.allclose(model.posterior, posterior, atol=1e-4)
+
+
+def dense_logistic(x, goal, penalty):
+    """Newton's method on whole matrices."""
+    x = np.concatenate([x, np.ones((len(x), 1))], axis=1)
+    w, ridge = np.zeros(x.shape[1]), np.array([penalty] * (x.shape[1] - 1) + [1e-6])
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        w += np.clip(np.linalg.solve((x * (p * (1 - p) + 1e-6)[:, None]).T @ x + np.diag(ridge), x.T @ (goal - p) - ridge * w), -5, 5)
+    return w
+
+
+def test_links_are_a_tree_of_the_largest_information():
+    rng = np.random.default_rng(2)
+    votes = rng.random((2000, 5)) < 0.3
+    votes[:, 2] = votes[:, 0] ^ (rng.random(2000) < 0.1)
+    votes[:, 4] = votes[:, 2] ^ (rng.random(2000) < 0.1)
+    joint = np.stack([votes.T.astype(float) @ votes] * 2) / 2
+    parent = toxicity.linked(joint, np.array([1000.0, 1000.0]))
+    assert {frozenset((j, int(p))) for j, p in enumerate(parent) if p >= 0} == {frozenset((0, 2)), frozenset((2, 4))}
+
+
+NORMAL = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+def plain_counts(text, voters):
+    """Counts of whole words and beginnings (as (word, None) and (beginning, size)), and the totals, in loops."""
+    words = [w.strip(NORMAL) for w in re.split("[\x20\x09-\x0d]+", text.lower())]
+    words = [w.encode() for w in words if w]
+    counts, hits = Counter(), 0
+    for w in words:
+        own = [x for x in [(w, None), *((w[:k], k) for k in toxicity.BEGINNINGS if len(w) > k)] if x in voters]
+        counts.update(own)
+        hits += bool(own)
+    raw = text.encode()
+    shares = [sum(65 <= b <= 90 for b in raw), sum(b in b"!?" for b in raw), sum(b in b"#*$%&|<>@" for b in raw), sum(48 <= b <= 57 for b in raw)]
+    return counts, [len(raw), *shares, len(words), sum(a == b for a, b in zip(words, words[1:])), sum(len(w) == 1 for w in words), hits]
+
+
+def test_counts_of_texts_equal_a_plain_loop_whole_and_in_parts():
+    rng = random.Random(3)
+    every = ["idiot", "Idiots!", "fool", "a", "A", "stupidity", "(scum)", "--", "nice", "day,", "é", "9", "moron moron", "you\tyou", "#$"]
+    texts = [" ".join(rng.choices(every, k=rng.randint(0, 60))) for _ in range(30)] + ["", None, "idiot", "idiot"]
+    voters = [(b"idiot", None), (b"idiot", 5), (b"stupid", 6), (b"scum", None), (b"moron", None)]
+
+    def hashed(word, size):
+        words = toxicity.find_words(pa.array([word.decode()]))
+        return toxicity.word_hashes(words) if size is None else toxicity.mixed(toxicity.word_hashes(words) + np.uint64(size))
+
+    hashes = np.concatenate([hashed(*v) for v in voters])
+    order = np.argsort(hashes)
+    known, names = hashes[order], [voters[i] for i in order]
+    gate = toxicity.gate_of(known)
+    together = toxicity.counts_of(pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"]), known, gate)
+    for i, text in enumerate(texts):
+        counts, totals = plain_counts(text or "", set(voters))
+        alone = toxicity.counts_of(pa.RecordBatch.from_arrays([pa.array([text], pa.string())], ["text"]), known, gate, limit=16)
+        for votes, at in ((together, i), (alone, 0)):
+            mine = votes.text == at
+            assert {names[v]: n for v, n in zip(votes.voter[mine], votes.n[mine])} == counts
+            assert votes.totals[at].tolist() == totals
+
+
+def test_scores_are_those_of_the_plain_formula():
+    rng = np.random.default_rng(7)
+    counts = rng.poisson(0.4, (200, 6))
+    totals = rng.integers(1, 50, (200, 9)).astype(float)
+    label = (counts[:, 0] > 0).astype(int)
+    text, voter = np.nonzero(counts)
+    votes = toxicity.Votes(text, voter, counts[text, voter], totals)
+    model = toxicity.train(votes, label, np.arange(6, dtype=np.uint64))
+    x = np.concatenate([np.log1p(counts), toxicity.dense_inputs(totals)], axis=1)
+    assert np.allclose(toxicity.margins(votes, model.weights, model.bias), x @ model.weights + model.bias)
+    goal = toxicity.label_model(*toxicity.ballots(votes, 6), 6 + toxicity.PATTERN_VOTERS, label).posterior
+    scaled = (x - x.mean(axis=0)) / (x.std(axis=0) + 0.05)
+    w = dense_logistic(scaled, goal, 20.0)
+    slope, shift = dense_logistic((scaled @ w[:-1] + w[-1])[:, None], label, 1e-3)
+    assert np.allclose(1 / (1 + np.exp(-(x @ model.weights + model.bias))), 1 / (1 + np.exp(-((scaled @ w[:-1] + w[-1]) * slope + shift))), atol=1e-3)
 
 
 def test_toxicity_edge_cases(documents, spark):

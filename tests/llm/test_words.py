@@ -67,3 +67,10 @@ def test_parts_of_a_long_text_share_no_window():
                 words = re.findall(rb"[^\x20\x09-\x0D]+", data)
                 windows += [tuple(words[i : i + overlap + 1]) for i in range(len(words) - overlap)]
             assert windows == [tuple(whole[i : i + overlap + 1]) for i in range(len(whole) - overlap)]
+
+
+def test_very_long_words_have_the_hash_of_one_sum(monkeypatch):
+    texts = pa.array(["ab " + "xyz" * 50 + " c", "q" * 64, None, "r" * 65 + " " + "s" * 200])
+    whole = word_hashes(find_words(texts))
+    monkeypatch.setattr("lakelayers.llm.words.LONG_WORD", 16)
+    assert (word_hashes(find_words(texts)) == whole).all()
