@@ -11,7 +11,8 @@ Prediction reads whole texts and nothing else. Embeddings times softmax weights
 each bucket and language, which the tasks get.
 
 Defined cases: texts that are null or have no letter are ``und``, score 0, rejected. Without labelled
-rows every text is.
+rows every text is. Of languages that tie the first in order of name counts. Repeated rows are judged one
+by one. A text of over ``PIECE_BYTES`` is read in parts, between words, and has the counts of all of them.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from lakelayers.llm.shipping import ship
 from lakelayers.llm.tables import is_remainder
-from lakelayers.llm.words import pieces, with_text
+from lakelayers.llm.words import is_long, long_parts, pieces, with_text
 
 BUCKETS = 8192
 DIM = 16
@@ -80,14 +81,27 @@ def subwords(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return buckets[owner_ok.ravel()], counts[bounds]
 
 
+def bucket_counts(column: pa.Array, limit: int | None = None) -> np.ndarray:
+    """How often a single text has each bucket, read in parts of ``limit`` bytes."""
+    total = np.zeros(BUCKETS, np.int64)
+    for _, part in long_parts(column, 0, *([limit] if limit else [])):
+        total += np.bincount(subwords(part.to_pylist())[0], minlength=BUCKETS)
+    return total
+
+
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counted(piece: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        if is_long(piece):
+            total = bucket_counts(piece.column("text"))
+            yield np.flatnonzero(total), total[total > 0]
+            return
+        buckets, bounds = subwords(piece.column("text").to_pylist())
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            yield np.unique(buckets[a:b], return_counts=True)
+
     for batch in batches:
         for piece in pieces(batch):
-            buckets, bounds = subwords(piece.column("text").to_pylist())
-            rows = []
-            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-                kinds, n = np.unique(buckets[a:b], return_counts=True)
-                rows.append((kinds.astype(np.uint16).tobytes(), (n / max(1, b - a)).astype(np.float32).tobytes()))
+            rows = [(kinds.astype(np.uint16).tobytes(), (n / max(1, n.sum())).astype(np.float32).tobytes()) for kinds, n in counted(piece)]
             columns = [piece.column("lang"), pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["lang", "buckets", "weights"])
 
@@ -165,13 +179,21 @@ def _predict(shared, field: str | None):
         model: Model = shared.value
         for batch in batches:
             for piece in pieces(with_text(batch, field)):
-                buckets, bounds = subwords(piece.column("text").to_pylist())
-                counts = np.diff(bounds)
+                if is_long(piece):
+                    total = bucket_counts(piece.column("text"))
+                    counts = np.array([total.sum()])
+                else:
+                    total = None
+                    buckets, bounds = subwords(piece.column("text").to_pylist())
+                    counts = np.diff(bounds)
                 known = (counts > 0) & bool(model.langs)
                 lang, score = np.full(len(counts), UNKNOWN, object), np.zeros(len(counts))
                 if known.any():
-                    starts = bounds[:-1][known]
-                    sums = np.stack([np.add.reduceat(column[buckets].astype(np.float64), starts) for column in model.scores.T], axis=1)
+                    if total is not None:
+                        sums = total[None] @ model.scores.astype(np.float64)
+                    else:
+                        starts = bounds[:-1][known]
+                        sums = np.stack([np.add.reduceat(column[buckets].astype(np.float64), starts) for column in model.scores.T], axis=1)
                     chance = _softmax((sums / counts[known][:, None] + model.bias) / model.temperature)
                     lang[known] = np.array(model.langs, object)[chance.argmax(axis=1)]
                     score[known] = chance.max(axis=1)

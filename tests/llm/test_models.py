@@ -69,6 +69,45 @@ def test_subwords_do_not_cross_texts():
     assert [set(buckets[a:b].tolist()) for a, b in zip(bounds[:-1], bounds[1:])] == [alone[0], set(), alone[1], set()]
 
 
+def plain_buckets(text):
+    """Buckets of bigrams and trigrams of runs of letters between two spaces, in a loop."""
+    letters = "".join(c if c.isalpha() else " " for c in text.lower())
+    found, wrap = [], 2**32
+    for run in letters.split():
+        points = [32, *map(ord, run), 32]
+        for i, (a, b) in enumerate(zip(points, points[1:])):
+            two = (a * 0x9E3779B1 ^ b * 0x85EBCA77) % wrap
+            keys = [two] if b != 32 else []
+            if i + 2 < len(points):
+                keys.append((two * 0xC2B2AE3D ^ points[i + 2] * 0x27D4EB2F) % wrap)
+            found += [key * 0x2C1B3C6D % wrap >> 32 - 13 for key in keys]
+    return found
+
+
+def test_predictions_equal_a_plain_loop_whole_and_in_parts(documents):
+    rng = random.Random(6)
+    texts = [" ".join(rng.choices(["the", "House", "der", "hund,", "été", "x9y", "ΟΔΟΣ", "--", "naïve", "\n", "東京"], k=rng.randint(1, 50))) for _ in range(40)]
+    texts += ["", None, "12 !?", "the house " * 80_000]
+    for text in texts[:41]:
+        want = Counter(plain_buckets(text))
+        assert Counter(langid.subwords([text])[0].tolist()) == want
+        for limit in (8, 64):
+            got = langid.bucket_counts(pa.array([text]), limit)
+            assert {b: n for b, n in enumerate(got.tolist()) if n} == want
+    train = [(i, t, la) for i, (t, la) in enumerate([("the house and", "en"), ("der hund und", "de"), ("été naïve", "fr")] * 30)]
+    model = langid.fit(documents(train).select("doc_id", "text", "lang"))
+    got = {r.doc_id: r for r in langid.predict(documents(list(enumerate(texts))), model).collect()}
+    for i, text in enumerate(texts):
+        buckets = plain_buckets(text or "")
+        if not buckets:
+            assert (got[i].lang_pred, got[i].score, got[i].rejected) == ("und", 0.0, True)
+            continue
+        logits = [(sum(float(model.scores[b, k]) for b in buckets) / len(buckets) + float(model.bias[k])) / model.temperature for k in range(3)]
+        chance = [math.exp(x - max(logits)) for x in logits]
+        best = max(range(3), key=lambda k: chance[k])
+        assert got[i].lang_pred == model.langs[best] and got[i].score == pytest.approx(chance[best] / sum(chance), rel=1e-4)
+
+
 # --- toxicity ----------------------------------------------------------------------------
 
 
