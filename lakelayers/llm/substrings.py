@@ -19,7 +19,8 @@ too small the filter lets more windows through and the exact grouping carries th
 stays the same.
 
 Defined cases: a null text has no words. A document of null id keeps all its words and takes words
-from no one. Rows of equal id are one document for "smaller", judged and rebuilt row by row by text.
+from no one. Rows of equal id are one document for "smaller", judged and rebuilt row by row by text. A text
+of over ``PIECE_BYTES`` is read in parts, which overlap so that each window lies whole in just one.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakelayers.llm.shipping import ship
-from lakelayers.llm.words import Words, find_words, mixed, pieces, window_hashes, window_starts, with_text, word_hashes
+from lakelayers.llm.words import Words, find_words, is_long, long_parts, mixed, pieces, window_hashes, window_starts, with_text, word_hashes
 
 WINDOW = 13
 DEPTH = 2
@@ -81,6 +82,19 @@ def cell_numbers(first: np.ndarray, row: int, log2_cells: int) -> np.ndarray:
     return mixed(first + np.uint64(row) * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(64 - log2_cells)
 
 
+def parts_of(piece: pa.RecordBatch, width: int, limit: int | None = None) -> Iterator[tuple[int, Words]]:
+    """The words of a piece and the number of the first one; of a single long text the words of its parts, in
+    which every window of ``width`` words lies once."""
+    if limit is None and not is_long(piece):
+        yield 0, find_words(piece.column("text"))
+        return
+    before = 0
+    for _, part in long_parts(piece.column("text"), width - 1, *([limit] if limit else [])):
+        words = find_words(part)
+        yield before, words
+        before += len(words.starts) - width + 1
+
+
 def partial_sketches(width: int, log2_cells: int, depth: int):
     block_bits = min(BLOCK_BITS, log2_cells)
 
@@ -88,9 +102,8 @@ def partial_sketches(width: int, log2_cells: int, depth: int):
         for batch in batches:
             found = []
             for piece in pieces(batch):
-                words = find_words(piece.column("text"))
-                starts = window_starts(words, width)
-                found.append(window_hashes(word_hashes(words), starts, width, _HASHES[0]))
+                for _, words in parts_of(piece, width):
+                    found.append(window_hashes(word_hashes(words), window_starts(words, width), width, _HASHES[0]))
             hashes = np.concatenate(found) if found else np.zeros(0, np.uint64)
             rows, blocks, cells = [], [], []
             for row in range(depth):
@@ -224,22 +237,22 @@ def candidate_windows(width: int, log2_cells: int, ranges: int, shared):
             for piece in pieces(batch):
                 ids = piece.column("doc_id").to_numpy(zero_copy_only=False)
                 keys = piece.column("text_key").to_numpy(zero_copy_only=False)
-                words = find_words(piece.column("text"))
-                starts = window_starts(words, width)
-                hashes = word_hashes(words)
-                first = window_hashes(hashes, starts, width, _HASHES[0])
-                maybe = estimated_repeated(first, bits, log2_cells)
-                starts = starts[maybe]
-                row = np.searchsorted(words.first, starts, "right") - 1
-                part = np.empty(len(starts), _PART)
-                part["h1"] = first[maybe]
-                part["h2"] = window_hashes(hashes, starts, width, _HASHES[1]) >> np.uint64(32)
-                part["doc"], part["key"], part["at"] = ids[row], keys[row], starts - words.first[row]
-                parts.append(part)
-                held += len(part)
-                if held >= FLUSH_ROWS:
-                    yield from close(parts)
-                    parts, held = [], 0
+                for before, words in parts_of(piece, width):
+                    starts = window_starts(words, width)
+                    hashes = word_hashes(words)
+                    first = window_hashes(hashes, starts, width, _HASHES[0])
+                    maybe = estimated_repeated(first, bits, log2_cells)
+                    starts = starts[maybe]
+                    row = np.searchsorted(words.first, starts, "right") - 1
+                    part = np.empty(len(starts), _PART)
+                    part["h1"] = first[maybe]
+                    part["h2"] = window_hashes(hashes, starts, width, _HASHES[1]) >> np.uint64(32)
+                    part["doc"], part["key"], part["at"] = ids[row], keys[row], before + starts - words.first[row]
+                    parts.append(part)
+                    held += len(part)
+                    if held >= FLUSH_ROWS:
+                        yield from close(parts)
+                        parts, held = [], 0
         if held:
             yield from close(parts)
 
@@ -312,6 +325,37 @@ def places_of_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
     yield from (placed(gone) for gone in ranges.close())
 
 
+def kept_of(piece: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Numbers of words and of removed words, and what is left of each text."""
+    words = find_words(piece.column("text"))
+    goes = np.zeros(len(words.starts) + 1, np.int64)
+    for row, places in enumerate(piece.column("places").to_pylist()):
+        if places:
+            at = np.frombuffer(places, np.int32) + words.first[row]
+            goes[at] += 1
+            goes[at + width] -= 1
+    stays = np.cumsum(goes[:-1]) == 0
+    kept = np.concatenate([[0], np.cumsum(stays)])[words.first]
+    return words.counts, words.counts - np.diff(kept), spaced(words, stays, kept)
+
+
+def kept_of_long(piece: pa.RecordBatch, width: int, limit: int | None = None) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """The same of a single long text, in parts of ``limit`` bytes."""
+    places = np.sort(np.frombuffer(piece.column("places")[0].as_py() or b"", np.int32)).astype(np.int64)
+    before, removed, texts = 0, 0, []
+    for _, part in long_parts(piece.column("text"), 0, *([limit] if limit else [])):
+        words = find_words(part)
+        n = len(words.starts)
+        near = places[np.searchsorted(places, before - width + 1) : np.searchsorted(places, before + n)] - before
+        goes = np.bincount(np.maximum(near, 0), minlength=n + 1) - np.bincount(np.minimum(near + width, n), minlength=n + 1)
+        stays = np.cumsum(goes[:n]) == 0
+        kept = int(stays.sum())
+        if kept:
+            texts += spaced(words, stays, np.array([0, kept]))
+        before, removed = before + n, removed + n - kept
+    return np.array([before]), np.array([removed]), [b" ".join(texts)]
+
+
 def kept_words(width: int, field: str | None):
     """Texts without the words that their windows at ``places`` cover. ``field``: where in the
     column row the text stands, if rows are carried along."""
@@ -319,20 +363,13 @@ def kept_words(width: int, field: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(with_text(batch, field)):
-                words = find_words(piece.column("text"))
-                goes = np.zeros(len(words.starts) + 1, np.int64)
-                for row, places in enumerate(piece.column("places").to_pylist()):
-                    if places:
-                        at = np.frombuffer(places, np.int32) + words.first[row]
-                        goes[at] += 1
-                        goes[at + width] -= 1
-                stays = np.cumsum(goes[:-1]) == 0
-                kept = np.concatenate([[0], np.cumsum(stays)])[words.first]
-                texts = spaced(words, stays, kept)
-                removed = words.counts - np.diff(kept)
+                if is_long(piece):
+                    counts, removed, texts = kept_of_long(piece, width)
+                else:
+                    counts, removed, texts = kept_of(piece, width)
                 columns = [
                     piece.column("doc_id"),
-                    pa.array(words.counts.astype(np.int64)),
+                    pa.array(counts.astype(np.int64)),
                     pa.array(removed.astype(np.int64)),
                     pa.array([hashlib.sha256(x).hexdigest() for x in texts], pa.string()),
                 ]

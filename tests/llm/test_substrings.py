@@ -108,3 +108,32 @@ def test_a_hot_window_sends_one_place_a_flush(monkeypatch):
             assert row["text_key"] == row["doc_id"] * 7 and row["doc_id"] not in gone
             gone[row["doc_id"]] = np.frombuffer(row["places"], np.int32).tolist()
     assert gone == {d: list(range(1, 9)) for d in range(1, 3000)}
+
+
+def test_long_texts_are_read_in_parts():
+    rng = random.Random(21)
+    for width in (3, 13):
+        for _ in range(20):
+            words = [rng.choice(["a", "bc", "déf", "g" * 30]) for _ in range(rng.randint(0, 120))]
+            text = "".join(w + rng.choice([" ", "\n ", "\t"]) for w in words)
+            places = sorted(rng.sample(range(max(1, len(words) - width + 1)), k=min(4, max(0, len(words) - width + 1))))
+            packed = np.array(places, np.int32).tobytes() if places else None
+            piece = pa.RecordBatch.from_arrays([pa.array([text]), pa.array([packed], pa.binary())], ["text", "places"])
+            gone = {at + i for at in places for i in range(width)}
+            left = " ".join(w for i, w in enumerate(words) if i not in gone).encode()
+            for counts, removed, texts in (substrings.kept_of(piece, width), substrings.kept_of_long(piece, width, 40), substrings.kept_of_long(piece, width, 200)):
+                assert (counts.tolist(), removed.tolist(), texts) == ([len(words)], [len(gone)], [left])
+            for limit in (40, 200):
+                seen = []
+                for before, part in substrings.parts_of(piece, width, limit):
+                    part_words = [part.data[a:b].tobytes().decode() for a, b in zip(part.starts, part.ends)]
+                    seen += [(before + at, part_words[at : at + width]) for at in substrings.window_starts(part, width)]
+                assert seen == [(at, words[at : at + width]) for at in range(len(words) - width + 1)]
+
+
+def test_a_long_text_gives_its_passages_to_others(documents):
+    rng = random.Random(22)
+    long = [f"w{rng.randrange(10**6)}" for _ in range(120_000)]
+    cut = 70_000
+    got = {r.doc_id: r for r in substrings.dedup_substrings(documents([(1, " ".join(long)), (2, "x " + " ".join(long[cut : cut + 20]) + " y"), (3, " ".join(long[5:]))])).collect()}
+    assert [(got[d].n_words, got[d].n_removed) for d in (1, 2, 3)] == [(120_000, 0), (22, 20), (119_995, 119_995)]
