@@ -229,3 +229,18 @@ def test_streamed_tables_have_the_silver_columns(spark, table, tmp_path):
     (tmp_path / "raw").mkdir()
     run_silver_incremental(spark, str(tmp_path / "raw"), "payload struct<id: string, at: string>", silver, table("late"), str(tmp_path / "s"), "at", timedelta(0))
     assert scan_table(spark, silver).count() == 0
+
+
+def test_the_exact_figures_beside_sketches_are_not_dealt_by_status(spark, tmp_path):
+    """A status or the total would be one task's rows; nulls and repeats count as in SQL."""
+    from lakelayers.plans.queries import gold_sketches
+
+    rows = [(i // 4, "FO"[i % 2], float(i)) for i in range(4000)]
+    rows += rows[:50] + [(None, "F", 7.0), (None, None, 8.0), (3, None, None), (None, "N", 9.0)]
+    spark.createDataFrame(rows, "l_orderkey long, l_linestatus string, l_extendedprice double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = gold_sketches(spark, str(tmp_path))
+    plan = found._jdf.queryExecution().optimizedPlan().toString(), found._jdf.queryExecution().sparkPlan().toString()
+    assert "RepartitionByExpression [l_orderkey" in plan[0] and "BroadcastHashJoin [status" in plan[1]
+    # Lines without an order are in no load.
+    shown = {r.status: (r.lines, r.distinct_kept, r.median_kept, r.high_kept) for r in found.collect()}
+    assert shown == {"F": (2025, True, True, True), "O": (2025, True, True, True), "all": (4051, True, True, True)}
