@@ -231,7 +231,7 @@ def _land_numbered(
     request: Mapping[str, object] | None,
 ) -> bool:
     lines = landing_lines(envelope(numbered, run, payload, partition_by, request), partition_by)
-    return write_lines(lines, path, partition_by, run.rows_per_file, skip_empty=False)
+    return write_lines(lines, path, partition_by, run.rows_per_file, False, numbered)
 
 
 def land_responses(

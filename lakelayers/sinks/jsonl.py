@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakelayers.functions.json_text import EXACT_TIMES
-from lakelayers.sinks.layout import gather_by
+from lakelayers.sinks.layout import gather_by, gather_counted
 
 LINE_COLUMN = "line"
 ROWS_PER_FILE = 1_000_000
@@ -33,7 +33,7 @@ def write_jsonl(
         "ignoreNullFields": "false", **EXACT_TIMES, **(json_options or {})
     })
     lines = df.select(line.alias(LINE_COLUMN), *partition_by)
-    return write_lines(lines, path, partition_by, rows_per_file, skip_empty)
+    return write_lines(lines, path, partition_by, rows_per_file, skip_empty, df)
 
 
 def write_lines(
@@ -42,11 +42,16 @@ def write_lines(
     partition_by: Sequence[str] = (),
     rows_per_file: int = ROWS_PER_FILE,
     skip_empty: bool = True,
+    counted: DataFrame | None = None,
 ) -> bool:
-    """Ready-made lines in column ``line`` plus the partition columns."""
+    """Ready-made lines in column ``line`` plus the partition columns.
+
+    ``counted`` is a frame of the same rows in which partition values can be counted without the lines."""
     if skip_empty and lines.isEmpty():
         return False
-    writer = gather_by(lines, partition_by).write.mode("append").option("maxRecordsPerFile", rows_per_file)
+    known = counted is not None and bool(partition_by)
+    gathered = gather_counted(lines, partition_by, counted) if known else gather_by(lines, partition_by)
+    writer = gathered.write.mode("append").option("maxRecordsPerFile", rows_per_file)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.text(path)

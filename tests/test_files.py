@@ -85,3 +85,21 @@ def test_an_empty_location(spark, table, tmp_path):
     ref, folder, _ = landed(spark, table, tmp_path)
     os.makedirs(folder, exist_ok=True)
     assert register_partitions(spark, ref) == 0
+
+
+def test_a_hot_value_of_one_scan_task_is_written_by_several(spark, tmp_path):
+    """Tasks are sized by rows, also where lines compress well and lie in one block."""
+    from lakelayers.sinks.layout import gather_counted
+
+    frame = spark.range(0, 6000, 1, 1).selectExpr(
+        "repeat('same', 50) || id AS line", "CASE WHEN id % 100 < 90 THEN 'hot' WHEN id % 100 < 95 THEN 'v' || id % 10 END AS kind", "id % 1 AS day"
+    )
+    tasks = gather_counted(frame, ["kind", "day"], frame, 500).withColumn("task", F.spark_partition_id())
+    spread = {r["kind"]: (r["n"], r["tasks"]) for r in tasks.groupBy("kind").agg(F.count("*").alias("n"), F.countDistinct("task").alias("tasks")).collect()}
+    assert spread["hot"][0] == 5400 and spread["hot"][1] >= 8
+    assert spread[None][0] == 300 and all(n == 60 and t <= 2 for kind, (n, t) in spread.items() if kind not in ("hot", None))
+    assert max(r["count"] for r in tasks.groupBy("task").count().collect()) < 1500
+    assert sorted(tasks.drop("task").collect(), key=repr) == sorted(frame.collect(), key=repr)
+    write_jsonl(frame, f"{tmp_path}/out", ["kind", "day"])
+    back = spark.read.json(f"{tmp_path}/out")
+    assert back.count() == 6000 and back.filter("kind IS NULL").count() == 300
