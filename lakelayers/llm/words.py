@@ -17,6 +17,7 @@ import pyarrow.compute as pc
 
 PIECE_BYTES = 512 << 10
 LONG_WORD = 1 << 16
+SHORT_WORD = 32
 
 _WORD_BYTE = np.ones(256, bool)
 _WORD_BYTE[[9, 10, 11, 12, 13, 32]] = False
@@ -118,7 +119,7 @@ def find_words(column: pa.Array, lower: bool = False) -> Words:
     return Words(data, starts, ends, np.searchsorted(starts, bounds))
 
 
-@lru_cache(1)
+@lru_cache(2)
 def _powers(length: int) -> np.ndarray:
     return np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(length - 1, _STEP)]))
 
@@ -137,11 +138,28 @@ def word_hashes(words: Words) -> np.ndarray:
     lengths = words.ends - words.starts
     if lengths.max() > LONG_WORD:
         return _hashes_with_long(words, lengths)
+    # Byte by byte over the words that are long enough, longest first; the rest of them all at once.
+    order = np.argsort(-np.minimum(lengths, SHORT_WORD + 1).astype(np.int8), kind="stable")
+    at, sums = words.starts[order], np.zeros(len(lengths), np.uint64)
+    left = len(lengths) - np.cumsum(np.bincount(np.minimum(lengths, SHORT_WORD + 1), minlength=SHORT_WORD + 2))
+    for place in range(min(int(lengths.max()), SHORT_WORD)):
+        n = left[place]
+        sums[:n] += _BYTE_KEYS[words.data[at[:n] + place]] * _powers(64)[place]
+    hashes = np.empty_like(sums)
+    hashes[order] = sums
+    long = np.flatnonzero(lengths > SHORT_WORD)
+    if len(long):
+        hashes[long] = _sums(words.data, words.starts[long], lengths[long])
+    return mixed(hashes + lengths.astype(np.uint64))
+
+
+def _sums(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The same sums with an entry for each byte."""
     offsets = np.cumsum(lengths) - lengths
     place = np.arange(int(lengths.sum())) - np.repeat(offsets, lengths)
     longest = 1 << int(max(64, lengths.max()) - 1).bit_length()
-    terms = _BYTE_KEYS[words.data[place + np.repeat(words.starts, lengths)]] * _powers(longest)[place]
-    return mixed(np.add.reduceat(terms, offsets) + lengths.astype(np.uint64))
+    terms = _BYTE_KEYS[data[place + np.repeat(starts, lengths)]] * _powers(longest)[place]
+    return np.add.reduceat(terms, offsets)
 
 
 def _hashes_with_long(words: Words, lengths: np.ndarray) -> np.ndarray:

@@ -74,3 +74,31 @@ def test_very_long_words_have_the_hash_of_one_sum(monkeypatch):
     whole = word_hashes(find_words(texts))
     monkeypatch.setattr("lakelayers.llm.words.LONG_WORD", 16)
     assert (word_hashes(find_words(texts)) == whole).all()
+
+
+def test_hashes_and_shapes_are_those_of_plain_sums_and_made_without_an_entry_for_each_byte():
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from lakelayers.llm import brown, words as w
+
+    rng = np.random.default_rng(3)
+    tokens = ["".join(chr(c) for c in rng.choice([97, 98, 46, 44, 39, 228, 0x4E2D, 48], rng.integers(1, n))) for n in [3, 9, 31, 32, 33, 34, 70, 300] * 40]
+    found = w.find_words(pa.array([" ".join(tokens[:100]) + " ", None, "", "\t".join(tokens[100:])]))
+    hashes, kinds = w.word_hashes(found), brown.shapes(found)
+    assert len(hashes) == len(tokens) and kinds.dtype == np.int8
+    keys, power = [int(x) for x in w._BYTE_KEYS], [pow(int(w._STEP), i, 2**64) for i in range(2000)]
+    for i, token in enumerate(tokens):
+        data = token.encode()
+        total = (sum(keys[b] * power[k] for k, b in enumerate(data)) + len(data)) % 2**64
+        assert hashes[i] == w.mixed(np.array([total], np.uint64))[0]
+        end = 1 if data[-1] == 46 else 2 if data[-1] == 44 else 0 if data[-1] >= 128 or chr(data[-1]) in "ab0" else 3
+        assert kinds[i] == 2 * end + any(b >= 128 for b in data)
+    text = w.find_words(pa.array(["walking through " * 30_000]))
+    w.word_hashes(text)
+    tracemalloc.start()
+    w.word_hashes(text)
+    assert tracemalloc.get_traced_memory()[1] < 16 * len(text.data)
+    tracemalloc.stop()
